@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from ..schemas import BRONZE
 from .tables import Replacement
@@ -47,7 +47,7 @@ def read_raw_csv(spark: SparkSession, path: str, schema: StructType) -> DataFram
     does not fit the schema keeps its text in ``bad_line``.
     """
     return (
-        spark.read.schema(StructType(schema.fields).add(BAD_LINE, StringType()))
+        spark.read.schema(StructType([*schema.fields, StructField(BAD_LINE, StringType())]))
         .option("header", True)
         .option("enforceSchema", True)
         .option("quote", "")
@@ -103,7 +103,8 @@ def load_bronze(
 
 
 def _stored(spark: SparkSession, bronze_dir: str, table: str) -> DataFrame:
-    schema = StructType(BRONZE[table].fields).add(BAD_LINE, StringType()).add(ACCEPTED, "boolean")
+    kept = [StructField(BAD_LINE, StringType()), StructField(ACCEPTED, BooleanType())]
+    schema = StructType([*BRONZE[table].fields, *kept])
     return spark.read.schema(schema).parquet(f"{bronze_dir}/{table}")
 
 
