@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A group of this many lookup rows is still an ordinary amount of work for one task.
 MODEST_GROUP = 1_000_000
 
+# Spark tracks no more items than this in one sketch.
+MOST_TRACKED = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, modest_group: int = MODEST_GROUP) -> dict[object, int]:
+    """Values of ``key`` with more rows than one task should get, and how many, about.
+
+    One pass with a frequent-items sketch, so no key is shuffled. A key is hot
+    above 1/tasks of the rows, hence fewer than ``tasks`` keys can be, and the
+    sketch is sized to miss none of them.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tracked = min(16 * tasks, MOST_TRACKED)
+    sketch = F.call_function(
+        "approx_top_k", F.col(key), F.lit(min(tasks, tracked)), F.lit(tracked)
+    )
+    rows, frequent = df.agg(F.count(key), sketch).first()
+    limit = max(modest_group, rows // tasks)
+    return {found["item"]: found["count"] for found in frequent if found["count"] > limit}
+
 
 def left_lookup(
     left: DataFrame,
@@ -21,44 +41,36 @@ def left_lookup(
     Spark chooses broadcast or shuffle by the size it knows or measures. A hot
     key on the left is split by the adaptive skew join, which can divide the
     preserved side of an outer join but never the other. So hot keys on the
-    right are found first, by one count per key with map-side combine. Rows of
-    such keys are sure to match, hence an inner join is exact for them and both
-    sides can be spread: the right rows over slices, the left rows copied to
-    every slice.
+    right are looked for first. Rows of such keys are sure to match, hence an
+    inner join is exact for them and both sides can be spread: the right rows
+    over slices, the left rows copied to every slice. A key the sketch did not
+    report is joined the ordinary way, so the result never depends on it.
 
     ``right`` should come from stored tables by row-wise steps, so that a task
     run again deals its rows to the same slices.
     """
-    spark = left.sparkSession
-    per_key = (
-        right.where(F.col(right_key).isNotNull())
-        .groupBy(right_key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    total, largest = per_key.agg(F.sum("_rows"), F.max("_rows")).first()
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    limit = max(modest_group, (total or 0) // tasks)
-    if (largest or 0) <= limit:
+    hot = hot_keys(right, right_key, modest_group)
+    if not hot:
         return left.join(right, left[left_key] == right[right_key], "left")
 
-    # Each hot key has more than 1/tasks of the rows: there are fewer than `tasks` of them.
-    hot = [row[0] for row in per_key.where(F.col("_rows") > limit).collect()]
-    slices = min(tasks, -(-largest // limit))
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(2, min(tasks, -(-max(hot.values()) // modest_group)))
 
-    def is_hot(column: str):
-        return F.coalesce(F.col(column).isin(hot), F.lit(False))
+    def is_hot(column: str) -> Column:
+        return F.coalesce(F.col(column).isin(list(hot)), F.lit(False))
+
+    left_cold, right_cold = left.where(~is_hot(left_key)), right.where(~is_hot(right_key))
+    cold = left_cold.join(right_cold, left_cold[left_key] == right_cold[right_key], "left")
 
-    right_cold = right.where(~is_hot(right_key))
     right_hot = right.where(is_hot(right_key)).withColumn(
-        "_slice", (F.monotonically_increasing_id() % slices).cast("int")
+        "_right_slice", F.monotonically_increasing_id() % slices
     )
-    left_cold = left.where(~is_hot(left_key))
     left_hot = left.where(is_hot(left_key)).withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+        "_left_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
     )
-    cold = left_cold.join(right_cold, left_cold[left_key] == right_cold[right_key], "left")
     spread = left_hot.join(
         right_hot,
-        (left_hot[left_key] == right_hot[right_key]) & (left_hot["_slice"] == right_hot["_slice"]),
-    ).drop("_slice")
+        (left_hot[left_key] == right_hot[right_key])
+        & (left_hot["_left_slice"] == right_hot["_right_slice"]),
+    ).drop("_left_slice", "_right_slice")
     return cold.unionByName(spread)
