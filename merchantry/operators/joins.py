@@ -2,31 +2,43 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A group of this many lookup rows is still an ordinary amount of work for one task.
 MODEST_GROUP = 1_000_000
 
-# Spark tracks no more items than this in one sketch.
-MOST_TRACKED = 1_000_000
+# A key is hot above this fraction of the rows.
+HOT_FRACTION = 1000
+
+# Items a sketch tracks: enough to miss no key above the fraction.
+TRACKED = 16 * HOT_FRACTION
+
+# Sketches of map tasks are merged in this many groups, one task each.
+MERGERS = 64
 
 
 def hot_keys(df: DataFrame, key: str, modest_group: int = MODEST_GROUP) -> dict[object, int]:
     """Values of ``key`` with more rows than one task should get, and how many, about.
 
-    One pass with a frequent-items sketch, so no key is shuffled. A key is hot
-    above 1/tasks of the rows, hence fewer than ``tasks`` keys can be, and the
-    sketch is sized to miss none of them.
+    One pass with frequent-items sketches: what is shuffled is one sketch of
+    bounded size per map task, not the keys. A key above twice the fraction of
+    all rows is above the fraction in enough groups of tasks to be found. At
+    most MERGERS rows of HOT_FRACTION items come to the driver.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tracked = min(16 * tasks, MOST_TRACKED)
-    sketch = F.call_function(
-        "approx_top_k", F.col(key), F.lit(min(tasks, tracked)), F.lit(tracked)
-    )
-    rows, frequent = df.agg(F.count(key), sketch).first()
-    limit = max(modest_group, rows // tasks)
-    return {found["item"]: found["count"] for found in frequent if found["count"] > limit}
+    frequent = F.call_function(
+        "approx_top_k", F.col(key), F.lit(HOT_FRACTION), F.lit(TRACKED)
+    ).alias("frequent")
+    groups = df.groupBy(F.spark_partition_id() % MERGERS).agg(F.count(key).alias("rows"), frequent)
+    total, counts = 0, Counter()
+    for group in groups.collect():
+        total += group["rows"]
+        for found in group["frequent"]:
+            counts[found["item"]] += found["count"]
+    limit = max(modest_group, total // HOT_FRACTION)
+    return {value: count for value, count in counts.items() if count > limit}
 
 
 def left_lookup(

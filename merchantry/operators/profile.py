@@ -27,60 +27,28 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _ranges(df: DataFrame) -> DataFrame:
-    """Row per column: non-null count and typed extremes, in one pass over the table."""
-    summary = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(field.name).alias("column_name"),
-                    F.lit(field.dataType.simpleString()).alias("data_type"),
-                    F.count(field.name).alias("n_non_null"),
-                    F.min(field.name).cast("string").alias("min_value"),
-                    F.max(field.name).cast("string").alias("max_value"),
-                )
-                for field in df.schema.fields
-            ]
-        ).alias("columns")
-    )
-    return summary.select(F.inline("columns"))
-
-
-def _distinct_counts(df: DataFrame) -> DataFrame:
-    """Row per column: exact distinct count.
+def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per column: type, non-null and distinct counts, extremes as text.
 
-    Every row becomes one (column, value) pair per column; map tasks drop
-    repeated pairs, so what is shuffled is the distinct values, not the rows,
-    and a value that fills a column is one pair per map task.
+    The tables should be stored in a columnar format: each column is a scan of
+    its own that reads nothing else. Several distinct counts in one aggregate
+    would copy every row once per column. Map tasks combine first, so a value
+    that fills a column is one row per map task in the shuffle.
     """
-    pairs = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-                    for c in df.columns
-                ]
-            )
-        ).alias("pair")
-    ).select("pair.*")
-    return pairs.groupBy("column_name").agg(F.count_distinct("value").alias("n_distinct"))
-
-
-def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per column: type, non-null and distinct counts, extremes as text."""
     return _union(
         [
-            _ranges(df)
-            .join(F.broadcast(_distinct_counts(df)), "column_name", "left")
-            .select(
+            df.agg(
+                F.count(field.name).alias("n_non_null"),
+                F.count_distinct(field.name).alias("n_distinct"),
+                F.min(field.name).cast("string").alias("min_value"),
+                F.max(field.name).cast("string").alias("max_value"),
+            ).select(
                 F.lit(name).alias("table_name"),
-                "column_name",
-                "data_type",
-                "n_non_null",
-                F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
-                "min_value",
-                "max_value",
+                F.lit(field.name).alias("column_name"),
+                F.lit(field.dataType.simpleString()).alias("data_type"),
+                "*",
             )
             for name, df in tables.items()
+            for field in df.schema.fields
         ]
     )

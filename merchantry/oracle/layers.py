@@ -98,7 +98,9 @@ LAYERS: dict[str, str] = {
                    WHEN 'S' THEN 'Other Sales' WHEN 'T' THEN 'Touring' ELSE 'n/a' END AS prd_line,
                prd_start_dt::DATE AS prd_start_dt,
                (lead(prd_start_dt) OVER (PARTITION BY bronze_crm_prd_info.prd_key
-                   ORDER BY bronze_crm_prd_info.prd_start_dt NULLS FIRST, prd_id)
+                   ORDER BY bronze_crm_prd_info.prd_start_dt NULLS FIRST, prd_id,
+                   prd_nm NULLS FIRST, bronze_crm_prd_info.prd_cost NULLS FIRST,
+                   bronze_crm_prd_info.prd_line NULLS FIRST)
                    - INTERVAL 1 DAY)::DATE AS prd_end_dt
         FROM bronze_crm_prd_info""",
     "silver_crm_sales_details": """
@@ -142,8 +144,9 @@ LAYERS: dict[str, str] = {
         LEFT JOIN silver_erp_cust_az12 AS e ON cst_key = e.cid
         LEFT JOIN silver_erp_loc_a101 AS l ON cst_key = l.cid""",
     "gold_products": """
-        SELECT row_number() OVER (ORDER BY prd_start_dt NULLS FIRST, prd_key NULLS FIRST, prd_id)
-                   AS product_key,
+        SELECT row_number() OVER (ORDER BY prd_start_dt NULLS FIRST, prd_key NULLS FIRST, prd_id,
+                   prd_nm NULLS FIRST, cat_id, cat NULLS FIRST, subcat NULLS FIRST,
+                   maintenance NULLS FIRST, prd_cost, prd_line) AS product_key,
                prd_id AS product_id, prd_key AS product_number, prd_nm AS product_name,
                cat_id AS category_id, cat AS category, subcat AS subcategory, maintenance,
                prd_cost AS cost, prd_line AS product_line, prd_start_dt AS start_date

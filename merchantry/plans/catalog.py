@@ -119,17 +119,25 @@ def product_version_keys(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _profile(
+    function: Callable[..., DataFrame], form: Callable[[Warehouse, str], DataFrame]
+) -> Query:
+    """A profile of all tables of the three layers."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        warehouse = _warehouse(spark, folder)
+        return function({name: form(warehouse, name) for name in TABLE_NAMES})
+
+    return query
+
+
 def all_queries() -> dict[str, Query]:
     """Registered queries by name."""
     named = {name.replace(".", "_"): _table(name) for name in TABLE_NAMES}
     named.update({f"csv_{table}": _from_csv(table) for table in BRONZE})
     named["csv_rejected_lines"] = csv_rejected_lines
     named["surrogate_key"] = product_version_keys
-    named["table_profile"] = lambda spark, folder: table_profile(
-        _warehouse(spark, folder).tables(TABLE_NAMES)
-    )
-    named["column_profile"] = lambda spark, folder: column_profile(
-        _warehouse(spark, folder).tables(TABLE_NAMES)
-    )
+    named["table_profile"] = _profile(table_profile, Warehouse.table)
+    named["column_profile"] = _profile(column_profile, Warehouse.stored)
     named.update({f.__name__: _report(f, tables) for f, tables in REPORTS.items()})
     return named

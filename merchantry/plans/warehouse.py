@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ class Warehouse:
 
     def __init__(self, raw: Mapping[str, DataFrame], as_of: date | None = None):
         self._tables: dict[str, DataFrame] = {f"bronze.{t}": df for t, df in raw.items()}
+        self._stored: dict[str, DataFrame] = {}
         self._as_of = as_of
 
     def table(self, name: str) -> DataFrame:
@@ -31,8 +33,13 @@ class Warehouse:
             self._tables[name] = self._build(name)
         return self._tables[name]
 
-    def tables(self, names: Sequence[str]) -> dict[str, DataFrame]:
-        return {name: self.table(name) for name in names}
+    def stored(self, name: str) -> DataFrame:
+        """The table as a stored one, for whoever scans it many times."""
+        if name.startswith("gold."):
+            return self.table(name)
+        if name not in self._stored:
+            self._stored[name] = store(self.table(name), name.replace(".", "-"))
+        return self._stored[name]
 
     def _build(self, name: str) -> DataFrame:
         t = self.table
@@ -60,6 +67,8 @@ class Warehouse:
                 )
                 return store(products, "gold-products")
             case "gold.sales":
+                with ThreadPoolExecutor() as pool:  # neither dimension needs the other
+                    list(pool.map(t, ("gold.products", "gold.customers")))
                 sales = gold.gold_sales(
                     t("silver.crm_sales_details"), t("gold.products"), t("gold.customers")
                 )
