@@ -13,7 +13,7 @@ import time
 
 from merchantry.plans.catalog import AS_OF, REPORTS, all_queries
 from merchantry.plans.warehouse import open_warehouse
-from merchantry.session import local_session
+from merchantry.session import clear_workspace, local_session
 
 
 def timed(action) -> float:
@@ -41,6 +41,7 @@ def main() -> None:
 
         run()
         times[name] = timed(run)
+    clear_workspace(spark)
     spark.stop()
     print(
         json.dumps(

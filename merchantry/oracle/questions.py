@@ -240,11 +240,16 @@ def _as_text(column: str, kind: str) -> str:
     return f"{column}::VARCHAR"
 
 
-def _table_profile() -> str:
+def _table_profile(audit_columns: int = 0) -> str:
+    """Profile of all tables; cleaned tables have ``audit_columns`` more than the layers here."""
+
+    def columns(name: str) -> int:
+        return len(COLUMNS[name]) + (audit_columns if name.startswith("silver.") else 0)
+
     return "\nUNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS n_rows, {len(columns)} AS n_columns"
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, {columns(name)} AS n_columns"
         f" FROM {name.replace('.', '_')}"
-        for name, columns in COLUMNS.items()
+        for name in COLUMNS
     )
 
 
@@ -276,6 +281,7 @@ def oracle_queries() -> dict[str, str]:
         columns = f"* EXCLUDE (gen){blank}" if blank else "*"
         result[f"csv_{table}"] = with_layers(f"SELECT {columns} FROM bronze_{table}")
     result["csv_rejected_lines"] = with_layers(SALES_LINES)
+    result["full_load"] = with_layers(_table_profile(audit_columns=1))
     result["table_profile"] = with_layers(_table_profile())
     result["column_profile"] = with_layers(_column_profile())
     result.update({name: with_layers(sql) for name, sql in QUESTIONS.items()})

@@ -10,11 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import column_profile, surrogate_key, table_profile
-from ..schemas import BRONZE
+from ..schemas import BRONZE, GOLD, SILVER
 from ..session import workspace
-from ..sources.bronze import load_raw_table, read_bronze, read_rejects
+from ..sources.bronze import (
+    SOURCE_FILES,
+    load_bronze,
+    load_raw_table,
+    read_bronze,
+    read_rejects,
+)
 from ..sources.sample_data import write_raw_csv
 from . import customers, performance, products, sales, trends
+from .gold import load_gold, read_gold
+from .silver import load_silver, read_silver
 from .warehouse import TABLE_NAMES, Warehouse, open_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +117,23 @@ def csv_rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
     return read_rejects(spark, run, table)
 
 
+def full_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole way, from delivered files to the star schema; profile of the stored tables."""
+    run = f"{workspace(spark)}/load-{uuid.uuid4().hex}"
+    for table, file in SOURCE_FILES.items():
+        write_raw_csv(_warehouse(spark, folder).table(f"bronze.{table}"), f"{run}/delivered/{file}")
+    load_bronze(spark, f"{run}/delivered", f"{run}/bronze")
+    load_silver(spark, f"{run}/bronze", f"{run}/silver", AS_OF)
+    load_gold(spark, f"{run}/silver", f"{run}/gold")
+    return table_profile(
+        {
+            **{f"bronze.{t}": read_bronze(spark, f"{run}/bronze", t) for t in BRONZE},
+            **{f"silver.{t}": read_silver(spark, f"{run}/silver", t) for t in SILVER},
+            **{f"gold.{t}": read_gold(spark, f"{run}/gold", t) for t in GOLD},
+        }
+    )
+
+
 def product_version_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Dense numbers of all product versions by start date and product key."""
     versions = _warehouse(spark, folder).table("silver.crm_prd_info")
@@ -136,6 +161,7 @@ def all_queries() -> dict[str, Query]:
     named = {name.replace(".", "_"): _table(name) for name in TABLE_NAMES}
     named.update({f"csv_{table}": _from_csv(table) for table in BRONZE})
     named["csv_rejected_lines"] = csv_rejected_lines
+    named["full_load"] = full_load
     named["surrogate_key"] = product_version_keys
     named["table_profile"] = _profile(table_profile, Warehouse.table)
     named["column_profile"] = _profile(column_profile, Warehouse.stored)

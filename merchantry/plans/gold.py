@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import UNKNOWN
 from ..operators import left_lookup, surrogate_key
+from ..schemas import GOLD
 from ..sources.tables import replace_table
 from .silver import read_silver
 
@@ -98,8 +99,13 @@ def load_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> None:
     replace_table(
         gold_sales(
             silver("crm_sales_details"),
-            spark.read.parquet(f"{gold_dir}/products"),
-            spark.read.parquet(f"{gold_dir}/customers"),
+            read_gold(spark, gold_dir, "products"),
+            read_gold(spark, gold_dir, "customers"),
         ),
         f"{gold_dir}/sales",
     )
+
+
+def read_gold(spark: SparkSession, gold_dir: str, table: str) -> DataFrame:
+    """Scan of a star-schema table."""
+    return spark.read.schema(GOLD[table]).parquet(f"{gold_dir}/{table}")

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.tables import delete
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
@@ -58,3 +60,8 @@ def store(df: DataFrame, label: str) -> DataFrame:
     path = f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_workspace(spark: SparkSession) -> None:
+    """Remove what this application stored; tables built from it are gone as well."""
+    delete(spark, workspace(spark))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from ..schemas import BRONZE
-from .tables import Replacement
+from .tables import Replacement, publish
 
 # The file each table is loaded from, below the source folder.
 SOURCE_FILES = {
@@ -116,3 +116,8 @@ def read_bronze(spark: SparkSession, bronze_dir: str, table: str) -> DataFrame:
 def read_rejects(spark: SparkSession, bronze_dir: str, table: str) -> DataFrame:
     """The malformed lines of a raw table's last load, as text."""
     return _stored(spark, bronze_dir, table).where(~F.col(ACCEPTED)).select(BAD_LINE)
+
+
+def publish_bronze(spark: SparkSession, bronze_dir: str) -> None:
+    """Make the raw tables known to SQL as ``bronze.<table>``, without the malformed lines."""
+    publish(spark, "bronze", bronze_dir, BRONZE, part=f"{ACCEPTED}=true")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def _file_system(spark: SparkSession, location: str):
@@ -26,7 +27,8 @@ def _exists(spark: SparkSession, location: str) -> bool:
     return system.exists(path)
 
 
-def _delete(spark: SparkSession, location: str) -> None:
+def delete(spark: SparkSession, location: str) -> None:
+    """Remove a folder and all in it."""
     system, path = _file_system(spark, location)
     system.delete(path, True)
 
@@ -65,10 +67,10 @@ class Replacement:
         except Exception:
             _rename(self.spark, previous, self.path)
             raise
-        _delete(self.spark, previous)
+        delete(self.spark, previous)
 
     def abandon(self) -> None:
-        _delete(self.spark, self.beside)
+        delete(self.spark, self.beside)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -78,11 +80,17 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     replacement.commit()
 
 
-def publish(spark: SparkSession, root: str, layer: str, tables: Sequence[str]) -> None:
-    """Make the stored tables of a layer known to SQL as ``layer.table``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
-    for table in tables:
+def publish(
+    spark: SparkSession, layer: str, folder: str, tables: Mapping[str, StructType], part: str = ""
+) -> None:
+    """Make the stored tables of a layer known to SQL as ``layer.table``.
+
+    ``part`` is the partition folder to publish where that is not the whole table.
+    """
+    folder = folder.rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{folder}'")
+    for table, schema in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
         spark.catalog.createTable(
-            f"{layer}.{table}", path=f"{root.rstrip('/')}/{layer}/{table}", source="parquet"
+            f"{layer}.{table}", path=f"{folder}/{table}/{part}", source="parquet", schema=schema
         )

@@ -8,7 +8,7 @@ sys.path[:0] = [str(Path(__file__).resolve().parent.parent), str(Path(__file__).
 
 import __spark_entry__ as contract  # noqa: E402
 from compare import connect, difference  # noqa: E402
-from merchantry.session import local_session  # noqa: E402
+from merchantry.session import clear_workspace, local_session  # noqa: E402
 
 if __name__ == "__main__":
     folder, only = sys.argv[1], sys.argv[2:]
@@ -21,4 +21,5 @@ if __name__ == "__main__":
         found = difference(query(spark, folder), con, sql[name])
         failed += bool(found)
         print(f"{name:36} {time.time() - start:6.2f}s {found or 'same'}", flush=True)
+    clear_workspace(spark)
     print("different:", failed)

@@ -14,6 +14,7 @@ from merchantry.sources.bronze import (
     TooManyErrors,
     load_bronze,
     load_raw_table,
+    publish_bronze,
     read_bronze,
     read_rejects,
 )
@@ -142,8 +143,12 @@ def test_the_whole_way_from_files_to_the_star_schema(spark, folder):
         assert df.where(F.col(AUDIT_COLUMN) != F.lit(stamp)).count() == 0
 
     load_gold(spark, f"{root}/silver", f"{root}/gold")
-    for layer, tables in (("bronze", BRONZE), ("silver", SILVER), ("gold", GOLD)):
-        publish(spark, root, layer, list(tables))
+    publish_bronze(spark, f"{root}/bronze")
+    publish(spark, "silver", f"{root}/silver", SILVER)
+    publish(spark, "gold", f"{root}/gold", GOLD)
+    for table in BRONZE:
+        assert spark.table(f"bronze.{table}").count() == counts[table].loaded
+        assert spark.table(f"silver.{table}").schema == SILVER[table]
     assert spark.table("gold.sales").schema == GOLD["sales"]
     lines = read_silver(spark, f"{root}/silver", "crm_sales_details")
     assert spark.table("gold.sales").count() == lines.count()
@@ -162,7 +167,7 @@ def test_the_whole_way_from_files_to_the_star_schema(spark, folder):
     # A second run over the same files changes nothing.
     first = counted(spark.table("gold.sales"))
     load_gold(spark, f"{root}/silver", f"{root}/gold")
-    publish(spark, root, "gold", list(GOLD))
+    publish(spark, "gold", f"{root}/gold", GOLD)
     assert counted(spark.table("gold.sales")) == first
 
 
