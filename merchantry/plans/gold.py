@@ -12,6 +12,23 @@ from ..sources.tables import replace_table
 from .silver import read_silver
 
 
+def enriched_customers(
+    customers: DataFrame, erp_customers: DataFrame, locations: DataFrame
+) -> DataFrame:
+    """Customers with their ERP attributes and location, both by customer key.
+
+    The second lookup goes by a column of its own. Two joins in a row on one
+    column share a shuffle, and adaptive execution does not split a hot key
+    where a later join relies on the partitioning.
+    """
+    erp = erp_customers.select(F.col("cid").alias("_erp_cid"), "bdate", "gen")
+    places = locations.select(F.concat(F.lit("#"), "cid").alias("_place_cid"), "cntry")
+    with_place_key = customers.withColumn("_place_key", F.concat(F.lit("#"), "cst_key"))
+    return left_lookup(
+        left_lookup(with_place_key, erp, "cst_key", "_erp_cid"), places, "_place_key", "_place_cid"
+    )
+
+
 def gold_customers(
     customers: DataFrame, erp_customers: DataFrame, locations: DataFrame
 ) -> DataFrame:
@@ -19,11 +36,7 @@ def gold_customers(
 
     The CRM gender counts; where it is unknown the ERP gender stands in.
     """
-    erp = erp_customers.select(F.col("cid").alias("_erp_cid"), "bdate", "gen")
-    places = locations.select(F.col("cid").alias("_place_cid"), "cntry")
-    joined = left_lookup(
-        left_lookup(customers, erp, "cst_key", "_erp_cid"), places, "cst_key", "_place_cid"
-    )
+    joined = enriched_customers(customers, erp_customers, locations)
     gender = F.when(F.col("cst_gndr") != UNKNOWN, F.col("cst_gndr")).otherwise(
         F.coalesce("gen", F.lit(UNKNOWN))
     )

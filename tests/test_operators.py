@@ -20,6 +20,7 @@ from merchantry.operators import (
 )
 from merchantry.operators.joins import hot_keys
 from merchantry.operators.ordering import BLOCK, POSITION
+from merchantry.plans.gold import enriched_customers
 
 
 @contextmanager
@@ -170,6 +171,26 @@ def test_a_hot_key_on_the_left_is_split_by_the_adaptive_join(spark):
         assert df.where("rv IS NULL").count() == 0 and df.count() == 300_000
 
 
+def test_both_lookups_of_a_customer_split_a_hot_key(spark):
+    n = F.col("id")
+    key = F.when(n % 3 == 0, None).when(n % 3 == 1, "AW7").otherwise(F.concat(F.lit("AW"), n % 5000))
+    customers = spark.range(150_000).select(
+        n.alias("cst_id"), key.alias("cst_key"), F.sha2(n.cast("string"), 256).alias("cst_firstname")
+    )
+    ids = spark.range(5000).select(F.concat(F.lit("AW"), n).alias("cid"), n)
+    erp = ids.select("cid", F.lit(None).cast("date").alias("bdate"), F.lit("Male").alias("gen"))
+    places = ids.select("cid", F.md5(n.cast("string")).alias("cntry"))
+    with no_broadcast(spark), settings(
+        spark,
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="500KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="500KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    ):
+        df = enriched_customers(customers.repartition(8), erp, places)
+        assert final_plan_of(df).split("Initial Plan")[0].count("skew=true") == 2
+        assert df.count() == 150_000 and df.where("cntry IS NULL").count() == 50_000
+
+
 def test_latest_per_key_limits_groups_in_the_map_tasks(spark):
     df = skewed(spark)
     latest = latest_per_key(df, "k", "v")
