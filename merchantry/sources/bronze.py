@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import BRONZE
-from .tables import Replacement, publish
+from .tables import Replacement, create_database
 
 # The file each table is loaded from, below the source folder.
 SOURCE_FILES = {
@@ -25,7 +25,7 @@ SOURCE_FILES = {
 # Fixed value: malformed lines a bulk load puts up with before it fails.
 DEFAULT_MAX_ERRORS = 10
 
-BAD_LINE, ACCEPTED = "bad_line", "accepted"
+BAD_LINE = "bad_line"
 
 
 class TooManyErrors(RuntimeError):
@@ -66,23 +66,23 @@ def load_raw_table(
 ) -> LoadCount:
     """Full refresh of one raw table; ``max_errors`` of None allows any number.
 
-    The file is read once: good and bad lines go to two partitions of the same
-    write, and the counts are observed while it runs.
+    The file is read once. Bad lines stay in the table, as text in a column of
+    their own that readers filter on; it is empty otherwise and costs next to
+    nothing. The counts are observed while the write runs.
     """
     seen = Observation()
-    lines = read_raw_csv(spark, source, schema).withColumn(ACCEPTED, F.col(BAD_LINE).isNull())
-    observed = lines.observe(
-        seen,
-        F.count_if(ACCEPTED).alias("loaded"),
-        F.count_if(~F.col(ACCEPTED)).alias("rejected"),
+    is_bad = F.col(BAD_LINE).isNotNull()
+    lines = read_raw_csv(spark, source, schema).observe(
+        seen, F.count_if(~is_bad).alias("loaded"), F.count_if(is_bad).alias("rejected")
     )
-    replacement = Replacement(spark, target)
-    replacement.write(observed, partition_by=[ACCEPTED])
-    counts = LoadCount(**seen.get)
-    if max_errors is not None and counts.rejected > max_errors:
-        replacement.abandon()
-        raise TooManyErrors(f"{source}: {counts.rejected} malformed lines, {max_errors} allowed")
-    replacement.commit()
+    with Replacement(spark, target) as replacement:
+        replacement.write(lines)
+        counts = LoadCount(**seen.get)
+        if max_errors is not None and counts.rejected > max_errors:
+            raise TooManyErrors(
+                f"{source}: {counts.rejected} malformed lines, {max_errors} allowed"
+            )
+        replacement.commit()
     return counts
 
 
@@ -103,21 +103,26 @@ def load_bronze(
 
 
 def _stored(spark: SparkSession, bronze_dir: str, table: str) -> DataFrame:
-    kept = [StructField(BAD_LINE, StringType()), StructField(ACCEPTED, BooleanType())]
-    schema = StructType([*BRONZE[table].fields, *kept])
+    schema = StructType([*BRONZE[table].fields, StructField(BAD_LINE, StringType())])
     return spark.read.schema(schema).parquet(f"{bronze_dir}/{table}")
 
 
 def read_bronze(spark: SparkSession, bronze_dir: str, table: str) -> DataFrame:
-    """Scan of a raw table; the partition of bad lines is not read."""
-    return _stored(spark, bronze_dir, table).where(ACCEPTED).drop(BAD_LINE, ACCEPTED)
+    """Scan of a raw table without its malformed lines."""
+    return _stored(spark, bronze_dir, table).where(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
 
 
 def read_rejects(spark: SparkSession, bronze_dir: str, table: str) -> DataFrame:
     """The malformed lines of a raw table's last load, as text."""
-    return _stored(spark, bronze_dir, table).where(~F.col(ACCEPTED)).select(BAD_LINE)
+    return _stored(spark, bronze_dir, table).where(F.col(BAD_LINE).isNotNull()).select(BAD_LINE)
 
 
 def publish_bronze(spark: SparkSession, bronze_dir: str) -> None:
     """Make the raw tables known to SQL as ``bronze.<table>``, without the malformed lines."""
-    publish(spark, "bronze", bronze_dir, BRONZE, part=f"{ACCEPTED}=true")
+    create_database(spark, "bronze", bronze_dir)
+    for table, schema in BRONZE.items():
+        columns = ", ".join(schema.fieldNames())
+        spark.sql(
+            f"CREATE OR REPLACE VIEW bronze.{table} AS SELECT {columns}"
+            f" FROM parquet.`{bronze_dir}/{table}` WHERE {BAD_LINE} IS NULL"
+        )

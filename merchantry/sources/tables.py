@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -44,7 +44,8 @@ def state(spark: SparkSession, location: str) -> tuple[int, int, int]:
 class Replacement:
     """A full refresh in two steps: write beside the target, then take its place.
 
-    Whatever fails before ``commit`` leaves the old table as it was.
+    Used in a ``with`` block. Whatever fails before ``commit`` leaves the old
+    table as it was and removes what was written.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -53,8 +54,8 @@ class Replacement:
         folder, _, name = self.path.rpartition("/")
         self.beside = f"{folder}/_loading-{name}-{uuid.uuid4().hex}"
 
-    def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        df.write.partitionBy(*partition_by).parquet(self.beside)
+    def write(self, df: DataFrame) -> None:
+        df.write.parquet(self.beside)
 
     def commit(self) -> None:
         if not _exists(self.spark, self.path):
@@ -69,28 +70,32 @@ class Replacement:
             raise
         delete(self.spark, previous)
 
-    def abandon(self) -> None:
-        delete(self.spark, self.beside)
+    def __enter__(self) -> Replacement:
+        return self
 
+    def __exit__(self, error, *_) -> None:
+        if error is not None:
+            delete(self.spark, self.beside)
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+
+def replace_table(df: DataFrame, path: str) -> None:
     """Full refresh of the table at ``path``."""
-    replacement = Replacement(df.sparkSession, path)
-    replacement.write(df, partition_by)
-    replacement.commit()
+    with Replacement(df.sparkSession, path) as replacement:
+        replacement.write(df)
+        replacement.commit()
+
+
+def create_database(spark: SparkSession, layer: str, folder: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{folder.rstrip('/')}'")
 
 
 def publish(
-    spark: SparkSession, layer: str, folder: str, tables: Mapping[str, StructType], part: str = ""
+    spark: SparkSession, layer: str, folder: str, tables: Mapping[str, StructType]
 ) -> None:
-    """Make the stored tables of a layer known to SQL as ``layer.table``.
-
-    ``part`` is the partition folder to publish where that is not the whole table.
-    """
-    folder = folder.rstrip("/")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{folder}'")
+    """Make the stored tables of a layer known to SQL as ``layer.table``."""
+    create_database(spark, layer, folder)
     for table, schema in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
         spark.catalog.createTable(
-            f"{layer}.{table}", path=f"{folder}/{table}/{part}", source="parquet", schema=schema
+            f"{layer}.{table}", path=f"{folder.rstrip('/')}/{table}", source="parquet", schema=schema
         )
