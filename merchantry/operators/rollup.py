@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,7 @@ def roll_up(
     measures: Mapping[str, str],
     by: Sequence[str] = (),
     members: str | None = None,
+    label: Column | None = None,
 ) -> DataFrame:
     """Sum ``measures`` (output name to fact column) by attributes and ``by``.
 
@@ -24,7 +25,8 @@ def roll_up(
     the shuffle, and the join meets each key once per value of ``by``: no fact
     row is shuffled and neither join side can be skewed. ``key`` is unique in
     the dimension. ``members`` names a column for the number of distinct
-    dimension rows behind each result row; it needs an empty ``by``.
+    dimension rows behind each result row; it needs an empty ``by``. ``label``
+    is an expression over the attributes to group by in their place.
     """
     per_key = fact.groupBy(key, *by).agg(
         *[F.sum(column).alias(name) for name, column in measures.items()]
@@ -34,4 +36,5 @@ def roll_up(
     sums = [F.sum(name).alias(name) for name in measures]
     if members is not None:
         sums.append(F.count("_key").alias(members))
-    return joined.groupBy(*by, *attributes).agg(*sums)
+    groups = attributes if label is None else [label]
+    return joined.groupBy(*by, *groups).agg(*sums)

@@ -65,9 +65,10 @@ def revenue_by_subcategory(sales: DataFrame, products: DataFrame) -> DataFrame:
 
 def _customer_revenue(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue per full name; sales without a customer come under a name of one space."""
-    per_customer = roll_up(sales, customers, "customer_key", ["first_name", "last_name"], REVENUE)
-    name = concat_text(F.col("first_name"), F.lit(" "), F.col("last_name"))
-    return per_customer.groupBy(name.alias("customer_name")).agg(F.sum("revenue").alias("revenue"))
+    first_name, last_name = F.col("first_name"), F.col("last_name")
+    name = concat_text(first_name, F.lit(" "), last_name).alias("customer_name")
+    names = ["first_name", "last_name"]
+    return roll_up(sales, customers, "customer_key", names, REVENUE, label=name)
 
 
 def revenue_by_customer(sales: DataFrame, customers: DataFrame) -> DataFrame:

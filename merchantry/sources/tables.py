@@ -51,8 +51,8 @@ class Replacement:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        folder, _, name = self.path.rpartition("/")
-        self.beside = f"{folder}/_loading-{name}-{uuid.uuid4().hex}"
+        folder, slash, name = self.path.rpartition("/")
+        self.beside = f"{folder}{slash}_loading-{name}-{uuid.uuid4().hex}"
 
     def write(self, df: DataFrame) -> None:
         df.write.parquet(self.beside)
@@ -92,7 +92,10 @@ def create_database(spark: SparkSession, layer: str, folder: str) -> None:
 def publish(
     spark: SparkSession, layer: str, folder: str, tables: Mapping[str, StructType]
 ) -> None:
-    """Make the stored tables of a layer known to SQL as ``layer.table``."""
+    """Make the stored tables of a layer known to SQL as ``layer.table``.
+
+    To be done again after a refresh, as Spark remembers the files of a table.
+    """
     create_database(spark, layer, folder)
     for table, schema in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
