@@ -26,8 +26,11 @@ def hot_keys(df: DataFrame, key: str, modest_group: int = MODEST_GROUP) -> dict[
     One pass with frequent-items sketches: what is shuffled is one sketch of
     bounded size per map task, not the keys. A key above twice the fraction of
     all rows is above the fraction in enough groups of tasks to be found. At
-    most MERGERS rows of HOT_FRACTION items come to the driver.
+    most MERGERS rows of HOT_FRACTION items come to the driver. A table of few
+    rows has no such key, and a count reads next to nothing.
     """
+    if df.count() <= modest_group:
+        return {}
     frequent = F.call_function(
         "approx_top_k", F.col(key), F.lit(HOT_FRACTION), F.lit(TRACKED)
     ).alias("frequent")

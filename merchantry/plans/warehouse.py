@@ -9,9 +9,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import BRONZE, GOLD
-from ..session import store
+from ..session import store, workspace
 from ..sources.sample_data import SAMPLE_TABLES, raw_tables
-from ..sources.tables import state
+from ..sources.tables import exists, state
 from . import gold, silver
 
 
@@ -88,10 +88,11 @@ _open: dict[tuple, Warehouse] = {}
 def open_warehouse(spark: SparkSession, folder: str, as_of: date | None = None) -> Warehouse:
     """The warehouse over the sample tables in ``folder``.
 
-    The same one for the whole application, until one of its tables changes.
+    The same one for the whole application, until one of its tables changes or
+    the folder of stored tables is cleared.
     """
     files = tuple(state(spark, f"{folder}/{name}.parquet") for name in SAMPLE_TABLES)
     key = (spark.sparkContext.applicationId, folder, as_of, files)
-    if key not in _open:
+    if key not in _open or not exists(spark, workspace(spark)):
         _open[key] = Warehouse(raw_tables(spark, folder), as_of)
     return _open[key]

@@ -22,7 +22,7 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
-def _exists(spark: SparkSession, location: str) -> bool:
+def exists(spark: SparkSession, location: str) -> bool:
     system, path = _file_system(spark, location)
     return system.exists(path)
 
@@ -58,7 +58,7 @@ class Replacement:
         df.write.parquet(self.beside)
 
     def commit(self) -> None:
-        if not _exists(self.spark, self.path):
+        if not exists(self.spark, self.path):
             _rename(self.spark, self.beside, self.path)
             return
         previous = f"{self.beside}-previous"
