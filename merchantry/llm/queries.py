@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ring, rules
+from . import mixing, ring, rules, syncmers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,14 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of edited texts, and how alike they are."""
+    found = syncmers.fingerprint_edits(_read(spark, folder, "documents"))
+    return found.withColumns(
+        {c: syncmers.fingerprint_text(F.col(c)) for c in ("fingerprint", "edited_fingerprint")}
+    )
+
+
 def op2_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards whose row counts are at most one apart."""
     return ring.shard_documents(_read(spark, folder, "documents"), 16).select(
@@ -34,6 +42,11 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge_documents(_read(spark, folder, "documents"))
 
 
+def op8_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document in a mix of all sources by their weights."""
+    return mixing.mix_documents(_read(spark, folder, "documents"))
+
+
 _OP6_SQL = r"""
 WITH measured AS (
     SELECT doc_id, coalesce(text, '') AS t,
@@ -70,12 +83,65 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failing
 """
 
+# The share is raised until no source that is not stopped goes over three times its size.
+_OP8_SQL = r"""
+WITH RECURSIVE sized AS (
+    SELECT doc_id, source, md5(coalesce(text, '')) AS row_hash,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+    FROM documents
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+        (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+    FROM sized GROUP BY source
+), shares(step, share) AS (
+    SELECT 0, 0::DOUBLE
+    UNION ALL
+    SELECT step + 1, (
+        SELECT (sum(source_size) - coalesce(sum(3 * source_size)
+                FILTER (weight * share > 3 * source_size), 0))::DOUBLE
+            / (sum(weight) FILTER (weight * share <= 3 * source_size))::DOUBLE
+        FROM sources)
+    FROM shares WHERE step < (SELECT count(*) + 1 FROM sources)
+), final AS (
+    SELECT max(share) AS share FROM shares
+), targets AS (
+    SELECT source, source_size,
+        CASE WHEN weight * share > 3 * source_size THEN (3 * source_size)::DOUBLE
+            ELSE weight * share END AS target
+    FROM sources, final
+), wanted AS (
+    SELECT s.*, t.source_size, t.target,
+        CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS copies,
+        (('0x' || substr(md5(concat_ws('|', 'mix', s.doc_id::VARCHAR, s.row_hash)), 1, 13))::BIGINT
+            + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), ranked AS (
+    SELECT *, floor(copies)::BIGINT AS whole,
+        CASE WHEN copies > floor(copies) AND size > 0 THEN
+            (u / (1 - u)) / ((copies - floor(copies)) / (1 - (copies - floor(copies)))) END AS odds
+    FROM wanted
+), placed AS (
+    SELECT *, sum(floor(copies)::BIGINT * size) OVER (PARTITION BY source) AS certain,
+        sum(size) OVER (PARTITION BY source ORDER BY odds, doc_id, row_hash
+            ROWS UNBOUNDED PRECEDING) - size AS before
+    FROM ranked WHERE odds IS NOT NULL
+    UNION ALL
+    SELECT *, NULL, NULL FROM ranked WHERE odds IS NULL
+)
+SELECT doc_id, size, source_size, target,
+    ((whole + CASE WHEN odds IS NOT NULL AND before + size / 2 <= target - certain
+        THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM placed
+"""
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_syncmer_fingerprints,
         op2_ring_shards,
         op6_quality_rules,
+        op8_pareto_mix,
     )
 }
 
-SQL: dict[str, str] = {"op6_quality_rules": _OP6_SQL}
+SQL: dict[str, str] = {"op6_quality_rules": _OP6_SQL, "op8_pareto_mix": _OP8_SQL}
