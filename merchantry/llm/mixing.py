@@ -91,7 +91,10 @@ def running_before(rows: DataFrame, group: str, order: list[str], amount: str, n
         (F.col("_offset") + F.coalesce(F.sum(amount).over(inside), F.lit(0))).alias("_all"),
     )
     placed = store(placed, "running")
-    starts = placed.groupBy(F.col(group).alias("_group")).agg(F.min("_all").alias("_start"))
+    # Stored, so that Spark knows its size and can split a hot group in the join.
+    starts = store(
+        placed.groupBy(F.col(group).alias("_group")).agg(F.min("_all").alias("_start")), "starts"
+    )
     return placed.join(starts, F.col(group).eqNullSafe(F.col("_group"))).select(
         *rows.columns, (F.col("_all") - F.col("_start")).alias(name)
     )
@@ -113,8 +116,11 @@ def mix(
     if weight is None:
         wanted = F.col("target") / F.col("source_size")
     else:
-        sums = sizes.groupBy(F.col("source").alias("_s")).agg(
-            F.sum(F.col(weight) * F.col("size")).alias("_w")
+        sums = store(
+            sizes.groupBy(F.col("source").alias("_s")).agg(
+                F.sum(F.col(weight) * F.col("size")).alias("_w")
+            ),
+            "weighted-sizes",
         )
         known = known.join(sums, known["source"].eqNullSafe(F.col("_s"))).drop("_s")
         # No document is wanted more often than the limit, whatever it weighs.
@@ -126,8 +132,11 @@ def mix(
     rank = F.when(odds > 0, (u / (1 - u)) / (odds / (1 - odds)))
     ranked = known.withColumns({"_whole": whole.cast("int"), "_rank": rank})
     # Words the certain copies take, and what is left of the target.
-    certain = ranked.groupBy(F.col("source").alias("_src")).agg(
-        F.sum(F.col("_whole") * F.col("size")).alias("_certain")
+    certain = store(
+        ranked.groupBy(F.col("source").alias("_src")).agg(
+            F.sum(F.col("_whole") * F.col("size")).alias("_certain")
+        ),
+        "certain-copies",
     )
     drawn = running_before(
         ranked.where(F.col("_rank").isNotNull() & (F.col("size") > 0)),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ring, rules, syncmers
+from ..session import workspace
+from . import html, mixing, ring, rules, syncmers, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +39,13 @@ def op2_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_warc_records(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to an archive and read back."""
+    path = f"{workspace(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_pages(_read(spark, folder, "pages"), path)
+    return warc.read_pages(spark, path)
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures and verdict of every document."""
     return rules.judge_documents(_read(spark, folder, "documents"))
@@ -47,6 +56,25 @@ def op8_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(_read(spark, folder, "documents"))
 
 
+def op10_line_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(_read(spark, folder, "pages"))
+
+
+_OP4_SQL = """
+WITH digests AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+        sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digests
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END
+        AS record_type,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
 _OP6_SQL = r"""
 WITH measured AS (
     SELECT doc_id, coalesce(text, '') AS t,
@@ -139,9 +167,15 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_syncmer_fingerprints,
         op2_ring_shards,
+        op4_warc_records,
         op6_quality_rules,
         op8_pareto_mix,
+        op10_line_blocks,
     )
 }
 
-SQL: dict[str, str] = {"op6_quality_rules": _OP6_SQL, "op8_pareto_mix": _OP8_SQL}
+SQL: dict[str, str] = {
+    "op4_warc_records": _OP4_SQL,
+    "op6_quality_rules": _OP6_SQL,
+    "op8_pareto_mix": _OP8_SQL,
+}
