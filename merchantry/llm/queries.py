@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import workspace
-from . import html, mixing, ring, rules, syncmers, warc
+from . import html, minhash, mixing, ring, rules, syncmers, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,11 @@ def op8_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(_read(spark, folder, "documents"))
 
 
+def op9_minhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Group of near-duplicates of every document."""
+    return minhash.near_duplicates(_read(spark, folder, "documents"))
+
+
 def op10_line_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(_read(spark, folder, "pages"))
@@ -170,6 +175,7 @@ QUERIES: dict[str, Query] = {
         op4_warc_records,
         op6_quality_rules,
         op8_pareto_mix,
+        op9_minhash_groups,
         op10_line_blocks,
     )
 }
