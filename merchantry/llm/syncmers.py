@@ -154,9 +154,8 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     links = numbered.select("number", F.bitwise_not("down").alias("key_id"), "key_hash").join(
         after, "number"
     )
-    whole = rows.join(
-        known.drop("doc_id").join(links.drop("number"), key), key
-    )
+    # Texts travel with their key alone, so both uses below read one shuffle.
+    whole = rows.select(*key, "text").join(known.join(links.drop("number"), key), key)
     once = F.row_number().over(W.partitionBy(*key).orderBy(*key))
     heads = (
         whole.withColumn("once", once)
