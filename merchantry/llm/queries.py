@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import workspace
-from . import html, minhash, mixing, ring, rules, syncmers, warc
+from . import html, lines, minhash, mixing, ring, rules, syncmers, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,13 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge_documents(_read(spark, folder, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Text of every document without lines that stand earlier in the corpus."""
+    return lines.without_repeats(_read(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "dropped_lines", "text"
+    )
+
+
 def op8_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document in a mix of all sources by their weights."""
     return mixing.mix_documents(_read(spark, folder, "documents"))
@@ -174,6 +181,7 @@ QUERIES: dict[str, Query] = {
         op2_ring_shards,
         op4_warc_records,
         op6_quality_rules,
+        op7_line_dedup,
         op8_pareto_mix,
         op9_minhash_groups,
         op10_line_blocks,
