@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import workspace
-from . import html, lines, minhash, mixing, ring, rules, syncmers, warc
+from . import html, lines, lm, minhash, mixing, ring, rules, syncmers, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,11 @@ def op4_warc_records(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_pages(spark, path)
 
 
+def op5_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of every document by the base and by the interpolated model."""
+    return lm.score_documents(_read(spark, folder, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures and verdict of every document."""
     return rules.judge_documents(_read(spark, folder, "documents"))
@@ -180,6 +185,7 @@ QUERIES: dict[str, Query] = {
         op1_syncmer_fingerprints,
         op2_ring_shards,
         op4_warc_records,
+        op5_deleted_interpolation,
         op6_quality_rules,
         op7_line_dedup,
         op8_pareto_mix,
