@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import workspace
-from . import html, lines, lm, minhash, mixing, ring, rules, syncmers, warc
+from . import html, lines, lm, minhash, mixing, pieces, ring, rules, syncmers, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,11 @@ def op2_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_piece_segmentations(spark: SparkSession, folder: str) -> DataFrame:
+    """The three best segmentations of every document."""
+    return pieces.encode(_read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_warc_records(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written to an archive and read back."""
     path = f"{workspace(spark)}/warc-{uuid.uuid4().hex}"
@@ -184,6 +189,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_syncmer_fingerprints,
         op2_ring_shards,
+        op3_piece_segmentations,
         op4_warc_records,
         op5_deleted_interpolation,
         op6_quality_rules,
