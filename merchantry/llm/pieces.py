@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BEST = 3
 SPACE = "▁"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 700_000
 
 # Below any piece of the model, so that bytes are used only where no piece fits.
 BYTE_PENALTY = 10.0
@@ -51,9 +51,19 @@ class Vocabulary:
     def __post_init__(self):
         self.longest = max(map(len, self.ids), default=1)
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        # Every beginning of a piece; -1 if it is no piece itself.
+        self.begun = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         self.worst = min((self.scores[i] for i in self.ids.values()), default=0.0) - BYTE_PENALTY
 
 
+    def uncovered(self, character: str) -> tuple[tuple[int, ...], float]:
+        """Ids and score of a character that is no piece."""
+        if not self.bytes:
+            return (self.unknown,), self.worst
+        ids = tuple(self.bytes[b] for b in character.encode("utf-8", "replace"))
+        return ids, self.worst * len(ids)
+
+
 @lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     """Read a SentencePiece model file.
@@ -100,17 +110,14 @@ def edges(text: str, vocab: Vocabulary) -> list[list[tuple[int, tuple[int, ...],
     for start in range(n):
         single = False
         for end in range(start + 1, min(n, start + vocab.longest) + 1):
-            piece = vocab.ids.get(text[start:end])
-            if piece is not None:
+            piece = vocab.begun.get(text[start:end])
+            if piece is None:
+                break
+            if piece >= 0:
                 into[end].append((start, (piece,), vocab.scores[piece]))
                 single |= end == start + 1
         if not single:
-            codes = text[start].encode("utf-8", "replace")
-            if vocab.bytes:
-                ids = tuple(vocab.bytes[b] for b in codes)
-                into[start + 1].append((start, ids, vocab.worst * len(ids)))
-            else:
-                into[start + 1].append((start, (vocab.unknown,), vocab.worst))
+            into[start + 1].append((start, *vocab.uncovered(text[start])))
     return into
 
 
@@ -151,35 +158,41 @@ def best_and_loss(text: str, vocab: Vocabulary) -> tuple[float, tuple[int, ...],
     and the backward score of its end; any other segmentation has an edge that
     the best has not.
     """
-    n = len(text)
-    into = edges(text, vocab)
-    forward, back = [0.0] + [-math.inf] * n, [None] * (n + 1)
-    for end in range(1, n + 1):
-        best = -math.inf
-        for edge in into[end]:
-            score = forward[edge[0]] + edge[2]
-            if score > best:
-                best, back[end] = score, edge
-        forward[end] = best
-    rest = [-math.inf] * n + [0.0]
-    for end in range(n, 0, -1):
-        beyond = rest[end]
-        for start, _, score in into[end]:
-            if score + beyond > rest[start]:
-                rest[start] = score + beyond
-    ids: list[int] = []
-    other, end, chosen = -math.inf, n, set()
+    n, get, scores, longest = len(text), vocab.begun.get, vocab.scores, vocab.longest
+    forward, back = [0.0] + [-math.inf] * n, [(0, (0,))] * (n + 1)
+    found: list[tuple[int, int, float]] = []
+    for start in range(n):
+        here, single = forward[start], False
+        for end in range(start + 1, min(n, start + longest) + 1):
+            piece = get(text[start:end])
+            if piece is None:
+                break
+            if piece >= 0:
+                score = scores[piece]
+                found.append((start, end, score))
+                single |= end == start + 1
+                if here + score > forward[end]:
+                    forward[end], back[end] = here + score, (start, (piece,))
+        if not single:
+            ids, score = vocab.uncovered(text[start])
+            found.append((start, start + 1, score))
+            if here + score > forward[start + 1]:
+                forward[start + 1], back[start + 1] = here + score, (start, ids)
+    parts, path, end = [], {}, n
     while end:
-        chosen.add(id(back[end]))
-        ids[:0] = back[end][1]
+        path[end] = back[end][0]
+        parts.append(back[end][1])
         end = back[end][0]
-    for end in range(1, n + 1):
-        beyond = rest[end]
-        for edge in into[end]:
-            score = forward[edge[0]] + edge[2] + beyond
-            if score > other and id(edge) not in chosen:
-                other = score
-    return forward[n], tuple(ids), max(0.0, forward[n] - other)
+    rest = [-math.inf] * n + [0.0]
+    for start, end, score in reversed(found):
+        if score + rest[end] > rest[start]:
+            rest[start] = score + rest[end]
+    other = -math.inf
+    for start, end, score in found:
+        whole = forward[start] + score + rest[end]
+        if whole > other and path.get(end) != start:
+            other = whole
+    return forward[n], tuple(i for part in reversed(parts) for i in part), max(0.0, forward[n] - other)
 
 
 class Encoder:
