@@ -15,13 +15,42 @@ from pyspark.sql import functions as F
 
 from ..session import store
 
-# Rows of two or three numbers that may be broadcast: a few megabytes.
-SMALL_ROWS = 100_000
+# Bits of the filter that rows are passed through before a shuffle: always four megabytes.
+FILTER_BITS = 1 << 25
 
 
-def hinted(df: DataFrame) -> DataFrame:
-    """A stored narrow table, marked for broadcast if a count shows that it is small."""
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+# Groups in a bucket from which on it is cut finer.
+LARGE = 16
+
+
+def passing(rows: DataFrame, column: str, wanted: DataFrame, wanted_column: str) -> DataFrame:
+    """``rows`` whose hash in ``column`` may be among those of ``wanted``, before a join on it.
+
+    The hashes wanted become a bitmap of fixed size, built in the map tasks and
+    broadcast; it lets pass all rows that are wanted and others by chance, more
+    of them the more are wanted. So texts that nobody asks for are not shuffled.
+    """
+    place = F.pmod(F.col(wanted_column), F.lit(FILTER_BITS))
+    bitmap = store(
+        wanted.select(
+            F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_at")
+        )
+        .groupBy("_bucket")
+        .agg(F.bitmap_construct_agg("_at").alias("_bits")),
+        "filter",
+    )
+    here = F.pmod(F.col(column), F.lit(FILTER_BITS))
+    byte = F.conv(
+        F.hex(F.substring("_bits", (F.floor(F.col("_position") / 8) + 1).cast("int"), F.lit(1))), 16, 10
+    ).cast("int")
+    marked = rows.withColumns(
+        {"_part": F.bitmap_bucket_number(here), "_position": F.bitmap_bit_position(here)}
+    )
+    return (
+        marked.join(F.broadcast(bitmap), F.col("_part") == F.col("_bucket"))
+        .where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (F.col("_position") % 8).cast("int"))) != 0)
+        .select(*rows.columns)
+    )
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -77,13 +106,17 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def bucket_links(
-    keys: DataFrame, verify: Callable[[DataFrame], DataFrame]
+    keys: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    refine: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Links (a, b) that ``verify`` leaves of the pairs sharing a bucket, enough for all groups.
 
     ``keys`` has a row (key, id) per bucket an id is in; repeats do no harm.
     ``verify`` takes pairs (a, b) and returns those that are links. Pairs whose
-    ids are in one group already are not looked at again.
+    ids are in one group already are not looked at again. Buckets that still
+    hold more than LARGE groups are cut finer by ``refine``, which takes rows
+    (key, id, component) and returns such rows with keys of its own.
     """
     buckets = store(
         keys.groupBy("key")
@@ -105,21 +138,29 @@ def bucket_links(
         ),
         "labelled",
     )
-    held = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    several = store(
-        held.groupBy("key").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1").select("key"),
-        "mixed-buckets",
-    )
-    if several.isEmpty():
+    def groups_of(rows: DataFrame) -> DataFrame:
+        """Keys whose rows are in several groups, and in how many."""
+        held = rows.select("key", "component").distinct()
+        return held.groupBy("key").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
+
+    several = store(groups_of(labelled), "mixed-buckets")
+    mixed = labelled.join(several, "key")
+    if refine:
+        large = store(
+            mixed.where(F.col("groups") > LARGE).select("key", "id", "component"), "large-buckets"
+        )
+        finer = store(refine(large).select("key", "id", "component").distinct(), "finer-buckets")
+        finer = finer.join(groups_of(finer), "key").select("key", "id", "component")
+        mixed = mixed.where(F.col("groups") <= LARGE).select("key", "id", "component").union(finer)
+    mixed = store(mixed.select("key", "id", "component"), "mixed-members")
+    if mixed.isEmpty():
         return first
-    parts = store(
-        held.join(several, "key", "left_semi").select("key", "component"), "bucket-groups"
-    )
+    parts = store(mixed.select("key", "component").distinct(), "bucket-groups")
     crossing = parts.select("key", F.col("component").alias("x")).join(
         parts.select("key", F.col("component").alias("y")), "key"
     ).where("x < y")
-    left = labelled.select("key", F.col("id").alias("a"), F.col("component").alias("x"))
-    right = labelled.select("key", F.col("id").alias("b"), F.col("component").alias("y"))
+    left = mixed.select("key", F.col("id").alias("a"), F.col("component").alias("x"))
+    right = mixed.select("key", F.col("id").alias("b"), F.col("component").alias("y"))
     rest = store(
         crossing.join(left, ["key", "x"])
         .join(right, ["key", "y"])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
-from .clusters import bucket_links, components, hinted
+from .clusters import bucket_links, components, passing
 
 WORDS = 5
 PERCENT = 75
@@ -29,9 +29,12 @@ PERCENT = 75
 BANDS, BAND_ROWS = 64, 7
 
 # Hashes of the signature that are compared, in batches, and the miss probability.
-COMPARED, BATCH = 128, 32
+COMPARED, BATCH = 256, 32
 MISS = 1e-6
 
+# A bucket of many groups is cut by bands of the compared hashes; 0.75 is missed by 6e-5.
+FINE_BANDS, FINE_ROWS = 36, 5
+
 CACHED_WORDS = 500_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -154,6 +157,19 @@ def _prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.iloc[alive][["a", "b"]]
 
 
+def _fine_bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of a bucket with the hashes of their classes to the keys of finer buckets."""
+    seeds = _mixed(np.arange(1, FINE_BANDS + 1, dtype=np.uint64))
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            hashes = np.frombuffer(b"".join(batch["hashes"]), np.uint16).reshape(-1, COMPARED)
+            columns = hashes[:, : FINE_BANDS * FINE_ROWS].reshape(-1, FINE_BANDS, FINE_ROWS)
+            keys = batch["key"].to_numpy().view(np.uint64)[:, None] ^ seeds[None, :]
+            for k in range(FINE_ROWS):
+                keys = _mixed(keys * _MULTIPLIER + columns[:, :, k])
+            yield batch[["id", "component"]].assign(keys=list(keys.view(np.int64)))
+
+
 def _exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs with both texts to those whose full sets are similar enough."""
     known = _Words()
@@ -206,51 +222,53 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "classes",
     )
 
+    # One row per class, with its compared hashes.
+    stands = classes.select(F.col("class").alias("of"), "doc_id", "text_hash")
+    sides = signed.join(
+        stands,
+        (signed["class"] == stands["of"])
+        & signed["doc_id"].eqNullSafe(stands["doc_id"])
+        & (signed["text_hash"] == stands["text_hash"]),
+        "left_semi",
+    ).select("class", "hashes").dropDuplicates(["class"])
+
     def verify(pairs: DataFrame) -> DataFrame:
-        sides = signed.join(
-            classes.drop("least"),
-            (signed["class"] == classes["class"])
-            & signed["doc_id"].eqNullSafe(classes["doc_id"])
-            & (signed["text_hash"] == classes["text_hash"]),
-            "left_semi",
-        ).dropDuplicates(["class"]).select("class", "hashes")
         first = sides.select(F.col("class").alias("a"), F.col("hashes").alias("hashes_a"))
         second = sides.select(F.col("class").alias("b"), F.col("hashes").alias("hashes_b"))
         likely = store(
             pairs.join(first, "a").join(second, "b").mapInPandas(_prune, "a bigint, b bigint"),
             "likely",
         )
-        stands = classes.select("class", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-        # Who is needed where: the text of each side, under the pair's second class.
-        needed = hinted(
-            store(
-                likely.join(stands, F.col("a") == F.col("class")).select("a", "b", "id", "hash"),
-                "needed",
-            )
+        # Which text is needed for which pair: of the first class under the second, and of the second.
+        wanted = store(
+            likely.union(likely.select(F.col("b").alias("a"), "b").distinct())
+            .join(stands, F.col("a") == F.col("of"))
+            .select("a", "b", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")),
+            "wanted",
         )
-        heads = hinted(
-            store(
-                likely.select("b").distinct().join(stands, F.col("b") == F.col("class")).select(
-                    "b", "id", "hash"
-                ),
-                "needed",
-            )
+        asked = passing(rows, "text_hash", wanted, "hash")
+        found = store(
+            asked.join(
+                wanted, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))
+            ).select("a", "b", "text"),
+            "wanted-texts",
+        )
+        members = found.where("a <> b").withColumnRenamed("text", "text_a")
+        leaders = found.where("a = b").select("b", F.col("text").alias("text_b"))
+        return members.join(leaders, "b").mapInPandas(_exact, "a bigint, b bigint").distinct()
+
+    def refine(members: DataFrame) -> DataFrame:
+        hashes = sides.select(F.col("class").alias("id"), "hashes")
+        return (
+            members.join(hashes, "id")
+            .mapInPandas(_fine_bands, "id bigint, component bigint, keys array<bigint>")
+            .select(F.explode("keys").alias("key"), "id", "component")
         )
-
-        def texts(of: DataFrame, *columns: str) -> DataFrame:
-            return rows.join(
-                of, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))
-            ).select(*columns, "text")
-
-        members = texts(needed, "a", "b").withColumnRenamed("text", "text_a")
-        leaders = store(texts(heads, "b").withColumnRenamed("text", "text_b"), "leader-texts")
-        both = members.join(leaders.dropDuplicates(["b"]), "b")
-        return both.mapInPandas(_exact, "a bigint, b bigint").distinct()
 
     bands = signed.where(F.col("class").isNotNull()).select(
         F.explode("bands").alias("key"), F.col("class").alias("id")
     )
-    groups = components(bucket_links(bands, verify)).withColumnRenamed("id", "class")
+    groups = components(bucket_links(bands, verify, refine)).withColumnRenamed("id", "class")
     named = classes.select("class", "least").join(groups, "class", "left").select(
         "class", "least", F.coalesce("component", "class").alias("component")
     )
@@ -277,5 +295,5 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     found = near_duplicates(docs).where(F.col("doc_id").isNotNull() & ~F.col("kept"))
     dropped = store(found.select(F.col("doc_id").alias("dropped_id")).distinct(), "dropped")
-    kept = docs.join(hinted(dropped), docs["doc_id"] == F.col("dropped_id"), "left_anti")
+    kept = docs.join(dropped, docs["doc_id"] == F.col("dropped_id"), "left_anti")
     return kept.select(*[f"`{c}`" for c in docs.columns])
