@@ -23,12 +23,15 @@ FILTER_BITS = 1 << 25
 LARGE = 16
 
 
-def passing(rows: DataFrame, column: str, wanted: DataFrame, wanted_column: str) -> DataFrame:
-    """``rows`` whose hash in ``column`` may be among those of ``wanted``, before a join on it.
+def parted(
+    rows: DataFrame, column: str, wanted: DataFrame, wanted_column: str
+) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose hash in ``column`` may be among those of ``wanted``, and those that are not.
 
     The hashes wanted become a bitmap of fixed size, built in the map tasks and
     broadcast; it lets pass all rows that are wanted and others by chance, more
-    of them the more are wanted. So texts that nobody asks for are not shuffled.
+    of them the more are wanted. So texts that nobody asks for are not shuffled
+    in a join.
     """
     place = F.pmod(F.col(wanted_column), F.lit(FILTER_BITS))
     bitmap = store(
@@ -46,10 +49,13 @@ def passing(rows: DataFrame, column: str, wanted: DataFrame, wanted_column: str)
     marked = rows.withColumns(
         {"_part": F.bitmap_bucket_number(here), "_position": F.bitmap_bit_position(here)}
     )
+    bit = F.call_function("shiftleft", F.lit(1), (F.col("_position") % 8).cast("int"))
+    found = marked.join(F.broadcast(bitmap), F.col("_part") == F.col("_bucket"), "left").withColumn(
+        "_wanted", F.coalesce(byte.bitwiseAND(bit) != 0, F.lit(False))
+    )
     return (
-        marked.join(F.broadcast(bitmap), F.col("_part") == F.col("_bucket"))
-        .where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (F.col("_position") % 8).cast("int"))) != 0)
-        .select(*rows.columns)
+        found.where("_wanted").select(*rows.columns),
+        found.where("NOT _wanted").select(*rows.columns),
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
-from .clusters import bucket_links, components, passing
+from .clusters import bucket_links, components, parted
 
 WORDS = 5
 PERCENT = 75
@@ -246,7 +246,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             .select("a", "b", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")),
             "wanted",
         )
-        asked = passing(rows, "text_hash", wanted, "hash")
+        asked, _ = parted(rows, "text_hash", wanted, "hash")
         found = store(
             asked.join(
                 wanted, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))
