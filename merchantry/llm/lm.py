@@ -31,14 +31,14 @@ from ..session import store
 # weights are learned on the texts that leave DELETED.
 FOLDS, HELD_OUT, DELETED = 7, 2, 6
 
-BLOCK_BYTES = 4 << 20
-PART_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 UNIGRAM_SHARE = 8  # parts of pairs for one part of words
 ROUNDS = 12
 START_WEIGHTS = (0.4, 0.4, 0.2)  # of pair, word and even share
 LEAST_EVEN = 1e-6  # so that an unknown word has a probability in every bucket
 BUCKETS = 64
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 START, END = np.uint64(1), np.uint64(2)  # no hash of a word, as their chance is nil
@@ -76,6 +76,18 @@ def token_hashes(texts: list[str], known: _Words) -> tuple[np.ndarray, np.ndarra
     return flat, before, counts
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts as one byte each; those of 255 and more follow as eight bytes."""
+    small = np.minimum(counts, 255).astype(np.uint8)
+    return small.tobytes() + counts[small == 255].astype(np.int64).tobytes()
+
+
+def unpacked(data: bytes, count: int) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint8, count).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data, np.int64, offset=count)
+    return counts
+
+
 class Block:
     """Distinct words and pairs of some texts, in the order they are asked for."""
 
@@ -97,15 +109,15 @@ class Block:
     def rows(self, block: int, masks: list[np.ndarray]) -> Iterator[dict]:
         """What goes to each part: keys, and how often each is in the texts of each mask."""
         for keys, index, part in self.asked:
-            sums = [np.bincount(index[m], minlength=len(keys)).astype(np.int32) for m in masks]
+            sums = [np.bincount(index[m], minlength=len(keys)) for m in masks]
             cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else []
             for a, b in zip(cuts[:-1], cuts[1:]):
                 yield {
                     "part": int(part[a]),
                     "block": block,
                     "keys": keys[a:b].view(np.int64),
-                    "counts": sums[0][a:b],
-                    "kept_counts": sums[1][a:b],
+                    "counts": packed(sums[0][a:b]),
+                    "kept_counts": packed(sums[1][a:b]),
                 }
 
     def answers(self, found: pd.DataFrame, columns: tuple[str, ...]) -> list[list[np.ndarray]]:
@@ -120,7 +132,7 @@ class Block:
                 if row.check != int(np.bitwise_xor.reduce(keys[a:b].view(np.int64))):
                     raise RuntimeError("the documents changed between two passes")
                 for total, column in zip(totals, columns):
-                    total[a:b] = getattr(row, column)
+                    total[a:b] = unpacked(getattr(row, column), b - a)
             out.append([total[index] for total in totals])
         return out
 
@@ -156,30 +168,35 @@ def _answering(frame: pd.DataFrame) -> pd.DataFrame:
     """What all blocks ask of one part to the totals, and what the part itself holds."""
     keys = np.concatenate(list(frame["keys"])).view(np.uint64)
     distinct, index = np.unique(keys, return_inverse=True)
+    sizes = [len(k) for k in frame["keys"]]
     totals = [
-        np.bincount(index, np.concatenate(list(frame[c])), len(distinct)).astype(np.int64)
+        np.bincount(
+            index, np.concatenate([unpacked(d, n) for d, n in zip(frame[c], sizes)]), len(distinct)
+        ).astype(np.int64)
         for c in ("counts", "kept_counts")
     ]
-    cuts = np.cumsum([len(k) for k in frame["keys"]])[:-1]
-    counts, kept = (np.split(t[index], cuts) for t in totals)
+    counts, kept = (
+        [packed(x) for x in np.split(t[index], np.cumsum(sizes)[:-1])] for t in totals
+    )
     checks = [int(np.bitwise_xor.reduce(k)) for k in frame["keys"]]
     part = int(frame["part"].iloc[0])
     answers = pd.DataFrame(
         {"part": part, "block": frame["block"], "check": checks, "counts": counts, "kept_counts": kept}
     )
-    summary = pd.DataFrame(
-        {
-            "part": [part],
-            "block": [-1],
-            "check": [0],
-            "counts": [[totals[0].sum(), (totals[0] > 0).sum()]],
-            "kept_counts": [[totals[1].sum(), (totals[1] > 0).sum()]],
-        }
-    )
-    return pd.concat([answers, summary], ignore_index=True)
+    for name, value in zip(
+        SUMMARY, (totals[0].sum(), (totals[0] > 0).sum(), totals[1].sum())
+    ):
+        answers[name] = 0
+        answers.loc[0, name] = int(value)
+    return answers
 
 
-ANSWER = "part int, block bigint, check bigint, counts array<bigint>, kept_counts array<bigint>"
+# Of a part, on one of its rows: tokens and kinds in training, and tokens of the texts kept.
+SUMMARY = ("tokens", "kinds", "kept_tokens")
+ANSWER = (
+    "part int, block bigint, check bigint, counts binary, kept_counts binary,"
+    " tokens bigint, kinds bigint, kept_tokens bigint"
+)
 
 
 def bucket_of(counts: np.ndarray) -> np.ndarray:
@@ -321,24 +338,17 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         blocks.select("block", "role", "text")
         .mapInPandas(
             _asking(parts),
-            "part int, block bigint, keys array<bigint>, counts array<int>, kept_counts array<int>",
+            "part int, block bigint, keys array<bigint>, counts binary, kept_counts binary",
         )
         .groupBy("part")
         .applyInPandas(_answering, ANSWER),
         "answers",
     )
-    sums = (
-        answers.where((F.col("block") < 0) & (F.col("part") >= parts))
-        .agg(
-            *[
-                F.coalesce(F.sum(F.get(c, F.lit(k))), F.lit(0)).alias(f"{c}{k}")
-                for c in ("counts", "kept_counts")
-                for k in (0, 1)
-            ]
-        )
-        .first()
-    )
-    found = answers.where("block >= 0").groupBy("block")
+    # Parts of words come after those of pairs.
+    sums = answers.where(F.col("part") >= parts).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMMARY]
+    ).first()
+    found = answers.drop(*SUMMARY).groupBy("block")
     columns = ["block", "place", "doc_id", "role", "text"]
     cases = (
         blocks.select(*columns)
@@ -350,14 +360,14 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .groupBy("pair", "context", "word")
         .agg(F.sum("n").alias("n"))
     )
-    weights = learn_weights(cases, sums["kept_counts0"], sums["counts1"])
+    weights = learn_weights(cases, sums["kept_tokens"], sums["kinds"])
     kind = dict(rows.dtypes)["doc_id"]
     return (
         blocks.select(*columns)
         .groupBy("block")
         .cogroup(found)
         .applyInPandas(
-            _scoring(parts, sums["counts0"], sums["counts1"], size["training"], weights),
+            _scoring(parts, sums["tokens"], sums["kinds"], size["training"], weights),
             f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint,"
             " base_score double, score double",
         )
