@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from merchantry.llm import rules
+from merchantry.llm import lines, minhash, mixing, pieces, rules
 from merchantry.session import workspace
 
 
@@ -15,8 +15,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.keep_documents(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand earlier in the corpus; whole copies go."""
+    return lines.deduplicated(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return minhash.one_of_each(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_rows(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of the best segmentation of each document, and the next best ones."""
+    return pieces.encode(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing sources to target weights", source_mix),
+    ("SentencePiece encoding and decoding", encoding),
 ]
 
 # A stage uses hashes and models SQL does not have; tests compare with brute force.
