@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,9 @@ class Vocabulary:
     def __post_init__(self):
         self.longest = max(map(len, self.ids), default=1)
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        # Bytes below 128 are characters by themselves, also between others.
+        self.texts = [chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else p for i, p in enumerate(self.pieces)]
+        self.parts_of_characters = {i for i, b in self.byte_of.items() if b >= 128}
         # Every beginning of a piece; -1 if it is no piece itself.
         self.begun = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         self.worst = min((self.scores[i] for i in self.ids.values()), default=0.0) - BYTE_PENALTY
@@ -201,6 +205,7 @@ class Encoder:
     def __init__(self, vocab: Vocabulary, count: int):
         self.vocab, self.count = vocab, count
         self.best: dict[str, tuple[float, tuple[int, ...], float]] = {}
+        self.older = self.best
         self.several: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
     def units(self, text: str) -> list[str]:
@@ -211,10 +216,11 @@ class Encoder:
     def word(self, unit: str) -> tuple[float, tuple[int, ...], float]:
         found = self.best.get(unit)
         if found is None:
-            found = best_and_loss(unit, self.vocab)
+            # What is met again survives when the older half is forgotten.
+            found = self.older.get(unit) or best_and_loss(unit, self.vocab)
             if len(unit) <= 64:
-                if len(self.best) >= CACHED_WORDS:
-                    self.best.clear()
+                if len(self.best) >= CACHED_WORDS // 2:
+                    self.best, self.older = {}, self.best
                 self.best[unit] = found
         return found
 
@@ -239,12 +245,18 @@ class Encoder:
         the N best, so only these are searched for more and merged.
         """
         units = self.units(text)
-        words = list(map(self.word, units))
-        ids = [i for word in words for i in word[1]]
-        score = math.fsum(word[0] for word in words)
-        losses = [word[2] for word in words]
-        places = heapq.nsmallest(self.count - 1, range(len(words)), losses.__getitem__)
-        places = [k for k in places if losses[k] < math.inf]
+        get, word = self.best.get, self.word
+        words = [get(u) or word(u) for u in units]
+        ids = list(chain.from_iterable([w[1] for w in words]))
+        score = math.fsum([w[0] for w in words])
+        losses = [w[2] for w in words]
+        places: list[int] = []
+        for _ in range(min(self.count - 1, len(losses))):
+            least = min(losses)
+            if least == math.inf:
+                break
+            places.append(losses.index(least))
+            losses[places[-1]] = math.inf
         paths = [self.word_paths(units[k]) for k in places]
         out = [(score, ids, {})]
         queue: list[tuple[float, int, tuple[int, ...]]] = []
@@ -279,8 +291,8 @@ class Encoder:
 
 def decode(ids: Sequence[int], vocab: Vocabulary) -> str:
     """The text of a segmentation; a lossless one for any text with byte pieces."""
-    if vocab.byte_of.keys().isdisjoint(ids):
-        text = "".join([vocab.pieces[i] for i in ids]).replace(SPACE, " ")
+    if vocab.parts_of_characters.isdisjoint(ids):
+        text = "".join(map(vocab.texts.__getitem__, ids)).replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
     parts, held = [], bytearray()
     for i in ids:
@@ -314,7 +326,7 @@ def _row(encoder: Encoder, vocab: Vocabulary, text: str) -> tuple:
     """The columns of SCHEMA for a text."""
     found = encoder.text(text)
     best = found[0][1]
-    units = encoder.units(text)
+    units = encoder.units(text) if any(c for _, _, c in found) else []
     lengths = []
     for _, _, choice in found:
         paths = [(encoder.word_paths(units[k]), x) for k, x in choice.items()]

@@ -211,6 +211,33 @@ def order_rules(
     return ordered
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, inside one expression."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def feature_of(text: Column, feature: str) -> Column:
+    """A feature as one expression of a text, with what it needs computed once."""
+
+    def bind(left: list[str], known: dict[str, Column]) -> Column:
+        name = left[0]
+        value = FEATURES[name](known.__getitem__)
+        if len(left) == 1:
+            return value
+        return _let(value, lambda x: bind(left[1:], {**known, name: x}))
+
+    order: list[str] = []
+
+    def need(name: str) -> None:
+        for other in NEEDS.get(name, ()):
+            need(other)
+        if name not in order:
+            order.append(name)
+
+    need(feature)
+    return bind(order, {"text": text})
+
+
 def keep_documents(
     docs: DataFrame,
     rules: Sequence[Rule] = (*BASE_RULES, *QUALITY_RULES),
@@ -219,13 +246,18 @@ def keep_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their columns.
 
-    A NULL text counts as empty, and so is rejected as too short; equal rows
-    share one verdict and all stay or all go; an empty table stays empty;
-    columns named like a feature are left alone.
+    One filter, whose conditions are tried in the order of the rules, so a row
+    is left at the first rule that rejects it. A NULL text counts as empty, and
+    so is rejected as too short; equal rows share one verdict and all stay or
+    all go; an empty table stays empty; columns named like a feature do not
+    matter.
     """
-    measures = Measures(docs, text)
-    alive = measures.cascade(order_rules(docs, rules, text, sample_rows))
-    return measures.df.where(F.col(f"`{alive}`")).select(*[f"`{c}`" for c in docs.columns])
+    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    kept = docs
+    for rule in order_rules(docs, rules, text, sample_rows):
+        found = rule.rejects(*[feature_of(content, f) for f in rule.features])
+        kept = kept.where(~F.coalesce(found, F.lit(False)))
+    return kept
 
 
 BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
