@@ -19,10 +19,6 @@ from ..session import store
 FILTER_BITS = 1 << 25
 
 
-# Groups in a bucket from which on it is cut finer.
-LARGE = 16
-
-
 def parted(
     rows: DataFrame, column: str, wanted: DataFrame, wanted_column: str
 ) -> tuple[DataFrame, DataFrame]:
@@ -114,15 +110,16 @@ def components(links: DataFrame) -> DataFrame:
 def bucket_links(
     keys: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    refine: Callable[[DataFrame], DataFrame] | None = None,
+    pairs_of: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Links (a, b) that ``verify`` leaves of the pairs sharing a bucket, enough for all groups.
 
     ``keys`` has a row (key, id) per bucket an id is in; repeats do no harm.
     ``verify`` takes pairs (a, b) and returns those that are links. Pairs whose
-    ids are in one group already are not looked at again. Buckets that still
-    hold more than LARGE groups are cut finer by ``refine``, which takes rows
-    (key, id, component) and returns such rows with keys of its own.
+    ids are in one group already are not looked at again. What is left in
+    buckets of several groups goes to ``pairs_of`` as rows (key, id, component);
+    it returns the pairs of different components worth verifying, and
+    :func:`crossing_pairs` returns them all.
     """
     buckets = store(
         keys.groupBy("key")
@@ -149,29 +146,24 @@ def bucket_links(
         held = rows.select("key", "component").distinct()
         return held.groupBy("key").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
 
-    several = store(groups_of(labelled), "mixed-buckets")
-    mixed = labelled.join(several, "key")
-    if refine:
-        large = store(
-            mixed.where(F.col("groups") > LARGE).select("key", "id", "component"), "large-buckets"
-        )
-        finer = store(refine(large).select("key", "id", "component").distinct(), "finer-buckets")
-        finer = finer.join(groups_of(finer), "key").select("key", "id", "component")
-        mixed = mixed.where(F.col("groups") <= LARGE).select("key", "id", "component").union(finer)
-    mixed = store(mixed.select("key", "id", "component"), "mixed-members")
+    several = groups_of(labelled).select("key")
+    mixed = store(labelled.join(several, "key"), "mixed-members")
     if mixed.isEmpty():
         return first
+    rest = store((pairs_of or crossing_pairs)(mixed).distinct(), "pairs")
+    return first.union(verify(rest))
+
+
+def crossing_pairs(mixed: DataFrame) -> DataFrame:
+    """All pairs (a, b) of one key and different components."""
     parts = store(mixed.select("key", "component").distinct(), "bucket-groups")
     crossing = parts.select("key", F.col("component").alias("x")).join(
         parts.select("key", F.col("component").alias("y")), "key"
     ).where("x < y")
     left = mixed.select("key", F.col("id").alias("a"), F.col("component").alias("x"))
     right = mixed.select("key", F.col("id").alias("b"), F.col("component").alias("y"))
-    rest = store(
+    return (
         crossing.join(left, ["key", "x"])
         .join(right, ["key", "y"])
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
-        "pairs",
     )
-    return first.union(verify(rest))

@@ -32,8 +32,9 @@ BANDS, BAND_ROWS = 64, 7
 COMPARED, BATCH = 256, 32
 MISS = 1e-6
 
-# A bucket of many groups is cut by bands of the compared hashes; 0.75 is missed by 6e-5.
-FINE_BANDS, FINE_ROWS = 36, 5
+# Members of a bucket that one task compares with as many others, and hashes it compares.
+CHUNK = 1024
+CHUNK_HASHES = 128
 
 CACHED_WORDS = 500_000
 
@@ -157,17 +158,37 @@ def _prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.iloc[alive][["a", "b"]]
 
 
-def _fine_bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of a bucket with the hashes of their classes to the keys of finer buckets."""
-    seeds = _mixed(np.arange(1, FINE_BANDS + 1, dtype=np.uint64))
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            hashes = np.frombuffer(b"".join(batch["hashes"]), np.uint16).reshape(-1, COMPARED)
-            columns = hashes[:, : FINE_BANDS * FINE_ROWS].reshape(-1, FINE_BANDS, FINE_ROWS)
-            keys = batch["key"].to_numpy().view(np.uint64)[:, None] ^ seeds[None, :]
-            for k in range(FINE_ROWS):
-                keys = _mixed(keys * _MULTIPLIER + columns[:, :, k])
-            yield batch[["id", "component"]].assign(keys=list(keys.view(np.int64)))
+def _chunk_pairs(frame: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of different components in the buckets of a frame that survive the first batches.
+
+    A frame holds whole small buckets, or two chunks of a large one, of which
+    only pairs between the two are compared (one chunk: inside it).
+    """
+    bounds = [(n, least_matches(n)) for n in range(BATCH, CHUNK_HASHES + 1, BATCH)]
+    frame = frame.sort_values(["key", "chunk"], kind="stable")
+    hashes = np.frombuffer(b"".join(frame["hashes"]), np.uint16).reshape(-1, CHUNK_HASHES)
+    ids, groups, chunks = (frame[c].to_numpy() for c in ("id", "component", "chunk"))
+    first, second = frame["first"].to_numpy(), frame["second"].to_numpy()
+    cuts = np.flatnonzero(np.diff(frame["key"].to_numpy())) + 1
+    a, b = [], []
+    for rows in np.split(np.arange(len(frame)), cuts):
+        cross = len(rows) and first[rows[0]] != second[rows[0]]
+        for k, row in enumerate(rows):
+            if cross and chunks[row] != first[row]:
+                break
+            others = rows[chunks[rows] == second[row]] if cross else rows[k + 1 :]
+            others = others[groups[others] != groups[row]]
+            matches = np.zeros(len(others), int)
+            for n, least in bounds:
+                if not len(others):
+                    break
+                here = slice(n - BATCH, n)
+                matches += (hashes[others, here] == hashes[row, here]).sum(axis=1)
+                near = matches >= least
+                others, matches = others[near], matches[near]
+            a.extend(np.maximum(ids[others], ids[row]))
+            b.extend(np.minimum(ids[others], ids[row]))
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
 def _exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -257,18 +278,40 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         leaders = found.where("a = b").select("b", F.col("text").alias("text_b"))
         return members.join(leaders, "b").mapInPandas(_exact, "a bigint, b bigint").distinct()
 
-    def refine(members: DataFrame) -> DataFrame:
-        hashes = sides.select(F.col("class").alias("id"), "hashes")
+    def pairs_of(mixed: DataFrame) -> DataFrame:
+        # Pairs are compared where they are made, and only survivors are rows. A large
+        # bucket is cut into chunks, and each pair of chunks is a group by itself.
+        hashes = sides.select(
+            F.col("class").alias("id"), F.substring("hashes", 1, 2 * CHUNK_HASHES).alias("hashes")
+        )
+        sizes = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+        other = F.explode(F.sequence(F.lit(0), chunks - 1))
+        placed = (
+            mixed.join(store(sizes, "bucket-sizes"), "key")
+            .withColumn("chunk", F.pmod(F.xxhash64("id"), chunks).cast("int"))
+            .withColumn("other", other)
+            .withColumn("first", F.least("chunk", "other"))
+            .withColumn("second", F.greatest("chunk", "other"))
+            # Small buckets share groups of a few thousand rows.
+            .withColumn("part", F.when(F.col("n") > CHUNK, F.xxhash64("key", "first", "second")))
+        )
+        few = max(1, mixed.count() // CHUNK)
+        small = F.pmod(F.xxhash64("key"), F.lit(few))
         return (
-            members.join(hashes, "id")
-            .mapInPandas(_fine_bands, "id bigint, component bigint, keys array<bigint>")
-            .select(F.explode("keys").alias("key"), "id", "component")
+            placed.join(hashes, "id")
+            .select(
+                "key", "id", "component", "chunk", "first", "second", "hashes",
+                F.coalesce("part", small).alias("part"),
+            )
+            .groupBy("part", F.col("first").alias("_f"), F.col("second").alias("_s"))
+            .applyInPandas(_chunk_pairs, "a bigint, b bigint")
         )
 
     bands = signed.where(F.col("class").isNotNull()).select(
         F.explode("bands").alias("key"), F.col("class").alias("id")
     )
-    groups = components(bucket_links(bands, verify, refine)).withColumnRenamed("id", "class")
+    groups = components(bucket_links(bands, verify, pairs_of)).withColumnRenamed("id", "class")
     named = classes.select("class", "least").join(groups, "class", "left").select(
         "class", "least", F.coalesce("component", "class").alias("component")
     )

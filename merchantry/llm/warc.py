@@ -136,9 +136,9 @@ class WarcReader(DataSourceReader):
             for x in system.get_file_info(fs.FileSelector(root))
             if x.type == fs.FileType.File and re.search(r"\.warc(\.gz)?$", x.base_name)
         ]
-        parts, size = [], PARTITION_BYTES
+        parts, size = [], 0
         for x in sorted(found, key=lambda x: x.path):
-            if size + x.size > PARTITION_BYTES:
+            if not parts or size + x.size > PARTITION_BYTES:
                 parts.append(Files([]))
                 size = 0
             parts[-1].paths.append(x.path)
