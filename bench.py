@@ -1,4 +1,4 @@
-"""Time the warehouse build and every report; prints one line of JSON.
+"""Time the warehouse build, every report and the loads; prints one line of JSON.
 
 Reads $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS].
 Each query runs twice and the second time counts, as the first one includes
@@ -12,8 +12,12 @@ import os
 import time
 
 from merchantry.plans.catalog import AS_OF, REPORTS, all_queries
+from merchantry.plans.gold import load_gold
+from merchantry.plans.silver import load_silver
 from merchantry.plans.warehouse import open_warehouse
-from merchantry.session import clear_workspace, local_session
+from merchantry.session import clear_workspace, local_session, workspace
+from merchantry.sources.bronze import SOURCE_FILES, load_bronze
+from merchantry.sources.sample_data import write_raw_csv
 
 
 def timed(action) -> float:
@@ -41,6 +45,12 @@ def main() -> None:
 
         run()
         times[name] = timed(run)
+    root = f"{workspace(spark)}/bench-load"
+    for table, file in SOURCE_FILES.items():
+        write_raw_csv(warehouse.table(f"bronze.{table}"), f"{root}/in/{file}")
+    times["load_bronze"] = timed(lambda: load_bronze(spark, f"{root}/in", f"{root}/bronze"))
+    times["load_silver"] = timed(lambda: load_silver(spark, f"{root}/bronze", f"{root}/silver", AS_OF))
+    times["load_gold"] = timed(lambda: load_gold(spark, f"{root}/silver", f"{root}/gold"))
     clear_workspace(spark)
     spark.stop()
     print(

@@ -1,7 +1,7 @@
 """Scalar expressions shared by the cleaning steps and the reports."""
 
 from .dates import decode_yyyymmdd, is_undecodable, years_between
-from .numeric import growth_percentage, int_avg, int_div
+from .numeric import growth_percentage, int_avg, int_div, truncated_ratio
 from .text import code_label, concat_text, text_length
 
 __all__ = [
@@ -13,5 +13,6 @@ __all__ = [
     "int_div",
     "is_undecodable",
     "text_length",
+    "truncated_ratio",
     "years_between",
 ]

@@ -21,7 +21,23 @@ def int_avg(values: Column, window: WindowSpec | None = None) -> Column:
     return int_div(total, count)
 
 
+def truncated_ratio(dividend: Column, divisor: Column, decimals: int) -> Column:
+    """Quotient of whole numbers cut after ``decimals`` places, as a whole number of the last place.
+
+    The remainder is taken off first, so the division has nothing to round.
+    """
+    scaled = dividend.cast("decimal(20,0)") * F.lit(Decimal(10**decimals))
+    return (scaled - scaled % divisor) / divisor
+
+
 def growth_percentage(current: Column, previous: Column) -> Column:
-    """Change in percent of ``previous``, two decimals; NULL if that is zero or NULL."""
-    change = (current - previous) * F.lit(Decimal("100.0"))
-    return F.round(change / F.nullif(previous, F.lit(0)), 2).cast("decimal(18,2)")
+    """Change in percent of ``previous``, two decimals; NULL if that is zero or NULL.
+
+    Rounded half away from zero from the exact quotient: twice the hundredths
+    of a percent, cut, tell which half a quotient is in.
+    """
+    base = F.nullif(previous, F.lit(0)).cast("decimal(20,0)")
+    halves = truncated_ratio(2 * F.abs(current - previous), F.abs(base), 4)
+    size = F.floor((halves + 1) / 2).cast("decimal(20,0)")
+    hundredths = F.when((current < previous) != (base < 0), -size).otherwise(size)
+    return (hundredths * F.lit(Decimal("0.01"))).cast("decimal(18,2)")

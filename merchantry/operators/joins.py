@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 # A group of this many lookup rows is still an ordinary amount of work for one task.
 MODEST_GROUP = 1_000_000
 
-# A key is hot above this fraction of the rows.
-HOT_FRACTION = 1000
-
-# Items a sketch tracks: enough to miss no key above the fraction.
-TRACKED = 16 * HOT_FRACTION
+# Items a sketch tracks per key that can be hot, and at most: what Spark allows.
+TRACKED_PER_KEY = 16
+MOST_TRACKED = 1_000_000
 
 # Sketches of map tasks are merged in this many groups, one task each.
 MERGERS = 64
@@ -23,25 +21,25 @@ MERGERS = 64
 def hot_keys(df: DataFrame, key: str, modest_group: int = MODEST_GROUP) -> dict[object, int]:
     """Values of ``key`` with more rows than one task should get, and how many, about.
 
-    One pass with frequent-items sketches: what is shuffled is one sketch of
-    bounded size per map task, not the keys. A key above twice the fraction of
-    all rows is above the fraction in enough groups of tasks to be found. At
-    most MERGERS rows of HOT_FRACTION items come to the driver. A table of few
-    rows has no such key, and a count reads next to nothing.
+    One pass with frequent-items sketches: what is shuffled is one sketch per
+    map task, not the keys. There are at most ``rows / modest_group`` hot keys,
+    and the sketches are sized by that, so the limit is the same for tables of
+    every size; MERGERS rows of about as many items come to the driver. A table
+    of few rows has no such key, and a count reads next to nothing.
     """
-    if df.count() <= modest_group:
+    rows = df.count()
+    if rows <= modest_group:
         return {}
+    keys = min(2 * -(-rows // modest_group), MOST_TRACKED // TRACKED_PER_KEY)
     frequent = F.call_function(
-        "approx_top_k", F.col(key), F.lit(HOT_FRACTION), F.lit(TRACKED)
+        "approx_top_k", F.col(key), F.lit(keys), F.lit(TRACKED_PER_KEY * keys)
     ).alias("frequent")
     groups = df.groupBy(F.spark_partition_id() % MERGERS).agg(F.count(key).alias("rows"), frequent)
-    total, counts = 0, Counter()
+    counts = Counter()
     for group in groups.collect():
-        total += group["rows"]
         for found in group["frequent"]:
             counts[found["item"]] += found["count"]
-    limit = max(modest_group, total // HOT_FRACTION)
-    return {value: count for value, count in counts.items() if count > limit}
+    return {value: count for value, count in counts.items() if count > modest_group}
 
 
 def left_lookup(
@@ -61,8 +59,10 @@ def left_lookup(
     over slices, the left rows copied to every slice. A key the sketch did not
     report is joined the ordinary way, so the result never depends on it.
 
-    ``right`` should come from stored tables by row-wise steps, so that a task
-    run again deals its rows to the same slices.
+    The number of slices is at most that of shuffle partitions; Spark divides
+    larger ones of the inner join further. ``right`` should come from stored
+    tables by row-wise steps, so that a task run again deals its rows to the
+    same slices.
     """
     hot = hot_keys(right, right_key, modest_group)
     if not hot:

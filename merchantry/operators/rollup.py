@@ -28,6 +28,8 @@ def roll_up(
     dimension rows behind each result row; it needs an empty ``by``. ``label``
     is an expression over the attributes to group by in their place.
     """
+    if members is not None and by:
+        raise ValueError("members would be counted once per value of by")
     per_key = fact.groupBy(key, *by).agg(
         *[F.sum(column).alias(name) for name, column in measures.items()]
     )

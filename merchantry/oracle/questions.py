@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..schemas import BRONZE, GOLD
+from ..schemas import BRONZE, GOLD, SILVER
 from .layers import LAYERS, with_layers
 
 # Percentage with two decimals, rounded half away from zero, in whole numbers throughout.
@@ -126,7 +126,7 @@ QUESTIONS: dict[str, str] = {
         SELECT (sum(sales_amount) // count(DISTINCT order_number))::BIGINT AS average_order_value
         FROM gold_sales""",
     "average_quantity_per_order": """
-        SELECT (((2 * units::HUGEINT * 10000000000000 + orders) // (2 * orders))::DECIMAL(24, 0)
+        SELECT ((units::HUGEINT * 10000000000000 // orders)::DECIMAL(24, 0)
                 * 0.0000000000001::DECIMAL(14, 13))::DECIMAL(29, 13) AS average_quantity_per_order
         FROM (SELECT sum(quantity) AS units, count(DISTINCT order_number) AS orders
               FROM gold_sales) AS totals""",
@@ -281,6 +281,9 @@ def oracle_queries() -> dict[str, str]:
         columns = f"* EXCLUDE (gen){blank}" if blank else "*"
         result[f"csv_{table}"] = with_layers(f"SELECT {columns} FROM bronze_{table}")
     result["csv_rejected_lines"] = with_layers(SALES_LINES)
+    for layer, tables in (("silver", SILVER), ("gold", GOLD)):
+        for table in tables:
+            result[f"loaded_{layer}_{table}"] = with_layers(f"SELECT * FROM {layer}_{table}")
     result["full_load"] = with_layers(_table_profile(audit_columns=1))
     result["table_profile"] = with_layers(_table_profile())
     result["column_profile"] = with_layers(_column_profile())

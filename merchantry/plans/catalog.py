@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import column_profile, surrogate_key, table_profile
-from ..schemas import BRONZE, GOLD, SILVER
-from ..session import workspace
+from ..schemas import AUDIT_COLUMN, BRONZE, GOLD, SILVER
+from ..session import store, workspace
 from ..sources.bronze import (
     SOURCE_FILES,
     load_bronze,
@@ -19,7 +19,8 @@ from ..sources.bronze import (
     read_bronze,
     read_rejects,
 )
-from ..sources.sample_data import write_raw_csv
+from ..sources.sample_data import SAMPLE_TABLES, write_raw_csv
+from ..sources.tables import delete, exists, state
 from . import customers, performance, products, sales, trends
 from .gold import load_gold, read_gold
 from .silver import load_silver, read_silver
@@ -89,6 +90,13 @@ def _table(name: str) -> Query:
     return lambda spark, folder: _warehouse(spark, folder).table(name)
 
 
+def _copied(df: DataFrame, run: str) -> DataFrame:
+    """``df`` stored by itself, after which the folder it was read from is removed."""
+    kept = store(df, "result")
+    delete(df.sparkSession, run)
+    return kept
+
+
 def _from_csv(table: str) -> Query:
     """The raw table after a trip through a delivered file and the bulk load."""
 
@@ -96,7 +104,7 @@ def _from_csv(table: str) -> Query:
         run = f"{workspace(spark)}/csv-{uuid.uuid4().hex}"
         write_raw_csv(_warehouse(spark, folder).table(f"bronze.{table}"), f"{run}/{table}.csv")
         load_raw_table(spark, f"{run}/{table}.csv", f"{run}/{table}", BRONZE[table])
-        return read_bronze(spark, run, table)
+        return _copied(read_bronze(spark, run, table), run)
 
     return query
 
@@ -113,18 +121,40 @@ def csv_rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
         ),
         f"{run}/{table}.csv",
     )
-    load_raw_table(spark, f"{run}/{table}.csv", f"{run}/{table}", BRONZE[table], max_errors=None)
-    return read_rejects(spark, run, table)
+    load_raw_table(spark, f"{run}/{table}.csv", f"{run}/{table}", BRONZE[table])
+    return _copied(read_rejects(spark, run, table), run)
 
 
-def full_load(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole way, from delivered files to the star schema; profile of the stored tables."""
+_loads: dict[tuple, str] = {}
+
+
+def _loaded(spark: SparkSession, folder: str) -> str:
+    """Root of the layers loaded from delivered files, once per application and sample tables."""
+    files = tuple(state(spark, f"{folder}/{name}.parquet") for name in SAMPLE_TABLES)
+    key = (spark.sparkContext.applicationId, folder, files)
+    if key in _loads and exists(spark, _loads[key]):
+        return _loads[key]
     run = f"{workspace(spark)}/load-{uuid.uuid4().hex}"
     for table, file in SOURCE_FILES.items():
         write_raw_csv(_warehouse(spark, folder).table(f"bronze.{table}"), f"{run}/delivered/{file}")
     load_bronze(spark, f"{run}/delivered", f"{run}/bronze")
     load_silver(spark, f"{run}/bronze", f"{run}/silver", AS_OF)
     load_gold(spark, f"{run}/silver", f"{run}/gold")
+    _loads[key] = run
+    return run
+
+
+def _loaded_table(layer: str, table: str) -> Query:
+    """Contents of a table as the loads left it."""
+    read = {"silver": read_silver, "gold": read_gold}[layer]
+    return lambda spark, folder: read(spark, f"{_loaded(spark, folder)}/{layer}", table).drop(
+        AUDIT_COLUMN
+    )
+
+
+def full_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole way, from delivered files to the star schema; profile of the stored tables."""
+    run = _loaded(spark, folder)
     return table_profile(
         {
             **{f"bronze.{t}": read_bronze(spark, f"{run}/bronze", t) for t in BRONZE},
@@ -162,6 +192,8 @@ def all_queries() -> dict[str, Query]:
     named.update({f"csv_{table}": _from_csv(table) for table in BRONZE})
     named["csv_rejected_lines"] = csv_rejected_lines
     named["full_load"] = full_load
+    for layer, tables in (("silver", SILVER), ("gold", GOLD)):
+        named.update({f"loaded_{layer}_{t}": _loaded_table(layer, t) for t in tables})
     named["surrogate_key"] = product_version_keys
     named["table_profile"] = _profile(table_profile, Warehouse.table)
     named["column_profile"] = _profile(column_profile, Warehouse.stored)

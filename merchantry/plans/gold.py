@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..fixed_values import UNKNOWN
 from ..operators import left_lookup, surrogate_key
 from ..schemas import GOLD
-from ..sources.tables import replace_table
+from ..session import scratch
+from ..sources.tables import Release, read_table
 from .silver import read_silver
 
 
@@ -97,28 +98,32 @@ def gold_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
 
 
 def load_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> None:
-    """Store the dimensions, then the fact on top of them, so that all share one set of keys."""
+    """Store the dimensions, then the fact on top of them, and release the three at once.
+
+    Keys are numbered anew by every load, so the fact is built against the
+    dimensions of the same release, and readers never see one without the other.
+    """
 
     def silver(table: str) -> DataFrame:
         return read_silver(spark, silver_dir, table)
 
-    replace_table(
-        gold_customers(silver("crm_cust_info"), silver("erp_cust_az12"), silver("erp_loc_a101")),
-        f"{gold_dir}/customers",
-    )
-    replace_table(
-        gold_products(silver("crm_prd_info"), silver("erp_px_cat_g1v2")), f"{gold_dir}/products"
-    )
-    replace_table(
-        gold_sales(
-            silver("crm_sales_details"),
-            read_gold(spark, gold_dir, "products"),
-            read_gold(spark, gold_dir, "customers"),
-        ),
-        f"{gold_dir}/sales",
-    )
+    with Release(spark, gold_dir) as release, scratch(spark):
+        release.write(
+            gold_customers(silver("crm_cust_info"), silver("erp_cust_az12"), silver("erp_loc_a101")),
+            "customers",
+        )
+        release.write(gold_products(silver("crm_prd_info"), silver("erp_px_cat_g1v2")), "products")
+        release.write(
+            gold_sales(
+                silver("crm_sales_details"),
+                release.read("products", GOLD["products"]),
+                release.read("customers", GOLD["customers"]),
+            ),
+            "sales",
+        )
+        release.publish()
 
 
 def read_gold(spark: SparkSession, gold_dir: str, table: str) -> DataFrame:
     """Scan of a star-schema table."""
-    return spark.read.schema(GOLD[table]).parquet(f"{gold_dir}/{table}")
+    return read_table(spark, f"{gold_dir}/{table}", GOLD[table])

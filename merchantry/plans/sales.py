@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import concat_text, int_avg, int_div, years_between
+from ..functions import concat_text, int_avg, int_div, truncated_ratio, years_between
 from ..operators import roll_up, top_n
 
 REVENUE = {"revenue": "sales_amount"}
@@ -134,7 +135,8 @@ def average_order_value(sales: DataFrame) -> DataFrame:
 
 
 def average_quantity_per_order(sales: DataFrame) -> DataFrame:
-    """Units per order with thirteen decimals."""
-    units = F.sum("quantity").cast("decimal(18,2)")
-    ratio = (units / F.count_distinct("order_number")).cast("decimal(29,13)")
-    return sales.agg(ratio.alias("average_quantity_per_order"))
+    """Units per order with thirteen decimals, the rest cut off."""
+    orders = F.nullif(F.count_distinct("order_number"), F.lit(0)).cast("decimal(20,0)")
+    places = truncated_ratio(F.sum("quantity"), orders, 13)
+    ratio = places.cast("decimal(20,0)") * F.lit(Decimal("0.0000000000001"))
+    return sales.agg(ratio.cast("decimal(29,13)").alias("average_quantity_per_order"))

@@ -20,7 +20,11 @@ from ..functions import code_label, decode_yyyymmdd, int_div, is_undecodable, te
 from ..operators import following_value, latest_per_key
 from ..schemas import AUDIT_COLUMN, SILVER
 from ..sources.bronze import read_bronze
-from ..sources.tables import replace_table
+from ..session import scratch
+from ..sources.tables import read_table, replace_table
+
+
+MOST_INT = 2**31 - 1
 
 
 def _code(column: str) -> Column:
@@ -67,14 +71,22 @@ def silver_products(bronze: DataFrame) -> DataFrame:
     )
 
 
+def _line_amount() -> Column:
+    """Quantity times price without its sign, in full."""
+    return F.col("sls_quantity").cast("long") * F.abs(F.col("sls_price").cast("long"))
+
+
 def silver_sales(bronze: DataFrame) -> DataFrame:
     """Dates decoded, amounts and prices repaired.
 
-    Both repairs read the delivered values, neither sees the other's result.
+    Both repairs read the delivered values, neither sees the other's result. A
+    repaired amount beyond the range of its column is NULL, like a date that is
+    none.
     """
     sales, quantity, price = F.col("sls_sales"), F.col("sls_quantity"), F.col("sls_price")
-    expected = quantity * F.abs(price)
-    bad_sales = sales.isNull() | (sales <= 0) | (sales != expected)
+    product = _line_amount()
+    expected = F.when(product <= MOST_INT, product).cast("int")
+    bad_sales = sales.isNull() | (sales <= 0) | (sales != product)
     bad_price = price.isNull() | (price <= 0)
     derived_price = int_div(sales, F.nullif(quantity, F.lit(0))).cast("int")
     return bronze.select(
@@ -135,7 +147,8 @@ def load_silver(
 
     An error is raised and ends the load: tables before it are refreshed, the
     failed one and those after it keep their old rows. Returns the number of
-    values that looked like dates and were none, by sales column.
+    values that looked like dates and were none, by sales column, and under
+    ``sls_sales`` that of repaired amounts beyond its range.
     """
 
     def bronze(table: str) -> DataFrame:
@@ -146,19 +159,22 @@ def load_silver(
         replace_table(with_audit(df, load_ts).select(*columns), f"{silver_dir}/{table}")
 
     save("crm_cust_info", silver_customers(bronze("crm_cust_info")))
-    save("crm_prd_info", silver_products(bronze("crm_prd_info")))
+    with scratch(spark):
+        save("crm_prd_info", silver_products(bronze("crm_prd_info")))
     rejected = Observation()
     dates = ["sls_order_dt", "sls_ship_dt", "sls_due_dt"]
     raw_sales = bronze("crm_sales_details").observe(
-        rejected, *[F.count_if(is_undecodable(F.col(c))).alias(c) for c in dates]
+        rejected,
+        *[F.count_if(is_undecodable(F.col(c))).alias(c) for c in dates],
+        F.count_if(_line_amount() > MOST_INT).alias("sls_sales"),
     )
     save("crm_sales_details", silver_sales(raw_sales))
     save("erp_cust_az12", silver_erp_customers(bronze("erp_cust_az12"), as_of))
     save("erp_loc_a101", silver_locations(bronze("erp_loc_a101")))
     save("erp_px_cat_g1v2", silver_categories(bronze("erp_px_cat_g1v2")))
-    return {c: rejected.get[c] for c in dates}
+    return {c: rejected.get[c] for c in (*dates, "sls_sales")}
 
 
 def read_silver(spark: SparkSession, silver_dir: str, table: str) -> DataFrame:
     """Scan of a cleaned table."""
-    return spark.read.schema(SILVER[table]).parquet(f"{silver_dir}/{table}")
+    return read_table(spark, f"{silver_dir}/{table}", SILVER[table])

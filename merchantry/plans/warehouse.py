@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import BRONZE, GOLD
-from ..session import store, workspace
+from ..session import scratch, store, workspace
 from ..sources.sample_data import SAMPLE_TABLES, raw_tables
 from ..sources.tables import exists, state
 from . import gold, silver
@@ -41,6 +41,11 @@ class Warehouse:
             self._stored[name] = store(self.table(name), name.replace(".", "-"))
         return self._stored[name]
 
+    def _kept(self, build: Callable[..., DataFrame], parts: list[DataFrame], label: str) -> DataFrame:
+        """A table stored for good, without what was stored on the way to it."""
+        with scratch(parts[0].sparkSession):
+            return store(build(*parts), label, keep=True)
+
     def _build(self, name: str) -> DataFrame:
         t = self.table
         match name:
@@ -57,15 +62,11 @@ class Warehouse:
             case "silver.erp_px_cat_g1v2":
                 return silver.silver_categories(t("bronze.erp_px_cat_g1v2"))
             case "gold.customers":
-                customers = gold.gold_customers(
-                    t("silver.crm_cust_info"), t("silver.erp_cust_az12"), t("silver.erp_loc_a101")
-                )
-                return store(customers, "gold-customers")
+                parts = [t(f"silver.{n}") for n in ("crm_cust_info", "erp_cust_az12", "erp_loc_a101")]
+                return self._kept(gold.gold_customers, parts, "gold-customers")
             case "gold.products":
-                products = gold.gold_products(
-                    t("silver.crm_prd_info"), t("silver.erp_px_cat_g1v2")
-                )
-                return store(products, "gold-products")
+                parts = [t("silver.crm_prd_info"), t("silver.erp_px_cat_g1v2")]
+                return self._kept(gold.gold_products, parts, "gold-products")
             case "gold.sales":
                 with ThreadPoolExecutor() as pool:  # neither dimension needs the other
                     list(pool.map(t, ("gold.products", "gold.customers")))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +15,8 @@ from .sources.tables import delete
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -42,7 +48,7 @@ def workspace(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
         if app not in _local_folders:
             _local_folders[app] = tempfile.TemporaryDirectory(prefix="merchantry-")
@@ -50,14 +56,30 @@ def workspace(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/merchantry/{app}"
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what :func:`store` wrote inside, in this thread, unless kept."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            delete(spark, path)
+
+
+def store(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder once and return the table read back.
 
     This cuts the lineage in a way that outlives executors, keeps Parquet
-    column pruning, and gives Spark the true size for its join choice.
+    column pruning, and gives Spark the true size for its join choice. Inside
+    :func:`scratch` the table goes with it, unless it is to be kept.
     """
     spark = df.sparkSession
     path = f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
+    if not keep and _scratch.get() is not None:
+        _scratch.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

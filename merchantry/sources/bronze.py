@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import BRONZE
-from .tables import Replacement, create_database
+from .tables import Release, create_database, read_table, table_path
 
 # The file each table is loaded from, below the source folder.
 SOURCE_FILES = {
@@ -22,9 +22,6 @@ SOURCE_FILES = {
     "erp_px_cat_g1v2": "source_erp/px_cat_g1v2.csv",
 }
 
-# Fixed value: malformed lines a bulk load puts up with before it fails.
-DEFAULT_MAX_ERRORS = 10
-
 BAD_LINE = "bad_line"
 
 
@@ -62,9 +59,9 @@ def load_raw_table(
     source: str,
     target: str,
     schema: StructType,
-    max_errors: int | None = DEFAULT_MAX_ERRORS,
+    max_errors: int | None = None,
 ) -> LoadCount:
-    """Full refresh of one raw table; ``max_errors`` of None allows any number.
+    """Full refresh of one raw table; any number of malformed lines, or ``max_errors`` of them.
 
     The file is read once. Bad lines stay in the table, as text in a column of
     their own that readers filter on; it is empty otherwise and costs next to
@@ -75,14 +72,15 @@ def load_raw_table(
     lines = read_raw_csv(spark, source, schema).observe(
         seen, F.count_if(~is_bad).alias("loaded"), F.count_if(is_bad).alias("rejected")
     )
-    with Replacement(spark, target) as replacement:
-        replacement.write(lines)
+    folder, _, name = target.rstrip("/").rpartition("/")
+    with Release(spark, folder) as release:
+        release.write(lines, name)
         counts = LoadCount(**seen.get)
         if max_errors is not None and counts.rejected > max_errors:
             raise TooManyErrors(
                 f"{source}: {counts.rejected} malformed lines, {max_errors} allowed"
             )
-        replacement.commit()
+        release.publish()
     return counts
 
 
@@ -90,10 +88,13 @@ def load_bronze(
     spark: SparkSession,
     source_dir: str,
     bronze_dir: str,
-    max_errors: int | None = DEFAULT_MAX_ERRORS,
+    max_errors: int | None = None,
     files: Mapping[str, str] = SOURCE_FILES,
 ) -> dict[str, LoadCount]:
-    """Load the six raw files, in order. An error ends the load and is raised."""
+    """Load the six raw files, in order. An error ends the load and is raised.
+
+    All malformed lines are kept and counted; a bound is for the caller to state.
+    """
     return {
         table: load_raw_table(
             spark, f"{source_dir}/{files[table]}", f"{bronze_dir}/{table}", schema, max_errors
@@ -104,7 +105,7 @@ def load_bronze(
 
 def _stored(spark: SparkSession, bronze_dir: str, table: str) -> DataFrame:
     schema = StructType([*BRONZE[table].fields, StructField(BAD_LINE, StringType())])
-    return spark.read.schema(schema).parquet(f"{bronze_dir}/{table}")
+    return read_table(spark, f"{bronze_dir}/{table}", schema)
 
 
 def read_bronze(spark: SparkSession, bronze_dir: str, table: str) -> DataFrame:
@@ -124,5 +125,5 @@ def publish_bronze(spark: SparkSession, bronze_dir: str) -> None:
         columns = ", ".join(schema.fieldNames())
         spark.sql(
             f"CREATE OR REPLACE VIEW bronze.{table} AS SELECT {columns}"
-            f" FROM parquet.`{bronze_dir}/{table}` WHERE {BAD_LINE} IS NULL"
+            f" FROM parquet.`{table_path(spark, f'{bronze_dir}/{table}')}` WHERE {BAD_LINE} IS NULL"
         )

@@ -1,7 +1,12 @@
-"""Stored tables: full refresh that never leaves a target empty, and scans."""
+"""Stored tables: full refresh by numbered releases, scans, and SQL names.
+
+Handles of the JVM's file systems are used here alone; they need a classic
+session, not a remote one.
+"""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
 
@@ -9,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+# Names of what belongs to releases in the folder of a layer.
+RELEASE, VERSION = "_release-", "_v-"
+
+
 def _file_system(spark: SparkSession, location: str):
     """Hadoop file system of a location, and the location as its path."""
     context = spark.sparkContext
@@ -16,12 +25,6 @@ def _file_system(spark: SparkSession, location: str):
     return path.getFileSystem(context._jsc.hadoopConfiguration()), path
 
 
-def _rename(spark: SparkSession, source: str, target: str) -> None:
-    system, path = _file_system(spark, source)
-    if not system.rename(path, _file_system(spark, target)[1]):
-        raise OSError(f"cannot rename {source} to {target}")
-
-
 def exists(spark: SparkSession, location: str) -> bool:
     system, path = _file_system(spark, location)
     return system.exists(path)
@@ -41,48 +44,121 @@ def state(spark: SparkSession, location: str) -> tuple[int, int, int]:
     return content.getLength(), content.getFileCount(), changed
 
 
-class Replacement:
-    """A full refresh in two steps: write beside the target, then take its place.
+def _releases(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    """Numbers and locations of the releases of a layer, latest first."""
+    system, path = _file_system(spark, f"{folder}/{RELEASE}*")
+    found = [str(x.getPath().toString()) for x in system.globStatus(path) or []]
+    numbered = [(int(x.rpartition(RELEASE)[2]), x) for x in found]
+    return sorted(numbered, reverse=True)
+
 
-    Used in a ``with`` block. Whatever fails before ``commit`` leaves the old
-    table as it was and removes what was written.
+def _released(spark: SparkSession, location: str) -> dict[str, str] | None:
+    """Folder of each table in a release; None if the writing of its file was cut off."""
+    system, path = _file_system(spark, location)
+    stream = system.open(path)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    try:
+        return json.loads(text)
+    except ValueError:
+        return None
+
+
+def current_release(spark: SparkSession, folder: str) -> tuple[int, dict[str, str]]:
+    """Number of the latest complete release of a layer, and the folder of each of its tables."""
+    for number, location in _releases(spark, folder):
+        tables = _released(spark, location)
+        if tables is not None:
+            return number, tables
+    return 0, {}
+
+
+def table_path(spark: SparkSession, path: str) -> str:
+    """Where the rows of the table named ``path`` lie now.
+
+    A table that was never released is a plain folder.
+    """
+    folder, _, name = path.rstrip("/").rpartition("/")
+    _, tables = current_release(spark, folder)
+    return f"{folder}/{tables[name]}" if name in tables else path
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Scan of the table named ``path`` as it is released now."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(table_path(spark, path))
+
+
+def clean_up(spark: SparkSession, folder: str) -> None:
+    """Remove what no reader of the latest release needs: older rows and failed loads."""
+    number, tables = current_release(spark, folder)
+    for other, location in _releases(spark, folder):
+        if other != number:
+            delete(spark, location)
+    system, path = _file_system(spark, f"{folder}/{VERSION}*/*")
+    for status in system.globStatus(path) or []:
+        version, name = str(status.getPath().toString()).rsplit("/", 2)[1:]
+        if tables.get(name) != f"{version}/{name}":
+            delete(spark, f"{folder}/{version}/{name}")
+    system, path = _file_system(spark, f"{folder}/{VERSION}*")
+    for status in system.globStatus(path) or []:
+        if not system.listStatus(status.getPath()):
+            system.delete(status.getPath(), True)
+
+
+class Release:
+    """A full refresh of tables of one layer that readers see all at once.
+
+    Tables are written to a new folder. One small file then names the folder of
+    every table of the layer; files of releases are numbered, the last complete
+    one counts, and none is written over. So whatever ends a load, and at any
+    step, readers find the tables of the release before, and a table that
+    is being read stays where it is until the load after the next begins: that
+    is when what the latest release does not name is removed. No rows are
+    moved, so it costs the same on an object store. A layer has one writer.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        folder, slash, name = self.path.rpartition("/")
-        self.beside = f"{folder}{slash}_loading-{name}-{uuid.uuid4().hex}"
-
-    def write(self, df: DataFrame) -> None:
-        df.write.parquet(self.beside)
-
-    def commit(self) -> None:
-        if not exists(self.spark, self.path):
-            _rename(self.spark, self.beside, self.path)
-            return
-        previous = f"{self.beside}-previous"
-        _rename(self.spark, self.path, previous)
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.version = f"{VERSION}{uuid.uuid4().hex}"
+        self.tables: dict[str, str] = {}
+        clean_up(spark, self.folder)
+
+    def write(self, df: DataFrame, table: str) -> None:
+        df.write.parquet(f"{self.folder}/{self.version}/{table}")
+        self.tables[table] = f"{self.version}/{table}"
+
+    def read(self, table: str, schema: StructType) -> DataFrame:
+        """A table of this release, before anybody else sees it."""
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{self.tables[table]}")
+
+    def publish(self) -> None:
+        number, tables = current_release(self.spark, self.folder)
+        last = max([number, *(n for n, _ in _releases(self.spark, self.folder))])
+        system, path = _file_system(self.spark, f"{self.folder}/{RELEASE}{last + 1:08d}")
+        out = system.create(path, False)
         try:
-            _rename(self.spark, self.beside, self.path)
-        except Exception:
-            _rename(self.spark, previous, self.path)
-            raise
-        delete(self.spark, previous)
+            out.write(json.dumps(tables | self.tables).encode())
+        finally:
+            out.close()
 
-    def __enter__(self) -> Replacement:
+    def __enter__(self) -> Release:
         return self
 
     def __exit__(self, error, *_) -> None:
-        if error is not None:
-            delete(self.spark, self.beside)
+        _, tables = current_release(self.spark, self.folder)
+        if error is not None and not set(self.tables.values()) & set(tables.values()):
+            delete(self.spark, f"{self.folder}/{self.version}")
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Full refresh of the table at ``path``."""
-    with Replacement(df.sparkSession, path) as replacement:
-        replacement.write(df)
-        replacement.commit()
+    """Full refresh of the table named ``path``."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    with Release(df.sparkSession, folder) as release:
+        release.write(df, name)
+        release.publish()
 
 
 def create_database(spark: SparkSession, layer: str, folder: str) -> None:
@@ -100,5 +176,7 @@ def publish(
     for table, schema in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
         spark.catalog.createTable(
-            f"{layer}.{table}", path=f"{folder.rstrip('/')}/{table}", source="parquet", schema=schema
+            f"{layer}.{table}",
+            path=table_path(spark, f"{folder.rstrip('/')}/{table}"),
+            source="parquet", schema=schema,
         )

@@ -10,6 +10,7 @@ from merchantry.functions import (
     concat_text,
     decode_yyyymmdd,
     growth_percentage,
+    truncated_ratio,
     int_avg,
     int_div,
     is_undecodable,
@@ -125,3 +126,14 @@ def test_code_label(spark):
     codes = spark.createDataFrame([("F",), ("FEMALE",), ("M",), ("x",), (None,)], "c string")
     found = codes.select(code_label(F.col("c"), labels)).collect()
     assert [r[0] for r in found] == ["Female", "Female", "Male", "n/a", "n/a"]
+
+
+def test_ratios_are_cut_and_not_rounded(spark):
+    two, three = (F.lit(n).cast("bigint") for n in (2, 3))
+    assert int(spark.range(1).select(truncated_ratio(two, three, 13)).first()[0]) == 6666666666666
+
+
+def test_a_quotient_just_under_a_half_is_rounded_down(spark):
+    # 0.00499999999999999...95 percent.
+    column = growth_percentage(F.lit(10**18 + 49_999_999_999_999).cast("bigint"), F.lit(10**18).cast("bigint"))
+    assert str(spark.range(1).select(column).first()[0]) == "0.00"

@@ -149,6 +149,9 @@ def test_hot_keys(spark):
     _, right = lookup_pair(spark)
     assert set(hot_keys(right, "rk", 100)) == {7}
     assert hot_keys(right, "rk") == {}
+    # The limit is the same however large the table is.
+    many = spark.range(60_000).selectExpr("CASE WHEN id < 60 THEN -1 ELSE id END AS rk")
+    assert set(hot_keys(many, "rk", 50)) == {-1}
     assert hot_keys(right.where("false"), "rk", 1) == {}
     texts = right.select(F.concat(F.lit("k"), "rk").alias("rk"))
     assert set(hot_keys(texts, "rk", 100)) == {"k7"}
@@ -252,3 +255,9 @@ def test_profiles(spark):
     ]
     empty = sorted(rows_of(column_profile({"e": df.where("false")})))
     assert [r[3:] for r in empty] == [(0, 0, None, None)] * 4
+
+
+def test_members_per_period_are_refused(spark):
+    df = spark.createDataFrame([(1, 2)], "k int, v int")
+    with pytest.raises(ValueError, match="once per value"):
+        roll_up(df, df, "k", ["v"], {"s": "v"}, by=["v"], members="n")

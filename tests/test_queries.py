@@ -7,14 +7,15 @@ import pytest
 from compare import connect, difference
 from helpers import plan_of
 
-from merchantry.plans.catalog import AS_OF
+from merchantry.oracle import oracle_queries
+from merchantry.plans.catalog import AS_OF, all_queries
 from merchantry.plans.warehouse import open_warehouse
 from merchantry.session import clear_workspace
 from merchantry.sources.sample_data import SAMPLE_TABLES
 
 FOLDER = "/root/testdata/sf0.001"
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = all_queries(), oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +35,10 @@ def test_query(spark, duck, name):
     assert difference(df, duck, SQL[name]) == ""
 
 
+def test_the_contract_has_them_all():
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
