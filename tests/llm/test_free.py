@@ -287,6 +287,6 @@ def test_pipeline_stages(spark, tmp_path):
         assert name and (k == 4 or docs.columns == columns)
     long_enough = {i for i, t, *_ in awkward_rows() if i is not None and len((t or "").split()) >= 50}
     assert set(ids[0]) == long_enough - {28, 29}  # one and the same phrase over and over
-    assert set(ids[0]) - set(ids[1]) == {21}
+    assert {21} <= set(ids[0]) - set(ids[1]) <= {21, 22}  # the copy, and the near copy line by line
     assert set(ids[2]) == set(ids[1]) and set(ids[3]) <= set(ids[2]) and ids[4] == ids[3]
     assert docs.where("NOT round_trip").count() == 0
