@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +43,13 @@ def hot_keys(df: DataFrame, key: str, modest_group: int = MODEST_GROUP) -> dict[
     return {value: count for value, count in counts.items() if count > modest_group}
 
 
+def _expects_skew_join(df: DataFrame) -> None:
+    """Warns where the session would leave a hot key of the left side to one task."""
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+        if df.sparkSession.conf.get(key).lower() != "true":
+            warnings.warn(f"{key} is off: hot keys are not split", stacklevel=3)
+
+
 def left_lookup(
     left: DataFrame,
     right: DataFrame,
@@ -64,6 +72,7 @@ def left_lookup(
     tables by row-wise steps, so that a task run again deals its rows to the
     same slices.
     """
+    _expects_skew_join(left)
     hot = hot_keys(right, right_key, modest_group)
     if not hot:
         return left.join(right, left[left_key] == right[right_key], "left")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import store
+from ..session import discard, store
 
 # monotonically_increasing_id() puts the partition above 33 bits of row position.
 POSITION_BITS = 33
@@ -28,10 +28,12 @@ def ordered_blocks(df: DataFrame, order: Sequence[str]) -> DataFrame:
     function of the rows alone. Rows that are copies of each other differ in a
     last number, so even a table of copies is cut into even blocks. The input
     is stored first: the range sampler reads it once more, and the last number
-    must be the same for a task run again after a lost executor.
+    must be the same for a task run again after a lost executor. That copy goes
+    as soon as the ordered one is there.
     """
     order = [*order, *[c for c in df.columns if c not in order]]
-    rows = store(df, "unordered").withColumn("_copy", F.monotonically_increasing_id())
+    unordered = store(df, "unordered")
+    rows = unordered.withColumn("_copy", F.monotonically_increasing_id())
     placed = (
         rows.repartitionByRange(*order, "_copy")
         .sortWithinPartitions(*order, "_copy")
@@ -39,7 +41,9 @@ def ordered_blocks(df: DataFrame, order: Sequence[str]) -> DataFrame:
         .withColumn("_place", F.monotonically_increasing_id())
     )
     place = F.col("_place")
-    return store(placed, "ordered").select(
+    ordered = store(placed, "ordered")
+    discard(unordered)
+    return ordered.select(
         *df.columns,
         F.shiftright(place, POSITION_BITS).alias(BLOCK),
         place.bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).alias(POSITION),

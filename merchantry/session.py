@@ -84,6 +84,12 @@ def store(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a stored table that nothing reads again."""
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        delete(df.sparkSession, folder)
+
+
 def clear_workspace(spark: SparkSession) -> None:
     """Remove what this application stored; tables built from it are gone as well."""
     delete(spark, workspace(spark))

@@ -261,3 +261,13 @@ def test_members_per_period_are_refused(spark):
     df = spark.createDataFrame([(1, 2)], "k int, v int")
     with pytest.raises(ValueError, match="once per value"):
         roll_up(df, df, "k", ["v"], {"s": "v"}, by=["v"], members="n")
+
+
+def test_a_lookup_warns_where_hot_keys_are_not_split(spark):
+    df = spark.createDataFrame([(1, 2)], "k int, v int")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        with pytest.warns(UserWarning, match="not split"):
+            left_lookup(df, df.toDF("a", "b"), "k", "a")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
