@@ -176,8 +176,8 @@ def test_a_shared_block_leads_to_the_comparison(spark):
     text = "\n".join([" ".join(words), " ".join(near)])
     df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     assert [tuple(r)[2] for r in lines.repeated_lines(df).collect()] in ([], [1])
-    same = spark.createDataFrame([("a b c d e f", "a b c d e g")], "a string, b string")
-    assert same.select(lines.alike(F.col("a"), F.col("b"))).first()[0] is False
+    pair = spark.createDataFrame([("a b c d e f", "a b c d x y")], "a string, b string")
+    assert pair.select(lines.alike(F.col("a"), F.col("b"))).first()[0] is False
 
 
 def test_lines_of_awkward_rows(spark):
