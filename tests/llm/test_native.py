@@ -205,3 +205,27 @@ def test_simhash_bits(spark):
     for _, _, hashes, a, b in df.withColumns({"a": low, "b": high}).collect():
         bits = sum(1 << k for k in range(64) if 2 * sum((h >> k) & 1 for h in hashes) > len(hashes))
         assert (a | b) % (1 << 64) == bits and a & b == 0
+
+
+def test_recall_of_fuzzy_lines_against_all_pairs(spark):
+    import random
+
+    r = random.Random(4)
+    stems = ["".join(r.choices("abcdefghij", k=r.randint(3, 9))) for _ in range(3000)]
+    text, sizes = [], {}
+    for size in (6, 9, 12, 20, 28, 45):
+        for _ in range(60):
+            words = [r.choice(stems) for _ in range(size)]
+            text.append(" ".join(words))
+            for k in r.sample(range(size), 1 if size < 20 else r.randint(1, 3)):
+                words[k] = words[k][:-1] + "x"
+            sizes[len(text)] = size
+            text.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(text)), "doc_id bigint, text string").repartition(8)
+    a, b = (docs.select(F.col("doc_id").alias(n), F.col("text").alias(f"{n}t")) for n in "ab")
+    pairs = a.join(b, (F.col("a") > F.col("b")) & lines.alike(F.col("at"), F.col("bt")))
+    wanted = {x["a"] for x in pairs.select("a").collect()}
+    found = {x["doc_id"] for x in lines.repeated_lines(docs).collect()}
+    assert found <= wanted and len(wanted) >= 300
+    recall = {n: sum(sizes[k] == n for k in found) / sum(sizes[k] == n for k in wanted) for n in sizes.values()}
+    assert min(recall.values()) >= 0.9, recall
