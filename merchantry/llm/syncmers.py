@@ -49,7 +49,7 @@ def _with_runs(df: DataFrame, text: str, prefix: str) -> DataFrame:
 
 
 def _at_anchors(prefix: str, made) -> Column:
-    """``made(hash, place)`` for each anchor; a text shorter than K tokens is one anchor."""
+    """``made(hash, place)`` for each anchor; a text that has none is one anchor as a whole."""
     t, r = F.col(f"{prefix}_tokens"), F.col(f"{prefix}_runs")
     last = K - S  # of the runs inside K tokens, counted from 0
 
@@ -64,11 +64,12 @@ def _at_anchors(prefix: str, made) -> Column:
         F.transform(F.slice(r, F.lit(1), F.greatest(F.size(r) - last, F.lit(0))), of)
     )
     whole = made(F.xxhash64(t), F.lit(0))
-    return (
-        F.when(F.size(t) >= K, found)
-        .when(F.size(t) > 0, F.array(whole))
-        .otherwise(F.array_compact(F.array(F.when(F.lit(False), whole))))
-    )
+
+    def with_whole(anchors: Column) -> Column:
+        return F.when((F.size(anchors) == 0) & (F.size(t) > 0), F.array(whole)).otherwise(anchors)
+
+    # Inside one array, so that the anchors are found once.
+    return F.flatten(F.transform(F.array(found), with_whole))
 
 
 def anchors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -69,6 +69,14 @@ def test_fingerprints_of_awkward_rows(spark):
     assert syncmers.fingerprint_edits(empty(spark)).count() == 0
 
 
+def test_short_texts_have_fingerprints_of_their_own(spark):
+    rows = [(100 * n + k, " ".join(f"w{n}x{k}x{j}" for j in range(n))) for n in range(1, 9) for k in range(40)]
+    df = spark.createDataFrame([*rows, (0, "")], "doc_id bigint, text string")
+    found = {r["doc_id"]: tuple(r["fingerprint"]) for r in syncmers.fingerprint_edits(df).collect()}
+    assert found.pop(0) == () and all(found.values()) and len(set(found.values())) == len(rows)
+    assert {r["doc_id"] for r in syncmers.anchors(df).collect()} == set(found)
+
+
 def test_shards(spark):
     rows = awkward_rows()
     found = ring.shard_documents(awkward(spark, "shard", "slot", "size"), 4).collect()
