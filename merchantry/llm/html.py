@@ -5,8 +5,8 @@ the lines are summed over a sliding window; where the sums surge is the start
 of the main text, where they dive is its end, and what lies between is kept.
 Lines in parts of a page that say what they are, such as menus, forms, footers
 or reader comments, carry no text of the article and count as empty; a link
-counts less than text. On a page that marks its article, the mark is the surge: its
-lines weigh enough to start a stretch and lines outside weigh nothing.
+counts less than text. A mark of the article adds to the weight of its lines, and
+marked lines are taken alone where they hold most of the text found.
 """
 
 from __future__ import annotations
@@ -241,27 +241,22 @@ def _stretches(weights: list[int], window: int, surge: int, dive: int) -> list[t
     return found
 
 
-def _weights(lines: list[Line], surge: int) -> list[int]:
-    """Text each line counts for; on a page that marks its article, lines outside count nothing.
+def _size(lines: list[Line]) -> int:
+    return sum(x.weight for x in lines)
 
-    Of several marked articles those count that have a fifth of the text of the
-    longest; teasers do not.
-    """
-    for mark in ("article", "main"):
-        sizes: dict[int, int] = {}
-        for line in lines:
-            number = getattr(line, mark)
-            if number and not line.aside:
-                sizes[number] = sizes.get(number, 0) + len(line.text)
-        if sizes:
-            best = max(sizes.values())
-            return [
-                surge + len(x.text)
-                if not x.aside and 5 * sizes.get(getattr(x, mark), 0) >= best
-                else 0
-                for x in lines
-            ]
-    return [x.weight for x in lines]
+
+def _found(lines: list[Line], weights: list[int], window: int, surge: int, dive: int) -> list[Line]:
+    """Lines of all stretches, with the short ones that follow each inside a window."""
+    ranges = _stretches(weights, window, surge, dive)
+    if not ranges:
+        return [x for x in lines if x.weight]
+    taken = set()
+    for start, end in ranges:
+        last = min(end + window, len(lines))
+        while end < last and lines[end].weight:
+            end += 1
+        taken.update(range(start, end))
+    return [x for k, x in enumerate(lines) if k in taken and not x.aside]
 
 
 def main_text(
@@ -269,14 +264,24 @@ def main_text(
 ) -> str:
     """The article of a page: its blocks, white space folded, joined by an empty line.
 
-    The lines between each surge and the dive after it are kept. A page whose
+    The lines between each surge and the dive after it are kept. Lines inside
+    <article>, or else <main>, weigh ``dive`` more, and are the text alone if
+    they hold more than half of what they and the stretches hold. A page whose
     lines never surge is short; its lines that are not mostly links are kept.
     NULL and pages without text give ''.
     """
     lines = lines_of(html or "")
-    weights = _weights(lines, surge)
-    ranges = _stretches(weights, window, surge, dive) or [(0, len(lines))]
-    return "\n\n".join(lines[k].text for a, b in ranges for k in range(a, b) if weights[k])
+    weights = [
+        x.weight + (dive if x.weight and (x.article or x.main) else 0) for x in lines
+    ]
+    found = _found(lines, weights, window, surge, dive)
+    for mark in ("article", "main"):
+        marked = [x for x in lines if getattr(x, mark) and not x.aside]
+        others = [x for x in found if not getattr(x, mark)]
+        if _size(marked) > _size(others):
+            found = marked
+            break
+    return "\n\n".join(x.text for x in found)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

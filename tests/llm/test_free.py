@@ -257,6 +257,19 @@ def test_surge_and_dive_without_a_mark():
     assert html._stretches([0, 0, 100, 5, 0, 0, 0, 0, 90, 3], 3, 80, 25) == [(2, 3), (8, 9)]
 
 
+def test_teasers_marked_as_articles_do_not_replace_the_text():
+    long = "A long paragraph that says what the page is about, in more than a few words. " * 3
+    cards = "".join(f"<article><a href={k}>Card {k}</a><p>Short teaser</p></article>" for k in range(3))
+    for body in (f"<div><p>{long}</p><p>{long}</p></div>{cards}", f"{cards}<main><p>{long}</p><p>{long}</p></main>"):
+        assert html.main_text(PAGE % body).count(long.strip()) == 2
+
+
+def test_blocks_of_a_stretch_are_kept():
+    long = "A long paragraph that says what the page is about, in more than a few words. " * 3
+    page = PAGE % f"<div><p>{long}</p><p><a href=1>mostly a link</a> x</p><p>{long}</p><p>End.</p></div>"
+    assert html.main_text(page).split("\n\n")[1:] == ["mostly a link x", long.strip(), "End."]
+
+
 @pytest.mark.parametrize(
     "source, text",
     [(None, ""), ("", ""), ("plain", "plain"), ("a < b", "a < b"), ("<p>cut <b", "cut"), ("<script>x", ""),
