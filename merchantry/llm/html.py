@@ -47,17 +47,25 @@ CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
-# Blocks that inside an article hold its heading, outside that of the site.
-HEADING = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?=$|[\s_-])", re.I)
-# Words that name parts beside the article, in class, id, role or aria-label.
-ASIDE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar"
-    r"|side|footer|foot|comments?|commentlist|respond|replies|reply|discussion"
-    r"|disqus|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup"
-    r"|login|share|sharing|social|related|recommend\w*|widget|pager|pagination|copyright|legal"
-    r"|disclaimer|toolbar|search|skip|navigation|contentinfo|complementary|tags?)(?=$|[\s_-])",
-    re.I,
+# Names of parts beside the article, and words that say nothing of what a part is. A token of
+# class, id, role or aria-label names such a part if it is made of these words alone.
+NEUTRAL = "site|main|page|top|bottom|bar|area|list|links?|box|container|wrapper|section|block"
+ASIDE_WORDS = (
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar|side"
+    r"|footer|foot|comments?|commentlist|respond|replies|reply|discussion|disqus|cookies?"
+    r"|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login"
+    r"|share|sharing|social|related|recommend\w*|widget|pager|pagination|copyright|legal"
+    r"|disclaimer|toolbar|search|skip|navigation|contentinfo|complementary|tags?"
 )
+
+
+def _tokens(words: str) -> re.Pattern:
+    return re.compile(rf"(?<!\S)(?:(?:{NEUTRAL})[_-])*(?:{words})(?:[_-](?:{NEUTRAL}|{words}))*(?!\S)", re.I)
+
+
+ASIDE = _tokens(ASIDE_WORDS)
+# Blocks that inside an article hold its heading, outside that of the site.
+HEADING = _tokens("header|masthead")
 TAG = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)",
@@ -67,24 +75,25 @@ ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>
 SPACE = re.compile(r"\s+")
 
 
-def _set_aside(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element says that what it holds is not the article."""
+def _set_aside(name: str, attributes: str, inside: bool) -> str:
+    """How an element says that what it holds is not the article: "hidden", "named", or "" for not."""
     if name in DROPPED and not (inside and name == "header"):
-        return True
+        return "hidden"
     if not attributes.strip() or name in ("html", "body", "main"):
-        return False
+        return ""
+    found = ""
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key = key.lower()
         value = a or b or c
-        if key in ("class", "id", "role", "aria-label") and (
+        if key in ("class", "id", "role", "aria-label") and name != "article" and (
             ASIDE.search(value) or not inside and HEADING.search(value)
         ):
-            return True
+            found = "named"
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return "hidden"
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return "hidden"
+    return found
 
 
 class Line:
@@ -106,12 +115,16 @@ def lines_of(html: str) -> list[Line]:
 
     ``article`` and ``main`` are the numbers of the outermost elements of these
     names a block is in, 0 outside. Unclosed and stray tags, cut pages and ``<`` in
-    text are read the way browsers do.
+    text are read the way browsers do. An element that is aside by its name alone
+    is not if it holds more than half of the page's text outside links, and enough
+    for a surge or all there is.
     """
     lines: list[Line] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, is aside, marks the article
+    stack: list[tuple[str, str, bool]] = []  # name, how it is aside, marks the article
     parts: list[str] = []
-    aside = links = linked = 0
+    aside = links = linked = n_named = 0
+    named: list[int] = []  # numbers of the open elements that are aside by name
+    within: list[tuple[int, ...]] = []  # of each line, these numbers
     inside, found = {"article": 0, "main": 0}, {"article": 0, "main": 0}
 
     def number(name: str) -> int:
@@ -123,6 +136,7 @@ def lines_of(html: str) -> list[Line]:
             text = SPACE.sub(" ", unescape("".join(parts))).strip()
             if text:
                 lines.append(Line(text, linked, aside > 0, number("article"), number("main")))
+                within.append(tuple(named))
             parts.clear()
         linked = 0
 
@@ -133,7 +147,9 @@ def lines_of(html: str) -> list[Line]:
             name, was_aside, marks = stack.pop()
             if name in BLOCKS or was_aside:
                 flush()
-            aside -= was_aside
+            aside -= was_aside == "hidden"
+            if was_aside == "named":
+                named.pop()
             if marks:
                 inside[name] -= 1
             links -= name == "a"
@@ -202,15 +218,26 @@ def lines_of(html: str) -> list[Line]:
                 close(1)
         off = _set_aside(name, tag[3], inside["article"] > 0)
         marks = name in ("article", "main") and not off
+        if off == "named":
+            n_named += 1
         if off:
             flush()
         if marks:
             found[name] += not inside[name]
             inside[name] += 1
         stack.append((name, off, marks))
-        aside += off
+        aside += off == "hidden"
+        if off == "named":
+            named.append(n_named)
         links += name == "a"
     flush()
+    held: dict[int, int] = {}
+    for line, numbers in zip(lines, within):
+        for k in numbers:
+            held[k] = held.get(k, 0) + line.weight
+    total = sum(x.weight for x in lines)
+    for line, numbers in zip(lines, within):
+        line.aside |= any(2 * held[k] <= total or held[k] < min(SURGE, total) for k in numbers)
     return lines
 
 

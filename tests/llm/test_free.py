@@ -264,6 +264,17 @@ def test_teasers_marked_as_articles_do_not_replace_the_text():
         assert html.main_text(PAGE % body).count(long.strip()) == 2
 
 
+def test_names_do_not_set_the_article_aside():
+    long = "A long paragraph that says what the page is about, in more than a few words. " * 3
+    for body in (
+        f"<article class='post type-post tag-election'><p>{long}</p></article>",
+        f"<article class='post legal'><p>{long}</p></article>",
+        f"<div id=page class='has-sidebar'><p>{long}</p></div>",
+        f"<div class='post legal'><p>{long}</p><div class='site-footer'>All of it is ours and of nobody else.</div></div>",
+    ):
+        assert html.main_text(PAGE % body) == long.strip()
+
+
 def test_blocks_of_a_stretch_are_kept():
     long = "A long paragraph that says what the page is about, in more than a few words. " * 3
     page = PAGE % f"<div><p>{long}</p><p><a href=1>mostly a link</a> x</p><p>{long}</p><p>End.</p></div>"
