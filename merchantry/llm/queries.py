@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import workspace
-from . import html, lines, lm, minhash, mixing, pieces, ring, rules, syncmers, warc
+from . import html, infill, lines, lm, minhash, mixing, pieces, ring, rules, syncmers, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +83,20 @@ def op10_line_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(_read(spark, folder, "pages"))
 
 
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as prefix, suffix and middle, and rebuilt from that."""
+    found = infill.fill_in_middle(_read(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 _OP4_SQL = """
 WITH digests AS (
     SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
@@ -184,6 +198,32 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+_OP12_SQL = """
+WITH digests AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d,
+        regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+    FROM documents
+), drawn AS (
+    SELECT doc_id, t, u, len(u)::BIGINT AS n,
+        ('0x' || d[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || d[9:16])::BIGINT % (len(u) + 1) AS b,
+        CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR ('0x' || d[17:24])::BIGINT % 100 >= 90
+            THEN 'plain' WHEN ('0x' || d[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM digests
+), cut AS (
+    SELECT doc_id, t, n, form, array_to_string(u[:least(a, b)], '') AS p,
+        array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+        array_to_string(u[greatest(a, b) + 1:], '') AS s
+    FROM drawn
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM cut
+"""
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -197,6 +237,7 @@ QUERIES: dict[str, Query] = {
         op8_pareto_mix,
         op9_minhash_groups,
         op10_line_blocks,
+        op12_fill_in_middle,
     )
 }
 
@@ -204,4 +245,5 @@ SQL: dict[str, str] = {
     "op4_warc_records": _OP4_SQL,
     "op6_quality_rules": _OP6_SQL,
     "op8_pareto_mix": _OP8_SQL,
+    "op12_fill_in_middle": _OP12_SQL,
 }
