@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import workspace
-from . import html, infill, lines, lm, minhash, mixing, pieces, ring, rules, syncmers, warc
+from . import html, infill, lines, lm, minhash, mixing, packing, pieces, ring, rules, syncmers, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +97,11 @@ def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of all documents in sequences of at most 2048."""
+    return packing.pack_documents(_read(spark, folder, "documents"))
+
+
 _OP4_SQL = """
 WITH digests AS (
     SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
@@ -238,6 +243,7 @@ QUERIES: dict[str, Query] = {
         op9_minhash_groups,
         op10_line_blocks,
         op12_fill_in_middle,
+        op13_vector_packing,
     )
 }
 
