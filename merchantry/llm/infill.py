@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import spare
+
 CONTAINER_BITS = 16
 
 # Marks before prefix, suffix and middle.
@@ -164,10 +166,11 @@ def fill_in_middle(
     empty. Columns of ``docs`` named like one of the result give way to it.
     """
     others = [c for c in docs.columns if c != text and c.lower() not in NAMES]
+    name, content = spare(docs, "name", "content")
     source = docs.select(
         *[f"`{c}`" for c in others],
-        F.col(f"`{doc_id}`").alias("_id"),
-        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"),
+        F.col(f"`{doc_id}`").alias(name),
+        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(content),
     )
     kept = ", ".join(f"`{n}` {t}" for n, t in docs.select(*[f"`{c}`" for c in others]).dtypes)
 
@@ -177,7 +180,7 @@ def fill_in_middle(
                 batch = whole.slice(at, BATCH_ROWS)
                 rows = [
                     transform(t, draws(i, seed), rate, suffix_first)
-                    for i, t in zip(batch["_id"].to_pylist(), batch["_text"].to_pylist())
+                    for i, t in zip(batch[name].to_pylist(), batch[content].to_pylist())
                 ]
                 made = [pa.array(c, k) for c, k in zip(zip(*rows), KINDS)]
                 yield pa.RecordBatch.from_arrays(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import workspace
-from . import html, infill, lines, lm, minhash, mixing, packing, pieces, ring, rules, syncmers, warc
+from . import html, infill, lines, lm, minhash, mixing, packing, pieces, ring, rules, syncmers, trie, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +83,11 @@ def op10_line_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(_read(spark, folder, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations."""
+    return trie.prefix_trie(_read(spark, folder, "conversations"))
+
+
 def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as prefix, suffix and middle, and rebuilt from that."""
     found = infill.fill_in_middle(_read(spark, folder, "documents").select("doc_id", "text"))
@@ -242,6 +247,7 @@ QUERIES: dict[str, Query] = {
         op8_pareto_mix,
         op9_minhash_groups,
         op10_line_blocks,
+        op11_prefix_trie,
         op12_fill_in_middle,
         op13_vector_packing,
     )

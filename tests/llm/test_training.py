@@ -1,0 +1,284 @@
+"""Prefix trie, fill-in-middle and packing against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from fixtures import awkward, awkward_rows, empty
+from pyspark.sql import functions as F
+
+from merchantry.llm import infill, packing, queries, trie
+
+FOLDER = "/root/testdata/sf0.001"
+TURNS = "conv_id bigint, turn bigint, role string, text string"
+
+
+def trie_by_lists(rows, family=5, most_head=9):
+    """Nodes of rebuilt conversations, each as the set of its members."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    turns = {c: [(r, t) for _, _, r, t in sorted(x)] for c, x in own.items()}
+    made = {}
+    for c, x in turns.items():
+        h = zlib.crc32(str(c).encode()) % most_head
+        made[c] = tuple(turns.get(c - c % family, [])[:h] + x[h:])
+    members = defaultdict(list)
+    for c, x in made.items():
+        for d in range(len(x) + 1):
+            members[x[:d]].append(c)
+    children = defaultdict(set)
+    for node in members:
+        if node:
+            children[node[:-1]].add(node)
+    found = {}
+    for node in sorted(members, key=len, reverse=True):
+        below = [found[k] for k in children[node]]
+        ends = sorted(c for c in members[node] if len(made[c]) == len(node))
+        found[node] = (
+            min(members[node]),
+            len(node),
+            min(members[node[:-1]]) if node else None,
+            len(members[node]),
+            len(below),
+            sum(x[5] for x in below) or 1,
+            sum(x[6] for x in below)
+            + (len(members[node]) - 1) * (len(node[-1][1].encode()) if node else 0),
+            hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest(),
+        )
+    return Counter(found.values())
+
+
+def some_conversations(seed, n, words=3, longest=7):
+    r = random.Random(seed)
+    return [
+        (c, k, r.choice(["user", "assistant"]), "é" * r.randrange(words))
+        for c in r.sample(range(3 * n), n)
+        for k in range(r.randint(1, longest))
+    ]
+
+
+AWKWARD = [
+    (1, None, "user", "first"), (1, 0, None, "x"), (1, 1, "user", None), (1, 1, "assistant", "y"),
+    (2, 0, "user", "x"), (2, 0, "user", "x"), (3, 5, "", ""), (None, 1, "user", "lost"),
+    (10, 0, "user", "a"), (11, 0, "user", "own"), (11, 1, "user", "b"), (12, 9, "system", "z" * 70000),
+]
+
+
+@pytest.mark.parametrize(
+    "rows, sizes",
+    [
+        (AWKWARD, {}),
+        ([], {}),
+        (some_conversations(1, 300), {}),
+        (some_conversations(2, 100), {"stretch": 2, "shard_turns": 6}),
+        (some_conversations(3, 40, 2, 12), {"stretch": 4, "shard_turns": 10}),
+        (some_conversations(4, 40, 2, 4), {"stretch": 1, "shard_turns": 3}),
+        # Many that share many turns, and one that is very long.
+        (
+            [(c, k, "user", "same" if k < 20 else str(c % 7)) for c in range(40) for k in range(25)]
+            + [(100, k, "user", str(k % 3)) for k in range(90)]
+            + [(105, k, "user", str(k % 3)) for k in range(50)],
+            {"stretch": 16, "shard_turns": 50},
+        ),
+    ],
+)
+def test_trie(spark, rows, sizes):
+    df = spark.createDataFrame(rows, TURNS).repartition(4).withColumn("k1", F.lit("mine"))
+    found = Counter(tuple(r) for r in trie.prefix_trie(df, **sizes).collect())
+    assert found == trie_by_lists(rows)
+
+
+def test_trie_of_conversations_as_they_are(spark):
+    rows = some_conversations(5, 200)
+    found = trie.prefix_trie(spark.createDataFrame(rows, TURNS), most_head=1)
+    assert Counter(tuple(r) for r in found.collect()) == trie_by_lists(rows, most_head=1)
+
+
+def test_trie_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    found = queries.op11_prefix_trie(spark, FOLDER)
+    assert Counter(tuple(r) for r in found.collect()) == trie_by_lists(rows)
+
+
+def test_double_array_holds_each_sequence():
+    r = np.random.default_rng(1)
+    lengths = r.integers(0, 9, 500)
+    turns = r.integers(-50, 50, lengths.sum()) ** 3
+    made, root, symbols = trie.build(r.integers(0, 3, 500), lengths, turns)
+    ends, at = {}, 0
+    for k, n in enumerate(lengths):
+        slot = made.step(np.zeros(1, np.int64), root[k : k + 1])
+        for symbol in symbols[at : at + n]:
+            parent, slot = slot, made.step(slot, np.array([symbol]))
+            assert made.check[slot[0]] == parent[0] and made.base[parent[0]] + symbol == slot[0]
+        key = (int(root[k]), tuple(turns[at : at + n].tolist()))
+        assert ends.setdefault(int(slot[0]), key) == key
+        at += n
+    assert len(set(ends.values())) == len(ends)
+    # Dense: little more room than nodes and ids take.
+    assert len(made.check) <= 4 * ((made.check >= 0).sum() + symbols.max() + 64)
+
+
+def test_ends_are_hashed_in_order_whatever_their_number(spark, monkeypatch):
+    monkeypatch.setattr(trie, "CHUNK", 50)
+    rows = spark.range(0, 3000, 1, 7).selectExpr("id % 2 AS e1", "5L AS e2", "id AS conv_id")
+    found = {r["e1"]: r["sha"] for r in trie._hashed_ends(rows).collect()}
+    for k in (0, 1):
+        ids = ",".join(str(i) for i in range(k, 3000, 2))
+        assert found[k] == hashlib.sha256(ids.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("bits", [3, 6, 10, 16])
+def test_select_in_containers(bits):
+    r = random.Random(bits)
+    for share in (0.001, 0.05, 0.5, 0.97, 1.0):
+        offsets = np.array([k for k in range(70000) if r.random() < share], np.int64)
+        found = infill.BoundarySet(offsets, bits)
+        assert len(found) == len(offsets)
+        for rank in [*range(min(50, len(offsets))), *r.choices(range(len(offsets)), k=200)] if len(offsets) else []:
+            assert found.select(rank) == offsets[rank]
+
+
+def test_containers_are_the_smallest():
+    assert isinstance(infill.container(np.arange(0, 3000, 3)), infill.ArrayContainer)
+    assert isinstance(infill.container(np.arange(0, 60000, 3)), infill.BitmapContainer)
+    assert isinstance(infill.container(np.arange(5, 60000)), infill.RunContainer)
+
+
+def filled(doc_id, text):
+    """The definition, over a list of tokens."""
+    text = text or ""
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    a, b, c, d = (int(digest[k : k + 8], 16) for k in (0, 8, 16, 24))
+    tokens = re.findall("[A-Za-z]+|[^A-Za-z]", text, re.S)
+    n = len(tokens)
+    if not text or re.search("<[PSM]>", text) or c % 100 >= 90:
+        return n, "plain", None, None, text
+    x, y = sorted((a % (n + 1), b % (n + 1)))
+    p, m, s = ("".join(t) for t in (tokens[:x], tokens[x:y], tokens[y:]))
+    if d % 100 < 20:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_fill_in_middle_of_awkward_rows(spark):
+    rows = [(r[0], r[1]) for r in awkward_rows()] + [
+        (101, "<" * 9), (102, "a <P> b"), (103, "<S"), (104, "S>x<"), (105, "word " * 30000), (106, "ab\x00c\r\nd😀e"),
+        *[(k, f"<P word{k} <S <M> no"[: 3 + k % 14]) for k in range(200, 300)],
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = infill.fill_in_middle(docs.withColumn("form", F.lit("mine")).withColumn("content", F.lit(1)))
+    assert found.columns == ["doc_id", "content", *infill.NAMES]
+    back = infill.restored(F.col("output"), F.col("form"))
+    got = found.withColumn("back", back).collect()
+    assert Counter((r["doc_id"], *[r[c] for c in infill.NAMES]) for r in got) == Counter(
+        (i, *filled(i, t)) for i, t in rows
+    )
+    assert Counter((r["doc_id"], r["back"]) for r in got) == Counter((i, t or "") for i, t in rows)
+    assert infill.fill_in_middle(empty(spark)).count() == 0
+
+
+def whole_ids(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    return [e.ids + [packing.END_ID] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+STRANGE = [
+    "", " ", "\n\na  b\t", "It's we'll THEY'RE 'tis o'clock''s", "x1y22z333", "a b c　d", "\x1ca\x1cb\x85c",
+    "<|endoftext|> <|startoftext|>x<|endof text|>", "Ünïcödé ÉCOLE İstanbul ΣΑΣ Straße ﬁn", "日本語テキスト 한국어 ไทย",
+    "é É́ ́ x", "😀😃 a😀b ‍ 👩‍👩‍👧", "...!?--'' '' \"quoted\"", "\x00 \x01\x7f", "a_b-c/d\\e{f}[g]|h~`",
+]
+
+
+def test_ids_are_those_of_the_tokenizer(spark, monkeypatch):
+    texts = STRANGE + [" ".join(STRANGE), "long " * 5000] + [r[1] or "" for r in awkward_rows()]
+    monkeypatch.setattr(packing, "BATCH_BYTES", 4096)
+    known = packing.WordTokenizer(packing.tokenizer_path())
+    for _ in range(2):  # unknown words, then known ones
+        found = list(packing._ids_by_row(packing.pa.array(texts), known))
+        for text, ids, expected in zip(texts, found, whole_ids(texts)):
+            assert [*ids.tolist(), packing.END_ID] == expected, text
+
+
+def test_packing_of_awkward_rows(spark):
+    docs = awkward(spark, "length", "sequence_id", "block")
+    rows = packing.pack_documents(docs).collect()
+    ids = Counter()
+    expected = Counter()
+    for (i, text, *_), found in zip(awkward_rows(), whole_ids([r[1] or "" for r in awkward_rows()])):
+        for start in range(0, len(found), packing.SEQUENCE_TOKENS):
+            part = np.array(found[start : start + packing.SEQUENCE_TOKENS], "<u4")
+            expected[i, start, len(part), zlib.crc32(part.tobytes()), len(found)] += 1
+    for r in rows:
+        ids[r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]] += 1
+    assert ids == expected
+    assert_packed(rows, "length", packing.SEQUENCE_TOKENS, packing.SEGMENTS)
+    assert packing.pack_documents(empty(spark)).count() == 0
+
+
+def assert_packed(rows, size, tokens, segments, loss=None, most_loss=None):
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r[size], r[loss] if loss else 0))
+    for found in sequences.values():
+        found.sort()
+        at = 0
+        for offset, n, _ in found:
+            assert offset == at
+            at += n
+        if len(found) > 1:
+            assert at <= tokens and len(found) <= segments
+            assert loss is None or sum(x[2] for x in found) <= most_loss
+    return sequences
+
+
+def test_limits_bind_together(spark):
+    """Instruction data: answers bear loss, prompts do not."""
+    r = random.Random(7)
+    rows = [(k, n := r.randint(1, 400), r.randint(0, n)) for k in range(3000)] + [(5000, 3000, 10), (5001, 5, 900), (5002, None, None)]
+    df = spark.createDataFrame(rows, "id int, size int, answer int").withColumn("offset", F.lit("x"))
+    for limits in ((1000, 4, 1000), (1000, 100, 300), (1000, 5, 420)):
+        found = packing.pack(df, "size", "answer", *limits, block=500).fillna(0).collect()
+        assert sorted(r["id"] for r in found) == sorted(r[0] for r in rows)
+        made = assert_packed(found, "size", limits[0], limits[1], "answer", limits[2])
+        least = max(
+            sum(r[1] or 0 for r in rows) / limits[0], len(rows) / limits[1], sum(r[2] or 0 for r in rows) / limits[2]
+        )
+        assert len(made) <= 1.06 * least + 10, (limits, len(made), least)
+
+
+def test_fill_follows_the_dot_product():
+    """One sequence at a time, always the example whose demand fits the room best."""
+    r = np.random.default_rng(3)
+    demands = np.column_stack([r.integers(1, 60, 200), np.ones(200, int), r.integers(0, 40, 200)])
+    limits = np.array([100, 6, 70])
+    sequence, rank = packing.fill_sequences(demands, limits)
+    unit = demands / limits
+    scarce = unit.mean(axis=0)
+    left = list(range(200))
+    for s in range(sequence.max() + 1):
+        room = limits.copy()
+        for at in range((sequence == s).sum()):
+            (k,) = np.flatnonzero((sequence == s) & (rank == at))
+            fits = [x for x in left if (demands[x] <= room).all()]
+            value = (unit * scarce / limits) @ room
+            assert k in fits and value[k] >= max(value[x] for x in fits) - 1e-12
+            left.remove(k)
+            room = room - demands[k]
+        assert not [x for x in left if (demands[x] <= room).all()]
+    assert not left
+
+
+def test_little_is_padded(spark):
+    rows = packing.pack_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    made = assert_packed(rows, "length", packing.SEQUENCE_TOKENS, packing.SEGMENTS)
+    total = sum(r["length"] for r in rows)
+    assert packing.SEQUENCE_TOKENS * len(made) <= 1.01 * total + packing.SEQUENCE_TOKENS
