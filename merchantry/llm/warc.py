@@ -13,6 +13,7 @@ Files are reached with pyarrow's file systems (local, HDFS, S3, GCS, Azure).
 from __future__ import annotations
 
 import gzip
+import io
 import re
 import uuid
 import zlib
@@ -158,7 +159,7 @@ class WarcReader(DataSourceReader):
 
         for path in partition.paths:
             with system.open_input_file(path) as raw:
-                stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
+                stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else io.BufferedReader(raw)
                 while (headers := header_lines(stream)) is not None:
                     length = int(headers.get("content-length", 0))
                     keep = all(headers.get(h) in allowed for h, allowed in self.wanted)

@@ -1,6 +1,7 @@
 """Fingerprints, shards, rules and lines: built-in functions only."""
 
 import hashlib
+import time
 import zlib
 from collections import Counter
 
@@ -155,6 +156,13 @@ def test_the_filter_keeps_what_the_verdict_keeps(spark):
     assert rules.keep_documents(empty(spark)).count() == 0
 
 
+def test_a_condition_on_the_verdict_of_a_long_text(spark):
+    docs = spark.createDataFrame([(1, prose(11, 20_000)), (2, "short")], "doc_id bigint, text string")
+    start = time.time()
+    assert [r["doc_id"] for r in rules.judge_documents(docs).where("kept AND n_words > 10").collect()] == [1]
+    assert time.time() - start < 30
+
+
 def test_rules_are_ordered_by_rejections_per_cost(spark):
     rows = spark.createDataFrame([("a b " * 40,)] * 30 + [("# " * 80,)] * 30, "text string")
     never = rules.Rule("never", ("n_repeat_words",), lambda n: n < 0)
