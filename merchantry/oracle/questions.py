@@ -269,10 +269,19 @@ SALES_LINES = """
         SELECT concat_ws(',', sls_ord_num, sls_prd_key, sls_cust_id::VARCHAR,
                    sls_order_dt::VARCHAR, sls_ship_dt::VARCHAR, sls_due_dt::VARCHAR,
                    coalesce(sls_sales::VARCHAR, ''), 'many', coalesce(sls_price::VARCHAR, ''))
-                   AS bad_line
+                   AS bad_line, 'crm_sales_details.csv' AS delivered_file
         FROM bronze_crm_sales_details WHERE sls_quantity = 13"""
 
 
+def _load_times() -> str:
+    """Rows of each cleaned table under the one load time."""
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, TIMESTAMP '2025-01-01 06:30:00' AS dwh_create_date,"
+        f" count(*) AS n_rows FROM silver_{table} HAVING count(*) > 0"
+        for table in SILVER
+    )
+
+
 def oracle_queries() -> dict[str, str]:
     """SQL for every registered query, by its name."""
     result = {name: with_layers(f"SELECT * FROM {name}") for name in LAYERS}
@@ -285,6 +294,7 @@ def oracle_queries() -> dict[str, str]:
         for table in tables:
             result[f"loaded_{layer}_{table}"] = with_layers(f"SELECT * FROM {layer}_{table}")
     result["full_load"] = with_layers(_table_profile(audit_columns=1))
+    result["silver_load_times"] = with_layers(_load_times())
     result["table_profile"] = with_layers(_table_profile())
     result["column_profile"] = with_layers(_column_profile())
     result.update({name: with_layers(sql) for name, sql in QUESTIONS.items()})

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,9 @@ from .warehouse import TABLE_NAMES, Warehouse, open_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The load time of whatever the queries load.
+LOAD_TIME = datetime(2025, 1, 1, 6, 30)
+
 # Birthdates after this day count as future ones, whenever the queries run.
 AS_OF = date(2025, 1, 1)
 
@@ -122,7 +126,9 @@ def csv_rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
         f"{run}/{table}.csv",
     )
     load_raw_table(spark, f"{run}/{table}.csv", f"{run}/{table}", BRONZE[table])
-    return _copied(read_rejects(spark, run, table), run)
+    # Files are delivered in folders, whose names do not change from run to run.
+    delivered = F.regexp_extract("bad_file", r"/([^/]+\.csv)(/|$)", 1).alias("delivered_file")
+    return _copied(read_rejects(spark, run, table).select(delivered, "bad_line"), run)
 
 
 _loads: dict[tuple, str] = {}
@@ -138,7 +144,7 @@ def _loaded(spark: SparkSession, folder: str) -> str:
     for table, file in SOURCE_FILES.items():
         write_raw_csv(_warehouse(spark, folder).table(f"bronze.{table}"), f"{run}/delivered/{file}")
     load_bronze(spark, f"{run}/delivered", f"{run}/bronze")
-    load_silver(spark, f"{run}/bronze", f"{run}/silver", AS_OF)
+    load_silver(spark, f"{run}/bronze", f"{run}/silver", AS_OF, LOAD_TIME)
     load_gold(spark, f"{run}/silver", f"{run}/gold")
     _loads[key] = run
     return run
@@ -152,6 +158,19 @@ def _loaded_table(layer: str, table: str) -> Query:
     )
 
 
+def silver_load_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Load times in the audit column of the stored cleaned tables, and their rows."""
+    run = _loaded(spark, folder)
+    times = [
+        read_silver(spark, f"{run}/silver", table)
+        .groupBy(F.lit(table).alias("table_name"), F.col(AUDIT_COLUMN).cast("timestamp_ntz"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .toDF("table_name", AUDIT_COLUMN, "n_rows")
+        for table in SILVER
+    ]
+    return reduce(DataFrame.unionByName, times)
+
+
 def full_load(spark: SparkSession, folder: str) -> DataFrame:
     """The whole way, from delivered files to the star schema; profile of the stored tables."""
     run = _loaded(spark, folder)
@@ -192,6 +211,7 @@ def all_queries() -> dict[str, Query]:
     named.update({f"csv_{table}": _from_csv(table) for table in BRONZE})
     named["csv_rejected_lines"] = csv_rejected_lines
     named["full_load"] = full_load
+    named["silver_load_times"] = silver_load_times
     for layer, tables in (("silver", SILVER), ("gold", GOLD)):
         named.update({f"loaded_{layer}_{t}": _loaded_table(layer, t) for t in tables})
     named["surrogate_key"] = product_version_keys

@@ -98,7 +98,7 @@ def gold_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
 
 
 def load_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> None:
-    """Store the dimensions, then the fact on top of them, and release the three at once.
+    """Store the dimensions side by side, then the fact on top of them, and release the three at once.
 
     Keys are numbered anew by every load, so the fact is built against the
     dimensions of the same release, and readers never see one without the other.
@@ -108,11 +108,16 @@ def load_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> None:
         return read_silver(spark, silver_dir, table)
 
     with Release(spark, gold_dir) as release, scratch(spark):
-        release.write(
-            gold_customers(silver("crm_cust_info"), silver("erp_cust_az12"), silver("erp_loc_a101")),
-            "customers",
+        release.write_all(
+            {
+                "customers": lambda: gold_customers(
+                    silver("crm_cust_info"), silver("erp_cust_az12"), silver("erp_loc_a101")
+                ),
+                "products": lambda: gold_products(
+                    silver("crm_prd_info"), silver("erp_px_cat_g1v2")
+                ),
+            }
         )
-        release.write(gold_products(silver("crm_prd_info"), silver("erp_px_cat_g1v2")), "products")
         release.write(
             gold_sales(
                 silver("crm_sales_details"),

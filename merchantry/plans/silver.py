@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from ..operators import following_value, latest_per_key
 from ..schemas import AUDIT_COLUMN, SILVER
 from ..sources.bronze import read_bronze
 from ..session import scratch
-from ..sources.tables import read_table, replace_table
+from ..sources.tables import Release, publish, read_table
 
 
 MOST_INT = 2**31 - 1
@@ -132,7 +133,8 @@ def silver_categories(bronze: DataFrame) -> DataFrame:
 
 def with_audit(df: DataFrame, load_ts: datetime | None = None) -> DataFrame:
     """``df`` with its load time (default: now)."""
-    stamp = F.current_timestamp() if load_ts is None else F.lit(load_ts).cast("timestamp")
+    # A time without zone is one of the session's zone.
+    stamp = F.current_timestamp() if load_ts is None else F.lit(str(load_ts)).cast("timestamp")
     return df.withColumn(AUDIT_COLUMN, stamp)
 
 
@@ -143,38 +145,53 @@ def load_silver(
     as_of: date | datetime | None = None,
     load_ts: datetime | None = None,
 ) -> dict[str, int]:
-    """Full refresh of the six cleaned tables, in order.
+    """Full refresh of the six cleaned tables, written side by side and released at once.
 
-    An error is raised and ends the load: tables before it are refreshed, the
-    failed one and those after it keep their old rows. Returns the number of
-    values that looked like dates and were none, by sales column, and under
-    ``sls_sales`` that of repaired amounts beyond its range.
+    An error is raised and ends the load; the six tables are the old ones then.
+    Returns the number of values that looked like dates and were none, by sales
+    column, and under ``sls_sales`` that of repaired amounts beyond its range.
     """
 
     def bronze(table: str) -> DataFrame:
         return read_bronze(spark, bronze_dir, table)
 
-    def save(table: str, df: DataFrame) -> None:
-        columns = SILVER[table].fieldNames()
-        replace_table(with_audit(df, load_ts).select(*columns), f"{silver_dir}/{table}")
-
-    save("crm_cust_info", silver_customers(bronze("crm_cust_info")))
-    with scratch(spark):
-        save("crm_prd_info", silver_products(bronze("crm_prd_info")))
     rejected = Observation()
     dates = ["sls_order_dt", "sls_ship_dt", "sls_due_dt"]
-    raw_sales = bronze("crm_sales_details").observe(
-        rejected,
-        *[F.count_if(is_undecodable(F.col(c))).alias(c) for c in dates],
-        F.count_if(_line_amount() > MOST_INT).alias("sls_sales"),
-    )
-    save("crm_sales_details", silver_sales(raw_sales))
-    save("erp_cust_az12", silver_erp_customers(bronze("erp_cust_az12"), as_of))
-    save("erp_loc_a101", silver_locations(bronze("erp_loc_a101")))
-    save("erp_px_cat_g1v2", silver_categories(bronze("erp_px_cat_g1v2")))
+
+    def sales() -> DataFrame:
+        raw = bronze("crm_sales_details").observe(
+            rejected,
+            *[F.count_if(is_undecodable(F.col(c))).alias(c) for c in dates],
+            F.count_if(_line_amount() > MOST_INT).alias("sls_sales"),
+        )
+        return silver_sales(raw)
+
+    cleaned = {
+        "crm_cust_info": lambda: silver_customers(bronze("crm_cust_info")),
+        "crm_prd_info": lambda: silver_products(bronze("crm_prd_info")),
+        "crm_sales_details": sales,
+        "erp_cust_az12": lambda: silver_erp_customers(bronze("erp_cust_az12"), as_of),
+        "erp_loc_a101": lambda: silver_locations(bronze("erp_loc_a101")),
+        "erp_px_cat_g1v2": lambda: silver_categories(bronze("erp_px_cat_g1v2")),
+    }
+
+    def stamped(table: str) -> DataFrame:
+        return with_audit(cleaned[table](), load_ts).select(*SILVER[table].fieldNames())
+
+    with Release(spark, silver_dir) as release, scratch(spark):
+        release.write_all({table: partial(stamped, table) for table in cleaned})
+        release.publish()
     return {c: rejected.get[c] for c in (*dates, "sls_sales")}
 
 
+def publish_silver(spark: SparkSession, silver_dir: str) -> None:
+    """Make the cleaned tables known to SQL as ``silver.<table>``.
+
+    Rows that are inserted without a load time get the time of their insertion.
+    """
+    publish(spark, "silver", silver_dir, SILVER, {AUDIT_COLUMN: "current_timestamp()"})
+
+
 def read_silver(spark: SparkSession, silver_dir: str, table: str) -> DataFrame:
     """Scan of a cleaned table."""
     return read_table(spark, f"{silver_dir}/{table}", SILVER[table])

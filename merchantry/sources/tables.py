@@ -7,15 +7,29 @@ session, not a remote one.
 from __future__ import annotations
 
 import json
+import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
 # Names of what belongs to releases in the folder of a layer.
-RELEASE, VERSION = "_release-", "_v-"
+RELEASE, VERSION, WRITER = "_release-", "_v-", "_writer-"
+
+# Releases whose rows stay: the current one, and the one that readers may still have open.
+RETAINED = 2
+
+# A load that has not shown itself for so long is taken for dead.
+STALE_SECONDS = 24 * 3600
+
+
+class LayerBusy(RuntimeError):
+    """Another load is writing the layer."""
 
 
 def _file_system(spark: SparkSession, location: str):
@@ -91,16 +105,23 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(table_path(spark, path))
 
 
+def _complete_releases(spark: SparkSession, folder: str) -> list[tuple[str, dict[str, str]]]:
+    """Locations of the complete releases of a layer and their tables, latest first."""
+    read = ((location, _released(spark, location)) for _, location in _releases(spark, folder))
+    return [(location, tables) for location, tables in read if tables is not None]
+
+
 def clean_up(spark: SparkSession, folder: str) -> None:
-    """Remove what no reader of the latest release needs: older rows and failed loads."""
-    number, tables = current_release(spark, folder)
-    for other, location in _releases(spark, folder):
-        if other != number:
+    """Remove what no reader of the last RETAINED releases needs: older rows and failed loads."""
+    kept = _complete_releases(spark, folder)[:RETAINED]
+    for _, location in _releases(spark, folder):
+        if location not in [k for k, _ in kept]:
             delete(spark, location)
+    named = {place for _, tables in kept for place in tables.values()}
     system, path = _file_system(spark, f"{folder}/{VERSION}*/*")
     for status in system.globStatus(path) or []:
         version, name = str(status.getPath().toString()).rsplit("/", 2)[1:]
-        if tables.get(name) != f"{version}/{name}":
+        if f"{version}/{name}" not in named:
             delete(spark, f"{folder}/{version}/{name}")
     system, path = _file_system(spark, f"{folder}/{VERSION}*")
     for status in system.globStatus(path) or []:
@@ -114,21 +135,71 @@ class Release:
     Tables are written to a new folder. One small file then names the folder of
     every table of the layer; files of releases are numbered, the last complete
     one counts, and none is written over. So whatever ends a load, and at any
-    step, readers find the tables of the release before, and a table that
-    is being read stays where it is until the load after the next begins: that
-    is when what the latest release does not name is removed. No rows are
-    moved, so it costs the same on an object store. A layer has one writer.
+    step, readers find the tables of the release before. Rows of the last two
+    releases stay, so a table that is being read stays where it is while the
+    next load runs and after it, until the load after that begins. No rows are
+    moved, so it costs the same on an object store.
+
+    A layer has one writer: a small file says that one is at work, and who finds
+    that of another raises :class:`LayerBusy`, unless it has not been renewed
+    for STALE_SECONDS.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        self.version = f"{VERSION}{uuid.uuid4().hex}"
+        name = uuid.uuid4().hex
+        self.version, self.marker = f"{VERSION}{name}", f"{self.folder}/{WRITER}{name}"
         self.tables: dict[str, str] = {}
-        clean_up(spark, self.folder)
+        self._show()
+        try:
+            self._alone()
+            clean_up(spark, self.folder)
+        except BaseException:
+            delete(spark, self.marker)
+            raise
+
+    def _show(self) -> None:
+        """Say that this load is alive."""
+        system, path = _file_system(self.spark, self.marker)
+        system.create(path, True).close()
+
+    def _alone(self) -> None:
+        system, path = _file_system(self.spark, f"{self.folder}/{WRITER}*")
+        for status in system.globStatus(path) or []:
+            other = str(status.getPath().toString())
+            if other.rpartition("/")[2] == self.marker.rpartition("/")[2]:
+                continue
+            if time.time() - status.getModificationTime() / 1000 < STALE_SECONDS:
+                raise LayerBusy(f"{other} says that another load is writing {self.folder}")
+            delete(self.spark, other)
 
     def write(self, df: DataFrame, table: str) -> None:
         df.write.parquet(f"{self.folder}/{self.version}/{table}")
         self.tables[table] = f"{self.version}/{table}"
+        self._show()
+
+    def write_all(self, tables: Mapping[str, Callable[[], DataFrame]]) -> None:
+        """Write tables side by side. The first error stops the others and is raised."""
+        context = self.spark.sparkContext
+
+        def job(table: str, make: Callable[[], DataFrame]) -> None:
+            context.addJobTag(self.version)
+            try:
+                self.write(make(), table)
+            except BaseException as error:
+                failed.append(error)
+                context.cancelJobsWithTag(self.version)
+                raise
+            finally:
+                context.removeJobTag(self.version)
+
+        failed: list[BaseException] = []
+        target = inheritable_thread_target(self.spark)(job)
+        with ThreadPoolExecutor(max(1, len(tables))) as pool:
+            for table, make in tables.items():
+                pool.submit(copy_context().run, target, table, make)
+        if failed:
+            raise failed[0]
 
     def read(self, table: str, schema: StructType) -> DataFrame:
         """A table of this release, before anybody else sees it."""
@@ -151,6 +222,7 @@ class Release:
         _, tables = current_release(self.spark, self.folder)
         if error is not None and not set(self.tables.values()) & set(tables.values()):
             delete(self.spark, f"{self.folder}/{self.version}")
+        delete(self.spark, self.marker)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -166,17 +238,25 @@ def create_database(spark: SparkSession, layer: str, folder: str) -> None:
 
 
 def publish(
-    spark: SparkSession, layer: str, folder: str, tables: Mapping[str, StructType]
+    spark: SparkSession,
+    layer: str,
+    folder: str,
+    tables: Mapping[str, StructType],
+    defaults: Mapping[str, str] | None = None,
 ) -> None:
     """Make the stored tables of a layer known to SQL as ``layer.table``.
 
-    To be done again after a refresh, as Spark remembers the files of a table.
+    ``defaults`` gives expressions by column, which an INSERT without the column
+    fills in. To be done again after a refresh, as Spark remembers the files of
+    a table.
     """
     create_database(spark, layer, folder)
     for table, schema in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
-        spark.catalog.createTable(
-            f"{layer}.{table}",
-            path=table_path(spark, f"{folder.rstrip('/')}/{table}"),
-            source="parquet", schema=schema,
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}"
+            + (f" DEFAULT {defaults[f.name]}" if defaults and f.name in defaults else "")
+            for f in schema.fields
         )
+        path = table_path(spark, f"{folder.rstrip('/')}/{table}")
+        spark.sql(f"CREATE TABLE {layer}.{table} ({columns}) USING parquet LOCATION '{path}'")

@@ -4,11 +4,13 @@ Nothing is broadcast by size, small partitions count as skewed ones, and
 shuffle partitions stay apart, so the plans are those of large tables.
 """
 
-import __spark_entry__ as contract
 import duckdb
 import pytest
 from compare import TABLES, connect, difference
 
+from merchantry.oracle import oracle_queries
+from merchantry.plans.catalog import all_queries
+
 SAMPLE = "/root/testdata/sf0.001"
 
 SKEWED = {
@@ -38,7 +40,7 @@ LARGE_TABLE_PLANS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
 }
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = all_queries(), oracle_queries()
 
 
 @pytest.fixture(scope="module")

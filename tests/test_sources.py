@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import merchantry.plans.gold as gold_plans
 from merchantry.plans.gold import load_gold, read_gold
 from merchantry.plans.sales import revenue_by_country
-from merchantry.plans.silver import load_silver, read_silver
+from merchantry.plans.silver import load_silver, publish_silver, read_silver
 from merchantry.schemas import AUDIT_COLUMN, BRONZE, GOLD, SILVER
 from merchantry.session import scratch, store, workspace
 from merchantry.sources.bronze import (
@@ -21,7 +21,9 @@ from merchantry.sources.bronze import (
     read_rejects,
 )
 from merchantry.sources.sample_data import raw_tables, write_raw_csv
+from merchantry.sources import tables
 from merchantry.sources.tables import (
+    LayerBusy,
     Release,
     current_release,
     exists,
@@ -74,7 +76,9 @@ def test_malformed_lines_go_to_the_rejects(spark, folder):
     text = PRODUCTS + "".join(f"{line}\r\n" for line in bad)
     assert load_products(spark, folder, text) == LoadCount(2, 3)
     rejects = read_rejects(spark, str(folder), "crm_prd_info")
-    assert sorted(rows_of(rejects)) == sorted((line,) for line in bad)
+    assert sorted(rows_of(rejects.select("bad_line"))) == sorted((line,) for line in bad)
+    places = {(r["bad_file"].rpartition("/")[2], r["bad_block"]) for r in rejects.collect()}
+    assert len(places) == 1 and places.pop()[1] == 0 and rejects.first()["bad_file"].startswith("file:/")
     assert read_bronze(spark, str(folder), "crm_prd_info").count() == 2
 
 
@@ -121,7 +125,9 @@ def test_full_refresh_replaces(spark, folder):
     assert sorted(rows_of(read_table(spark, path))) == [(1,), (2,)]
     assert old.count() == 3
     replace_table(spark.range(1), path)
-    assert read_table(spark, path).count() == 1 and len(list(folder.glob("_v-*"))) == 2
+    assert read_table(spark, path).count() == 1 and len(list(folder.glob("_v-*"))) == 3
+    replace_table(spark.range(1), path)
+    assert len(list(folder.glob("_v-*"))) == 3 and not list(folder.glob("_writer-*"))
 
 
 def test_a_failed_refresh_leaves_the_old_table(spark, folder):
@@ -193,11 +199,11 @@ def test_the_whole_way_from_files_to_the_star_schema(spark, folder):
 
     load_gold(spark, f"{root}/silver", f"{root}/gold")
     publish_bronze(spark, f"{root}/bronze")
-    publish(spark, "silver", f"{root}/silver", SILVER)
+    publish_silver(spark, f"{root}/silver")
     publish(spark, "gold", f"{root}/gold", GOLD)
     for table in BRONZE:
         assert spark.table(f"bronze.{table}").count() == counts[table].loaded
-        assert spark.table(f"silver.{table}").schema == SILVER[table]
+        assert spark.table(f"silver.{table}").schema.simpleString() == SILVER[table].simpleString()
     assert spark.table("gold.sales").schema == GOLD["sales"]
     lines = read_silver(spark, f"{root}/silver", "crm_sales_details")
     assert spark.table("gold.sales").count() == lines.count()
@@ -226,8 +232,82 @@ def test_an_error_ends_the_silver_load_and_keeps_old_tables(spark, folder):
     replace_table(other, f"{root}/bronze/crm_sales_details")
     with pytest.raises(Exception, match="sls_quantity"):
         load_silver(spark, f"{root}/bronze", f"{root}/silver")
-    for table in ("crm_sales_details", "erp_cust_az12", "erp_loc_a101", "erp_px_cat_g1v2"):
+    for table in SILVER:
         assert counted(read_silver(spark, f"{root}/silver", table)) == before[table]
+    assert not list((folder / "silver").glob("_writer-*"))
+
+
+def test_a_failed_raw_table_leaves_all_six(spark, folder):
+    deliver(spark, folder)
+    root = str(folder)
+    load_bronze(spark, f"{root}/in", f"{root}/bronze")
+    before = {t: counted(read_bronze(spark, f"{root}/bronze", t)) for t in BRONZE}
+    (folder / "bad.csv").write_text("id,cat\nx\n")
+    (folder / "loc.csv").write_text("cid,cntry\nother,place\n")
+    files = {t: f"in/{f}" for t, f in SOURCE_FILES.items()} | {"erp_loc_a101": "loc.csv"}
+    with pytest.raises(TooManyErrors, match="bad.csv"):
+        load_bronze(spark, root, f"{root}/bronze", 0, files | {"erp_px_cat_g1v2": "bad.csv"})
+    with pytest.raises(Exception, match="nowhere.csv"):
+        load_bronze(spark, root, f"{root}/bronze", 0, files | {"crm_sales_details": "nowhere.csv"})
+    assert {t: counted(read_bronze(spark, f"{root}/bronze", t)) for t in BRONZE} == before
+    assert len(list((folder / "bronze").glob("_v-*"))) == 1
+
+
+def test_readers_keep_their_rows_across_loads(spark, folder):
+    deliver(spark, folder)
+    root = str(folder)
+    load_bronze(spark, f"{root}/in", f"{root}/bronze")
+    load_silver(spark, f"{root}/bronze", f"{root}/silver")
+    opened = {t: read_silver(spark, f"{root}/silver", t) for t in SILVER}
+    raw = {t: read_bronze(spark, f"{root}/bronze", t) for t in BRONZE}
+    rows = {t: df.count() for t, df in opened.items()}
+    load_bronze(spark, f"{root}/in", f"{root}/bronze")
+    load_silver(spark, f"{root}/bronze", f"{root}/silver")
+    assert {t: len(df.collect()) for t, df in opened.items()} == rows
+    assert all(len(df.collect()) for df in raw.values())
+    # A release of all six tables, and the one before it.
+    assert len(list((folder / "silver").glob("_release-*"))) == 2
+    assert len({p.rpartition("/")[0] for p in current_release(spark, f"{root}/silver")[1].values()}) == 1
+    for _ in range(2):
+        load_silver(spark, f"{root}/bronze", f"{root}/silver")
+        assert len(list((folder / "silver").glob("_v-*"))) == 3
+
+
+def test_a_layer_has_one_writer(spark, folder, monkeypatch):
+    path = str(folder)
+    replace_table(spark.range(3), f"{path}/a")
+    with Release(spark, path) as release:
+        release.write(spark.range(5), "a")
+        with pytest.raises(LayerBusy):
+            replace_table(spark.range(9), f"{path}/a")
+        release.publish()
+    assert read_table(spark, f"{path}/a").count() == 5
+    # One that died without a word is in the way until it is stale.
+    (folder / "_writer-dead").touch()
+    (folder / "_v-dead" / "a").mkdir(parents=True)
+    with pytest.raises(LayerBusy):
+        replace_table(spark.range(9), f"{path}/a")
+    assert (folder / "_v-dead").exists()
+    monkeypatch.setattr(tables, "STALE_SECONDS", 0)
+    replace_table(spark.range(9), f"{path}/a")
+    assert read_table(spark, f"{path}/a").count() == 9
+    assert not (folder / "_v-dead").exists() and not (folder / "_writer-dead").exists()
+
+
+def test_an_inserted_row_gets_its_load_time(spark, folder):
+    deliver(spark, folder)
+    root = str(folder)
+    load_bronze(spark, f"{root}/in", f"{root}/bronze")
+    load_silver(spark, f"{root}/bronze", f"{root}/silver", load_ts=datetime(2024, 1, 2, 3, 4, 5))
+    publish_silver(spark, f"{root}/silver")
+    spark.sql("INSERT INTO silver.erp_loc_a101 (cid, cntry) VALUES ('new', 'Here')")
+    spark.sql("INSERT INTO silver.erp_loc_a101 VALUES ('old', 'There', TIMESTAMP '2020-01-01')")
+    found = dict(spark.sql(
+        f"SELECT cid, cast({AUDIT_COLUMN} AS string) FROM silver.erp_loc_a101 WHERE cid IN ('new', 'old')"
+    ).collect())
+    assert found["old"].startswith("2020-01-01") and found["new"] > "2024-02"
+    others = spark.sql(f"SELECT DISTINCT {AUDIT_COLUMN} FROM silver.erp_cust_az12").collect()
+    assert [str(r[0]) for r in others] == ["2024-01-02 03:04:05"]
 
 
 def test_values_that_are_no_dates_are_counted(spark, folder):
