@@ -1,5 +1,6 @@
 """Table operators: DataFrames in, DataFrame out."""
 
+from .distinct import distinct_counts
 from .joins import left_lookup
 from .ordering import following_value, ordered_blocks, surrogate_key
 from .profile import column_profile, table_profile
@@ -8,6 +9,7 @@ from .rollup import roll_up
 
 __all__ = [
     "column_profile",
+    "distinct_counts",
     "following_value",
     "latest_per_key",
     "left_lookup",

@@ -82,12 +82,22 @@ REPORTS: dict[Callable[..., DataFrame], tuple[str, ...]] = {
 }
 
 
+# Questions for counts and extremes of whole tables.
+FROM_FOOTERS = (customers.birthdate_range, sales.order_period)
+
+
 def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return open_warehouse(spark, folder, AS_OF)
 
 
 def _report(function: Callable[..., DataFrame], tables: tuple[str, ...]) -> Query:
-    return lambda spark, folder: function(*map(_warehouse(spark, folder).table, tables))
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        warehouse = _warehouse(spark, folder)
+        if function in FROM_FOOTERS:
+            return function(*map(warehouse.footers, tables))
+        return function(*[warehouse.fact() if t == SALES else warehouse.table(t) for t in tables])
+
+    return query
 
 
 def _table(name: str) -> Query:
@@ -215,7 +225,7 @@ def all_queries() -> dict[str, Query]:
     for layer, tables in (("silver", SILVER), ("gold", GOLD)):
         named.update({f"loaded_{layer}_{t}": _loaded_table(layer, t) for t in tables})
     named["surrogate_key"] = product_version_keys
-    named["table_profile"] = _profile(table_profile, Warehouse.table)
+    named["table_profile"] = _profile(table_profile, Warehouse.footers)
     named["column_profile"] = _profile(column_profile, Warehouse.stored)
     named.update({f.__name__: _report(f, tables) for f, tables in REPORTS.items()})
     return named

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import UNKNOWN
 from ..operators import left_lookup, surrogate_key
 from ..schemas import GOLD
-from ..session import scratch
+from ..session import scratch, workspace
 from ..sources.tables import Release, read_table
 from .silver import read_silver
 
 
+# Column that a stored fact is laid out by.
+YEAR = "order_year"
+
+
 def enriched_customers(
     customers: DataFrame, erp_customers: DataFrame, locations: DataFrame
 ) -> DataFrame:
@@ -97,6 +103,29 @@ def gold_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
     )
 
 
+def store_fact(sales: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The fact, and the folder it is stored in, by order year, and in each year in buckets of order numbers.
+
+    Lines without a date are a partition of their own, so whoever asks for dated
+    lines does not read them. All lines of an order are in one bucket, so orders
+    are counted without a shuffle. There are as many buckets as the session has
+    shuffle partitions; a task writes one bucket, a file for each year.
+    """
+    spark = sales.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{label}_{uuid.uuid4().hex}"
+    path = f"{workspace(spark)}/{name}"
+    (
+        sales.withColumn(YEAR, F.year("order_date"))
+        .repartition(buckets, "order_number")
+        .write.partitionBy(YEAR)
+        .bucketBy(buckets, "order_number")
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return spark.table(name), path
+
+
 def load_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> None:
     """Store the dimensions side by side, then the fact on top of them, and release the three at once.
 

@@ -15,13 +15,13 @@ from ..fixed_values import (
     ON_AVERAGE,
 )
 from ..functions import growth_percentage, int_avg
-from .trends import yearly_product_revenue
+from .trends import dated_lines, yearly_product_revenue
 
 
 def running_total_revenue(sales: DataFrame) -> DataFrame:
     """Yearly revenue summed up over the years, and the mean of the yearly mean prices."""
     yearly = (
-        sales.where(F.col("order_date").isNotNull())
+        dated_lines(sales)
         .groupBy(F.trunc("order_date", "year").alias("order_date"))
         .agg(F.sum("sales_amount").alias("revenue"), int_avg(F.col("price")).alias("avg_price"))
     )
@@ -44,8 +44,7 @@ def product_yoy_performance(sales: DataFrame, products: DataFrame) -> DataFrame:
 
     The windows run over one row per product and calendar year.
     """
-    dated = sales.where(F.col("order_date").isNotNull())
-    yearly = yearly_product_revenue(dated, products).withColumnRenamed("revenue", "current_sales")
+    yearly = yearly_product_revenue(dated_lines(sales), products).withColumnRenamed("revenue", "current_sales")
     history = W.partitionBy("product_name")
     current = F.col("current_sales")
     compared = (

@@ -8,8 +8,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import concat_text, int_avg, int_div, truncated_ratio, years_between
-from ..operators import roll_up, top_n
+from ..functions import concat_text, int_div, truncated_ratio, years_between
+from ..operators import distinct_counts, roll_up, top_n
+from ..schemas import GOLD
 
 REVENUE = {"revenue": "sales_amount"}
 
@@ -26,27 +27,30 @@ def order_period(sales: DataFrame) -> DataFrame:
 
 def all_sales(sales: DataFrame) -> DataFrame:
     """The whole fact."""
-    return sales.select("*")
+    return sales.select(*GOLD["sales"].fieldNames())
 
 
 def key_sales_metrics(sales: DataFrame) -> DataFrame:
-    """Six measures of the whole fact; ``total_orders`` counts order lines.
-
-    Two distinct counts in one aggregate would triple every row, so each has
-    its own scan of its one column; the results are single rows.
-    """
-    totals = sales.agg(
-        F.sum("quantity").alias("total_sold"),
-        F.sum("sales_amount").alias("total_sales"),
-        int_avg(F.col("price")).alias("average_price"),
-        F.count("order_number").alias("total_orders"),
+    """Six measures of the whole fact from one scan; ``total_orders`` counts order lines."""
+    found = distinct_counts(
+        sales,
+        {"total_products_sold": "product_key", "total_customers": "customer_key"},
+        {
+            "total_sold": F.col("quantity"),
+            "total_sales": F.col("sales_amount"),
+            "price": F.col("price"),
+            "prices": F.col("price").isNotNull().cast("int"),
+            "total_orders": F.col("order_number").isNotNull().cast("int"),
+        },
     )
-    products = sales.agg(F.count_distinct("product_key").alias("total_products_sold"))
-    customers = sales.agg(F.count_distinct("customer_key").alias("total_customers"))
-    rows = totals.unionByName(products, allowMissingColumns=True).unionByName(
-        customers, allowMissingColumns=True
+    return found.select(
+        "total_sold",
+        "total_sales",
+        int_div(F.col("price"), F.nullif(F.col("prices"), F.lit(0))).alias("average_price"),
+        F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
+        "total_products_sold",
+        "total_customers",
     )
-    return rows.agg(*[F.max(column).alias(column) for column in rows.columns])
 
 
 def _revenue_by(

@@ -12,16 +12,24 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import growth_percentage, int_div
-from ..operators import roll_up, top_n_per_group
+from ..operators import distinct_counts, roll_up, top_n_per_group
+from .gold import YEAR
 from .sales import REVENUE
 
 
-def order_year() -> Column:
-    return F.year("order_date").alias("order_year")
+def order_year(sales: DataFrame) -> Column:
+    """Year of an order line; a fact that is laid out by year has it as a column."""
+    known = YEAR in sales.columns
+    return F.col(YEAR) if known else F.year("order_date").alias(YEAR)
+
+
+def dated_lines(sales: DataFrame) -> DataFrame:
+    """Order lines with a date; where the fact is laid out by year, others are not read."""
+    return sales.where(F.col(YEAR if YEAR in sales.columns else "order_date").isNotNull())
 
 
 def _per_year(sales: DataFrame, measure: Column) -> DataFrame:
-    return sales.groupBy(order_year()).agg(measure).orderBy("order_year")
+    return sales.groupBy(order_year(sales)).agg(measure).orderBy(YEAR)
 
 
 def yearly_revenue(sales: DataFrame) -> DataFrame:
@@ -30,7 +38,7 @@ def yearly_revenue(sales: DataFrame) -> DataFrame:
 
 def monthly_revenue(sales: DataFrame) -> DataFrame:
     return (
-        sales.groupBy(order_year(), F.month("order_date").alias("order_month"))
+        sales.groupBy(order_year(sales), F.month("order_date").alias("order_month"))
         .agg(F.sum("sales_amount").alias("revenue"))
         .orderBy("order_year", "order_month")
     )
@@ -45,7 +53,8 @@ def yearly_quantity(sales: DataFrame) -> DataFrame:
 
 
 def yearly_active_customers(sales: DataFrame) -> DataFrame:
-    return _per_year(sales, F.count_distinct("customer_key").alias("active_customers"))
+    by_year = sales.withColumn(YEAR, order_year(sales))
+    return distinct_counts(by_year, {"active_customers": "customer_key"}, by=[YEAR]).orderBy(YEAR)
 
 
 def yearly_average_order_value(sales: DataFrame) -> DataFrame:
@@ -57,8 +66,8 @@ def yearly_average_order_value(sales: DataFrame) -> DataFrame:
 def _yearly_revenue_by(
     sales: DataFrame, dimension: DataFrame, key: str, attribute: str
 ) -> DataFrame:
-    dated = sales.withColumn("order_year", order_year())
-    return roll_up(dated, dimension, key, [attribute], REVENUE, by=["order_year"])
+    by_year = sales.withColumn(YEAR, order_year(sales))
+    return roll_up(by_year, dimension, key, [attribute], REVENUE, by=["order_year"])
 
 
 def yearly_category_revenue(sales: DataFrame, products: DataFrame) -> DataFrame:
@@ -92,7 +101,7 @@ def top10_products_per_year(sales: DataFrame, products: DataFrame) -> DataFrame:
 
 def yearly_revenue_growth(sales: DataFrame) -> DataFrame:
     """Change against the previous year that has sales; the undated year counts as the first."""
-    yearly = sales.groupBy(order_year()).agg(F.sum("sales_amount").alias("revenue"))
+    yearly = sales.groupBy(order_year(sales)).agg(F.sum("sales_amount").alias("revenue"))
     previous = F.lag("revenue").over(W.orderBy("order_year"))
     revenue, before = F.col("revenue"), F.col("previous_revenue")
     return (

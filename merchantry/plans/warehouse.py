@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import BRONZE, GOLD
 from ..session import scratch, store, workspace
 from ..sources.sample_data import SAMPLE_TABLES, raw_tables
-from ..sources.tables import exists, state
+from ..sources.tables import exists, footer_scan, state
 from . import gold, silver
 
 
@@ -26,6 +26,8 @@ class Warehouse:
     def __init__(self, raw: Mapping[str, DataFrame], as_of: date | None = None):
         self._tables: dict[str, DataFrame] = {f"bronze.{t}": df for t, df in raw.items()}
         self._stored: dict[str, DataFrame] = {}
+        self._fact: DataFrame | None = None
+        self._fact_path = ""
         self._as_of = as_of
 
     def table(self, name: str) -> DataFrame:
@@ -33,6 +35,20 @@ class Warehouse:
             self._tables[name] = self._build(name)
         return self._tables[name]
 
+    def fact(self) -> DataFrame:
+        """The sales fact as it is laid out: with the order year, by which it is partitioned."""
+        self.table("gold.sales")
+        return self._fact
+
+    def footers(self, name: str) -> DataFrame:
+        """The table as a scan whose counts and extremes come from file footers, if it is stored."""
+        df = self.table(name)
+        if not name.startswith("gold."):
+            return df
+        files = [] if name == "gold.sales" else df.inputFiles()
+        path = files[0].rpartition("/")[0] if files else self._fact_path
+        return footer_scan(df.sparkSession, path, df.schema)
+
     def stored(self, name: str) -> DataFrame:
         """The table as a stored one, for whoever scans it many times."""
         if name.startswith("gold."):
@@ -73,7 +89,8 @@ class Warehouse:
                 sales = gold.gold_sales(
                     t("silver.crm_sales_details"), t("gold.products"), t("gold.customers")
                 )
-                return store(sales, "gold-sales")
+                self._fact, self._fact_path = gold.store_fact(sales, "gold_sales")
+                return self._fact.drop(gold.YEAR)
         raise KeyError(name)
 
 
