@@ -1,9 +1,10 @@
 """Links between the members of buckets, and the groups that links make.
 
 Buckets may hold any number of members. All pairs of a bucket are never formed:
-first each member is compared with the least member of the bucket, and only
-members that are still in different groups after that are compared with each
-other, so no link between groups is lost.
+first each member is compared with the least of all least members of its
+buckets, then with those of buckets in which it is still in another group, and
+only members that are still apart after that are compared with each other, so no
+link between groups is lost.
 """
 
 from __future__ import annotations
@@ -128,30 +129,54 @@ def bucket_links(
         .select("key", "leader"),
         "buckets",
     )
-    members = store(keys.join(buckets, "key").where("id <> leader"), "members")
-    pairs = store(
-        members.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "pairs"
+    # Most keys are of one id alone; these are not shuffled again.
+    likely, _ = parted(keys, "key", buckets, "key")
+    members = store(likely.join(buckets, "key").where("id <> leader").distinct(), "members")
+    # First each id is compared with the least leader of all its buckets, whatever their number.
+    least = members.groupBy(F.col("id").alias("a")).agg(F.min("leader").alias("b"))
+    links = store(verify(store(least, "pairs")), "links")
+    groups = components(links)
+
+    def labelled(groups: DataFrame) -> DataFrame:
+        return store(
+            members.join(groups, "id", "left").select(
+                "key", "id", "leader", F.coalesce("component", "id").alias("component")
+            ),
+            "labelled",
+        )
+
+    # Then with the leaders of those buckets in which it is still in another group.
+    found = labelled(groups)
+    heads = groups.select(F.col("id").alias("head"), F.col("component").alias("head_component"))
+    apart = (
+        found.join(heads, F.col("leader") == F.col("head"), "left")
+        .where(F.col("component") != F.coalesce("head_component", "leader"))
+        .select(F.col("id").alias("a"), F.col("leader").alias("b"))
+        .distinct()
+    )
+    tried = store(
+        least.select("a", "b", F.lit(True).alias("tried")), "tried"
     )
-    first = store(verify(pairs), "links")
-    groups = components(first)
+    again = store(
+        apart.join(tried, ["a", "b"], "left").where("tried IS NULL").select("a", "b"), "pairs"
+    )
+    if not again.isEmpty():
+        links = store(links.union(verify(again)), "links")
+        found = labelled(components(links))
     # Who shares a bucket with another group; of a bucket's own leader all is known.
-    labelled = store(
-        members.distinct().join(groups, "id", "left").select(
-            "key", "id", F.coalesce("component", "id").alias("component")
-        ),
-        "labelled",
+    several = (
+        found.select("key", "component")
+        .distinct()
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("groups"))
+        .where("groups > 1")
+        .select("key")
     )
-    def groups_of(rows: DataFrame) -> DataFrame:
-        """Keys whose rows are in several groups, and in how many."""
-        held = rows.select("key", "component").distinct()
-        return held.groupBy("key").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
-
-    several = groups_of(labelled).select("key")
-    mixed = store(labelled.join(several, "key"), "mixed-members")
+    mixed = store(found.drop("leader").join(several, "key"), "mixed-members")
     if mixed.isEmpty():
-        return first
+        return links
     rest = store((pairs_of or crossing_pairs)(mixed).distinct(), "pairs")
-    return first.union(verify(rest))
+    return links.union(verify(rest))
 
 
 def crossing_pairs(mixed: DataFrame, near: Callable[[str, str], Column] | None = None) -> DataFrame:

@@ -1,22 +1,20 @@
 """Fuzzy line deduplication.
 
-Lines are normalised; equal ones are one node from the start. Each line gets a
-SimHash of its words, cut into blocks. Two lines that differ in fewer bits than
-there are blocks share a block. A SimHash of few words changes in many bits with
-one of them, so the words are also dealt to groups by their hashes: a changed
-word touches two groups at most, and lines share the groups that no edit
-touched. Short lines share what is left of them without one word. Lines are
-joined on all of these, and whoever shares one is verified by edit similarity.
-Of every connected group one occurrence is kept, the first by document and line.
-
-All of it is built-in functions. Counters of SimHash bits are kept in lanes of
-a few 64-bit sums, so a line is hashed by a handful of additions per word.
+Lines are normalised; equal ones are one node from the start. The SimHash of a
+line is taken by stretches of five words: a block of 64 bits is the majority
+vote of hashes of its words. Blocks are counted from both ends, and a line has two more
+than the edits its length allows, so whatever words are replaced, two lines that
+are alike share a block, mostly two; two blocks more lie around the word of the
+least hash, for lines in which words were put in or left out. Lines too short for that share what is left
+of their words without one. Lines are joined on all of these, and whoever shares
+one is verified by edit similarity of words. Of every connected group one
+occurrence is kept, the first by document and line.
+
+All of it is built-in functions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,30 +22,15 @@ from ..session import store
 from .clusters import bucket_links, components, crossing_pairs, parted
 from .common import spare
 
-# Lines of fewer words are always kept: headings, signatures, verses.
-LEAST_WORDS = 5
-
-# Words shorter than this weigh nothing in a SimHash, unless a line has few others.
-LEAST_LETTERS = 4
-
-# Lines are alike if edits are at most this share of the longer one.
-EDITS = 0.1
+# Words to an edit: lines are alike if at most a tenth of the words of the longer one, rounded,
+# is replaced, put in or left out.
+WORDS_PER_EDIT = 10
 
-# Blocks of 32 bits, by the seed of the word hashes and the first of four bits in each byte
-# of them. Lines one bit apart surely share one of two.
-BLOCKS = ((1, 0), (1, 4))
+# Words of a block.
+STRETCH = 5
 
-# Groups that words are dealt to. A changed word leaves two of four as they are for certain,
-# two of them nine in ten times one. Lines of so many weighed words are dealt to twice the
-# groups as well, of which three changed words leave two.
-GROUPS = 4
-MANY_WORDS = 16
-
-# Lines of at most so many words are also found by all their words but one.
-FEW_WORDS = 16
-
-# Normalised lines longer than this are compared by edits of words, not of characters.
-LONG_LINE = 2000
+# Shorter lines have no blocks that are apart, longer ones no keys of all words but one.
+LEAST_BLOCKED, MOST_RESTED = 13, 14
 
 
 def normalised(line: Column) -> Column:
@@ -56,88 +39,75 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(words, r"\p{N}", "0"))
 
 
-def _majority(hashes: Column, lane: int, shifts: Sequence[int]) -> Column:
-    """Of 64-bit ``hashes`` the bits set in more than half, at the places ``shifts + n * lane``.
-
-    Bits a lane's width apart are counted in one sum: shifted and masked they
-    are the lowest bits of lanes. To the counts is added what lifts more than
-    half of the hashes to the second highest bit of a lane. A lane of 8 bits
-    serves up to 126 hashes, one of 32 two thousand millions.
-    """
-    low = F.lit(sum(1 << k for k in range(0, 64, lane)))
-    top = lane - 2
-    lift = (F.lit((1 << top) - 1) - F.floor(F.size(hashes) / 2).cast("long")) * low
-    zero = F.lit(0).cast("long")
-
-    def add(shift: int):
-        return lambda total, h: total + F.shiftrightunsigned(h, shift).bitwiseAND(low)
-
-    found = zero
-    for shift in shifts:
-        total = F.aggregate(hashes, zero, add(shift))
-        bits = F.shiftrightunsigned(total + lift, top).bitwiseAND(low)
-        found = found.bitwiseOR(F.shiftleft(bits, shift))
-    return found
-
-
-def heavy_words(line: Column) -> Column:
-    """Words of a normalised line that count in its SimHash."""
-    heavy = F.regexp_extract_all(line, F.lit(f"[^ ]{{{LEAST_LETTERS},}}"), F.lit(0))
-    return F.when(F.size(heavy) >= LEAST_WORDS, heavy).otherwise(F.split(line, " "))
+def edits(n_words: Column) -> Column:
+    """Word edits that a line of so many words allows: none below five, one below fifteen."""
+    return F.floor((n_words + WORDS_PER_EDIT // 2) / WORDS_PER_EDIT).cast("int")
 
 
-def word_hashes(words: Column, seed: int) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w, F.lit(seed)))
+def simhash(five: Column) -> Column:
+    """64 bits of the hashes of five words: the majority vote of their first two, the middle one
+    and the last two, each hashed with its place, so that a word that is repeated counts apart."""
+    a = F.xxhash64(F.get(five, 0), F.get(five, 1))
+    b = F.xxhash64(F.get(five, 3), F.get(five, 4), F.lit(3))
+    c = F.xxhash64(F.get(five, 2), F.lit(2))
+    return a.bitwiseAND(b).bitwiseOR(c.bitwiseAND(a.bitwiseXOR(b)))
 
 
-def simhash_block(hashes: Column, first: int) -> Column:
-    """32 bits of the SimHash over hashes of words: bits ``first`` to ``first + 3`` of each byte.
+def block_keys(hashes: Column, n: Column) -> Column:
+    """Keys of the SimHash blocks of a line: which one from which end, and its bits.
 
-    Give a column, as it is read once per bit of a byte.
+    Give columns, as they are read several times.
     """
-    bits = range(first, first + 4)
-    return F.when(F.size(hashes) <= 126, _majority(hashes, 8, bits)).otherwise(
-        _majority(hashes, 32, [b + byte for b in bits for byte in range(0, 32, 8)])
-    )
-
-
-def group_keys(hashes: Column) -> Column:
-    """Keys of groups of words by hashes of words: those of two words and more.
-
-    Groups are combined without regard to order. Give a column, as it is read
-    once per group.
-    """
-    zero = F.lit(0).cast("long")
-
-    def add(group: int):
-        def step(total: Column, h: Column) -> Column:
-            here = h.bitwiseAND(F.lit(2 * GROUPS - 1)) == group
-            return F.when(here, total.bitwiseXOR(h)).otherwise(total)
 
-        return step
-
-    small = F.array(*[F.aggregate(hashes, zero, add(k)) for k in range(2 * GROUPS)])
-
-    def keys(found: Column) -> Column:
-        large = [F.get(found, k).bitwiseXOR(F.get(found, k + GROUPS)) for k in range(GROUPS)]
-        every = F.when(
-            F.size(hashes) >= MANY_WORDS, F.concat(found, F.array(*large))
-        ).otherwise(F.array(*large))
-        # A group of one word is that word's hash, an empty one is 0.
-        return F.filter(every, lambda x: (x != 0) & ~F.array_contains(hashes, x))
-
-    return F.flatten(F.transform(F.array(small), keys))
+    def blocks(count: Column, start) -> Column:
+        numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(
+            F.array().cast("array<int>")
+        )
+        return F.transform(numbers, lambda k: F.slice(hashes, start(k), F.lit(STRETCH)))
+
+    def keys(found: Column, side: int) -> Column:
+        return F.transform(found, lambda five, k: F.xxhash64(simhash(five), F.lit(side), k))
+
+    count = edits(n) + 2
+    left = blocks(F.ceil(count / 2).cast("int"), lambda k: STRETCH * k + 1)
+    right = blocks(F.floor(count / 2).cast("int"), lambda k: n - STRETCH * (k + 1) + 1)
+    # Words put in or left out near both ends move all of these; two more stretches go by the
+    # word of the least hash, wherever it is, one from it on and one up to it.
+    at = F.array_position(hashes, F.array_min(hashes)).cast("int")
+    around = F.array(
+        F.slice(hashes, at, F.lit(STRETCH)),
+        F.slice(hashes, F.greatest(at - STRETCH + 1, F.lit(1)), F.least(at, F.lit(STRETCH))),
+    )
+    whole = F.transform(
+        around, lambda five: F.when(F.size(five) == STRETCH, simhash(five))
+    )
+    anchored = F.transform(
+        F.array_compact(whole), lambda bits: F.xxhash64(bits, F.lit(2))
+    )
+    return F.concat(keys(left, 0), keys(right, 1), anchored)
 
 
-def rest_keys(line: Column) -> Column:
+def rest_keys(hashes: Column) -> Column:
     """Keys of a short line: all its words, and all but one, for each of them."""
-    hashes = F.transform(F.split(line, " "), lambda w: F.xxhash64(w, F.lit("rest")))
+    rest = F.transform(hashes, lambda x: F.xxhash64(x, F.lit("rest")))
 
     def keys(h: Column) -> Column:
         every = F.aggregate(h, F.lit(0).cast("long"), lambda total, x: total.bitwiseXOR(x))
-        return F.transform(F.array(every), lambda e: F.concat(F.array(e), F.transform(h, lambda x: e.bitwiseXOR(x))))
+        return F.transform(
+            F.array(every),
+            lambda e: F.concat(F.array(e), F.transform(h, lambda x: e.bitwiseXOR(x))),
+        )
 
-    return F.flatten(F.flatten(F.transform(F.array(hashes), keys)))
+    return F.flatten(F.flatten(F.transform(F.array(rest), keys)))
+
+
+def line_keys(hashes: Column, n: Column) -> Column:
+    """Keys of which lines that are alike share one; a line of one to three words has none."""
+    none = F.array().cast("array<bigint>")
+    return F.concat(
+        F.when(n >= LEAST_BLOCKED, block_keys(hashes, n)).otherwise(none),
+        F.when((n >= STRETCH - 1) & (n <= MOST_RESTED), rest_keys(hashes)).otherwise(none),
+    )
 
 
 def _as_characters(line: Column) -> Column:
@@ -149,16 +119,14 @@ def _as_characters(line: Column) -> Column:
 
 
 def alike(a: Column, b: Column) -> Column:
-    """Whether normalised lines differ by edits of at most a tenth of the longer one."""
+    """Whether normalised lines differ by at most as many words as the longer one allows."""
 
     def near(x: Column, y: Column) -> Column:
-        longest = F.greatest(F.length(x), F.length(y))
-        most = F.floor(longest * F.lit(EDITS)).cast("int")
+        most = edits(F.greatest(F.length(x), F.length(y)))
         close = F.abs(F.length(x) - F.length(y)) <= most
         return F.when(close, F.call_function("levenshtein", x, y, most) >= 0).otherwise(False)
 
-    long = F.greatest(F.length(a), F.length(b)) > LONG_LINE
-    return F.when(long, near(_as_characters(a), _as_characters(b))).otherwise(near(a, b))
+    return near(_as_characters(a), _as_characters(b))
 
 
 PLACE = ("doc_id", "text_hash", "line_no")
@@ -173,117 +141,82 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def _same_document(left: DataFrame, right: DataFrame) -> Column:
-    return (left["text_hash"] == right["text_hash"]) & left["doc_id"].eqNullSafe(right["doc_id"])
-
-
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines to leave out: ``doc_id``, ``text_hash`` and ``line_no`` from 0.
 
     Of each group of lines that are alike all but the first stay out; first is
     the least id, NULL before all, then the least hash of the text and line
-    number. Lines of fewer than LEAST_WORDS words are in no group. Rows equal
-    in id and text count as one document.
+    number. A line without words is in no group. Rows equal in id and text
+    count as one document.
     """
     rows = _rows(docs, doc_id, text)
-    seeds = sorted({seed for seed, _ in BLOCKS})
-    names = [f"block{k}" for k in range(len(BLOCKS))]
-    # Short lines are left out when the table is read: a filter before would cut each line twice.
-    hashed = (
-        rows.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .where(F.length("line") >= 2 * LEAST_WORDS - 1)
-        .select(*PLACE, normalised(F.col("line")).alias("line"))
-        .withColumn("words", heavy_words(F.col("line")))
+    cut = rows.select(
+        "doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
+    ).where(F.length("line") > 0)
+    words = F.split("line", " ")
+    occurrences = store(
+        cut.select(*PLACE, normalised(F.col("line")).alias("line"))
+        .withColumn("hashes", F.transform(words, lambda w: F.xxhash64(w)))
+        .withColumn("n", F.size("hashes"))
         .select(
             *PLACE,
-            F.length("line").alias("n_chars"),
-            (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1).alias("n_words"),
+            F.monotonically_increasing_id().alias("at"),
             F.unhex(F.md5(F.col("line").cast("binary"))).alias("node"),
+            "n",
+            line_keys(F.col("hashes"), F.col("n")).alias("keys"),
             "line",
-            *[word_hashes(F.col("words"), seed).alias(f"hashes{seed}") for seed in seeds],
-        )
-    )
-    blocks = [
-        simhash_block(F.col(f"hashes{seed}"), first).alias(name)
-        for name, (seed, first) in zip(names, BLOCKS)
-    ]
-    short = F.when(F.col("n_words") <= FEW_WORDS, rest_keys(F.col("line"))).otherwise(
-        F.array().cast("array<bigint>")
-    )
-    parts = F.concat(group_keys(F.col(f"hashes{seeds[0]}")), short).alias("parts")
-    occurrences = store(
-        hashed.select(*PLACE, "n_chars", "n_words", "node", *blocks, parts), "lines"
-    ).where(
-        F.col("n_words") >= LEAST_WORDS
-    )
+        ),
+        "lines",
+    ).where("line <> ''")
     nodes = store(
         occurrences.groupBy("node")
         .agg(
-            F.min(F.struct(*PLACE)).alias("first"),
-            *[F.first(name).alias(name) for name in (*names, "parts", "n_chars", "n_words")],
-            F.count(F.lit(1)).alias("n"),
+            F.min(F.struct(*PLACE, "at")).alias("first"),
+            F.first("keys").alias("keys"),
+            F.first("n").alias("n"),
+            F.count(F.lit(1)).alias("rows"),
         )
-        .select("node", "first.*", *names, "parts", "n_chars", "n_words", "n", F.monotonically_increasing_id().alias("id")),
+        .select("node", "first.*", "keys", "n", "rows", F.monotonically_increasing_id().alias("id")),
         "line-nodes",
     )
-    hashes = F.array(*[F.xxhash64(name, F.lit(k)) for k, name in enumerate(names)])
-    keys = nodes.select(F.explode(F.concat(hashes, "parts")).alias("key"), "id")
-    places = nodes.select("id", *PLACE)
-    sizes = nodes.select("id", "n_chars", "n_words")
+    keys = nodes.select(F.explode("keys").alias("key"), "id")
+    sizes = nodes.select("id", "n", "at")
 
     def near(a: str, b: str) -> Column:
         """Whether lengths alone do not rule out that two lines are alike."""
-
-        def close(c: str) -> Column:
-            most = F.floor(F.greatest(f"{a}{c}", f"{b}{c}") * F.lit(EDITS))
-            return F.abs(F.col(f"{a}{c}") - F.col(f"{b}{c}")) <= most
-
-        long = F.greatest(f"{a}n_chars", f"{b}n_chars") > LONG_LINE
-        return F.when(long, close("n_words")).otherwise(close("n_chars"))
-
-    def near_sizes(pairs: DataFrame) -> DataFrame:
-        x, y = (sizes.select(*[F.col(c).alias(f"{p}{c}") for c in sizes.columns]) for p in ("a_", "b_"))
-        both = pairs.join(x, F.col("a") == F.col("a_id"))
-        return both.join(y, (F.col("b") == F.col("b_id")) & near("a_", "b_")).select("a", "b")
+        most = edits(F.greatest(f"{a}n", f"{b}n"))
+        return F.abs(F.col(f"{a}n") - F.col(f"{b}n")) <= most
 
     def pairs_of(mixed: DataFrame) -> DataFrame:
-        return crossing_pairs(store(mixed.join(sizes, "id"), "mixed-sizes"), near)
+        return crossing_pairs(store(mixed.join(sizes.drop("at"), "id"), "mixed-sizes"), near)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = store(near_sizes(pairs), "near-sizes")
-        # Which line is needed for which pair: the first under the second, and the second.
-        wanted = store(
-            pairs.union(pairs.select(F.col("b").alias("a"), "b").distinct())
-            .join(places, F.col("a") == F.col("id"))
-            .select("a", "b", *PLACE),
-            "wanted",
+        x, y = (
+            sizes.select(*[F.col(c).alias(f"{p}{c}") for c in sizes.columns]) for p in ("a_", "b_")
         )
-        asked, _ = parted(rows, "text_hash", wanted, "text_hash")
-        line = F.get(F.split("text", "\n"), F.col("line_no"))
-        found = store(
-            asked.join(wanted, _same_document(asked, wanted)).select(
-                "a", "b", normalised(line).alias("line")
-            ),
-            "wanted-lines",
-        )
-        members = found.where("a <> b").withColumnRenamed("line", "line_a")
-        leaders = found.where("a = b").select("b", F.col("line").alias("line_b"))
+        both = pairs.join(x, F.col("a") == F.col("a_id")).join(y, F.col("b") == F.col("b_id"))
+        likely = store(both.where(near("a_", "b_")).select("a", "b", "a_at", "b_at"), "likely")
+        wanted = likely.select(F.col("a_at").alias("of")).union(likely.select("b_at")).distinct()
+        asked, _ = parted(occurrences.select("at", "line"), "at", store(wanted, "wanted"), "of")
+        found = store(asked.join(wanted, F.col("at") == F.col("of"), "left_semi"), "wanted-lines")
+        left = found.select(F.col("at").alias("a_at"), F.col("line").alias("line_a"))
+        right = found.select(F.col("at").alias("b_at"), F.col("line").alias("line_b"))
         return (
-            members.join(leaders, "b")
+            likely.join(left, "a_at")
+            .join(right, "b_at")
             .where(alike(F.col("line_a"), F.col("line_b")))
             .select("a", "b")
-            .distinct()
         )
 
     groups = components(bucket_links(keys, verify, pairs_of))
-    joined = nodes.join(groups, "id", "left").where((F.col("n") > 1) | F.col("component").isNotNull())
+    joined = nodes.join(groups, "id", "left").where("rows > 1 OR component IS NOT NULL")
     labelled = joined.select(
         "node", F.coalesce("component", "id").alias("group"), F.struct(*PLACE).alias("first")
     )
     firsts = labelled.groupBy("group").agg(F.min("first").alias("kept"))
     # Stored, so that a line very many documents hold can be split in the join.
     several = store(labelled.join(firsts, "group").select("node", "kept"), "line-groups")
-    return occurrences.join(several, "node").where(
+    return occurrences.select(*PLACE, "node").join(several, "node").where(
         ~F.struct(*PLACE).eqNullSafe(F.col("kept"))
     ).select(*PLACE)
 
@@ -292,9 +225,10 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """``docs`` with repeated lines taken out of the text, ``n_lines`` and ``dropped_lines``.
 
     The other lines stay as they are, joined as before; a NULL text stays NULL
-    and has no lines, an empty one has one. No rows give no rows. The two names
-    must be free.
+    and has no lines, an empty one has one. No rows give no rows. Columns of
+    ``docs`` that have one of the two names give way to it.
     """
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_lines", "dropped_lines")])
     held, hashed, cut = spare(docs, "dropped", "text_hash", "lines")
     dropped = store(
         repeated_lines(docs, doc_id, text)
@@ -302,10 +236,6 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .agg(F.collect_set("line_no").alias(held)),
         "dropped-lines",
     )
-    lines = F.col(cut)
-    kept = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(held)), lambda k: F.get(lines, k)
-    )
     rows = docs.withColumn(hashed, F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
     touched, whole = parted(rows, hashed, dropped, "dropped_hash")
     joined = touched.join(
@@ -341,13 +271,11 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     A document of which no word is left is a copy and goes; one without words
     from the start stays. ``n_chars``, where there is one, follows the text.
     """
-    plain = [c for c in docs.columns if c.lower() not in ("n_lines", "dropped_lines")]
-    if len(plain) < len(docs.columns):
-        raise ValueError("the columns n_lines and dropped_lines must be free")
-    found = without_repeats(docs)
+    held = {c: n for c, n in zip(docs.columns, spare(docs, *docs.columns)) if c.lower() in ("n_lines", "dropped_lines")}
+    found = without_repeats(docs.withColumnsRenamed(held))
     left = found.where((F.col("dropped_lines") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         changed = F.when(F.col("dropped_lines") > 0, F.length("text").cast(kind))
         left = left.withColumn("n_chars", changed.otherwise(F.col("n_chars")))
-    return left.select(*[f"`{c}`" for c in docs.columns])
+    return left.select(*[F.col(f"`{held.get(c, c)}`").alias(c) for c in docs.columns])

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import store
 from .clusters import bucket_links, components, parted
+from .common import spare
 
 WORDS = 5
 PERCENT = 75
@@ -206,7 +207,9 @@ def _exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield batch.loc[keep, ["a", "b"]]
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_group: bool = False
+) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``.
 
     Documents whose sets of 5-word shingles have a similarity of 0.75 or more
@@ -214,7 +217,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     words, or NULL, has an empty set and is linked with nothing. A row without
     id takes part, but gives its group no id; alone, it has no component and is
     not kept. Rows of one id and equal sets are in one group, so all or none
-    are kept. Other columns are ignored; no rows give no rows.
+    are kept. Other columns are ignored; no rows give no rows. ``with_group``
+    adds ``text_hash`` and ``group``, a number of the group whatever ids it has.
 
     Classes of equal sets are told apart by 64 bits: among ten billion sets
     three pairs are expected to be confused.
@@ -316,13 +320,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "class", "least", F.coalesce("component", "class").alias("component")
     )
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    labels = store(named.join(least, "component").select("class", "component_id"), "labels")
+    labels = store(
+        named.join(least, "component").select("class", "component_id", "component"), "labels"
+    )
+    extra = ["text_hash", F.col("component").alias("group")] if with_group else []
     return (
-        signed.select("doc_id", "n_shingles", "class")
+        signed.select("doc_id", "n_shingles", "class", "text_hash")
         .join(labels, "class", "left")
         .select(
             "doc_id",
             "n_shingles",
+            *extra,
             F.when(F.col("class").isNull(), F.col("doc_id"))
             .otherwise(F.col("component_id"))
             .alias("component_id"),
@@ -334,9 +342,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the least ``doc_id`` stays.
 
-    Rows without id cannot be named and stay.
+    A row is known by its id and text: a row of the same id and another text has
+    a group of its own. Of rows equal in both one stays. In a group without ids
+    the row of the least text hash stays; a text without words is like no other
+    and stays.
     """
-    found = near_duplicates(docs).where(F.col("doc_id").isNotNull() & ~F.col("kept"))
-    dropped = store(found.select(F.col("doc_id").alias("dropped_id")).distinct(), "dropped")
-    kept = docs.join(dropped, docs["doc_id"] == F.col("dropped_id"), "left_anti")
-    return kept.select(*[f"`{c}`" for c in docs.columns])
+    found = near_duplicates(docs, with_group=True).where("n_shingles > 0")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    firsts = found.groupBy("group").agg(F.min(order).alias("first")).select(
+        "group", "first.doc_id", "first.text_hash"
+    )
+    kept_id, kept_hash, hashed = spare(docs, "kept_id", "kept_hash", "text_hash")
+    (number,) = spare(docs, "number")
+    stays = store(
+        firsts.select(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash)), "kept"
+    )
+    rows = docs.withColumn(hashed, F.xxhash64(F.coalesce("text", F.lit(""))))
+    wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    same = (F.col(hashed) == F.col(kept_hash)) & F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id))
+    # Rows equal in id and text are numbered; there are none of them where ids are unique.
+    twice = (
+        rows.where(~wordless)
+        .groupBy(F.col("doc_id").alias(kept_id), F.col(hashed).alias(kept_hash))
+        .agg(F.count(F.lit(1)).alias(number))
+        .where(F.col(number) > 1)
+    )
+    own = [f"`{c}`" for c in docs.columns]
+    left = rows.where(~wordless).join(stays, same, "left_semi")
+    several = store(twice, "repeated-rows")
+    if not several.isEmpty():
+        again = (F.col(hashed) == F.col(kept_hash)) & F.col("doc_id").eqNullSafe(F.col(kept_id))
+        copies = left.join(several, again, "left_semi").dropDuplicates(["doc_id", hashed])
+        left = left.join(several, again, "left_anti").unionByName(copies)
+    return left.select(*own).union(rows.where(wordless).select(*own))
