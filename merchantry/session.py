@@ -69,18 +69,21 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
-def store(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+def store(
+    df: DataFrame, label: str, keep: bool = False, codec: str | None = None
+) -> DataFrame:
     """Write ``df`` to the shared folder once and return the table read back.
 
     This cuts the lineage in a way that outlives executors, keeps Parquet
     column pruning, and gives Spark the true size for its join choice. Inside
-    :func:`scratch` the table goes with it, unless it is to be kept.
+    :func:`scratch` the table goes with it, unless it is to be kept. ``codec``
+    is that of its files, where the session's is not to be used.
     """
     spark = df.sparkSession
     path = f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
     if not keep and _scratch.get() is not None:
         _scratch.get().append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
