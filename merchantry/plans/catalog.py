@@ -82,10 +82,6 @@ REPORTS: dict[Callable[..., DataFrame], tuple[str, ...]] = {
 }
 
 
-# Questions for counts and extremes of whole tables.
-FROM_FOOTERS = (customers.birthdate_range, sales.order_period)
-
-
 def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return open_warehouse(spark, folder, AS_OF)
 
@@ -93,8 +89,8 @@ def _warehouse(spark: SparkSession, folder: str) -> Warehouse:
 def _report(function: Callable[..., DataFrame], tables: tuple[str, ...]) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         warehouse = _warehouse(spark, folder)
-        if function in FROM_FOOTERS:
-            return function(*map(warehouse.footers, tables))
+        if function is sales.order_period:
+            return function(warehouse.dated_footers())
         return function(*[warehouse.fact() if t == SALES else warehouse.table(t) for t in tables])
 
     return query

@@ -41,13 +41,22 @@ class Warehouse:
         return self._fact
 
     def footers(self, name: str) -> DataFrame:
-        """The table as a scan whose counts and extremes come from file footers, if it is stored."""
+        """The table as a scan whose row count comes from file footers, if it is stored."""
         df = self.table(name)
         if not name.startswith("gold."):
             return df
-        files = [] if name == "gold.sales" else df.inputFiles()
-        path = files[0].rpartition("/")[0] if files else self._fact_path
-        return footer_scan(df.sparkSession, path, df.schema)
+        if name == "gold.sales":
+            return footer_scan(df.sparkSession, self._fact_path, self._fact.schema).drop(gold.YEAR)
+        return footer_scan(df.sparkSession, df.inputFiles()[0].rpartition("/")[0], df.schema)
+
+    def dated_footers(self) -> DataFrame:
+        """Dated lines of the fact as a scan whose first and last dates come from file footers.
+
+        Every file of a year has a date, those of undated lines are left out.
+        """
+        self.table("gold.sales")
+        scan = footer_scan(self._fact.sparkSession, self._fact_path, self._fact.schema)
+        return scan.where(scan[gold.YEAR].isNotNull())
 
     def stored(self, name: str) -> DataFrame:
         """The table as a stored one, for whoever scans it many times."""

@@ -109,8 +109,10 @@ def footer_scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     """Scan of a folder that answers COUNT, MIN and MAX from file footers.
 
     Read by the newer Parquet reader, which takes over aggregates of a whole
-    table without conditions, apart from extremes of texts; then no data page is
-    read. Anything else is answered as usual.
+    table, with conditions on partition columns alone, apart from extremes of
+    texts; then no data page is read. Anything else is answered as usual. A file
+    in which a column is NULL throughout has no extremes of it, and Spark fails
+    there: ask for those of columns with a value in each file.
     """
     older = "spark.sql.sources.useV1SourceList"
     spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
