@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -281,6 +282,82 @@ def test_blocks_of_a_stretch_are_kept():
     assert html.main_text(page).split("\n\n")[1:] == ["mostly a link x", long.strip(), "End."]
 
 
+LONG = "A long paragraph that says what the page is about, in more than a few words. " * 3
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ["class='user-comments'", "class='reader-comments'", "class='post-comments'", "class='ad-slot'",
+     "class='cookie-consent-dialog'", "id=cookieBanner", "id=adBox", "id=comments", "class='SideBar'",
+     "aria-label='Reader comments'", "class='related-stories'", "class='google-ad-300x250'"],
+)
+def test_parts_are_known_by_the_head_of_their_names(attributes):
+    part = f"<section {attributes}><p>{'What others say or sell, at some length. ' * 3}</p></section>"
+    assert html.main_text(PAGE % f"<div><p>{LONG}</p>{part}<p>{LONG}</p></div>") == f"{LONG.strip()}\n\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ["class='has-sidebar'", "class='tag-election'", "class='post legal'", "class='with-comments'", "class='comments-open'",
+     "class='entry-header'", "class='navy adventure'"],
+)
+def test_parts_are_not_known_by_other_words_of_their_names(attributes):
+    other = "Some other thing, which is longer than the part that is named. " * 9
+    page = PAGE % f"<div><p>{other}</p><section {attributes}><p>{LONG}</p></section></div>"
+    assert html.main_text(page) == f"{other.strip()}\n\n{LONG.strip()}"
+
+
+def test_comments_go_even_if_they_hold_most_of_the_page():
+    said = "".join(f"<article class=comment><p>{LONG}</p></article>" for _ in range(5))
+    for part in (f"<section class=user-comments>{said}</section>", said):
+        assert html.main_text(PAGE % f"<div><p>{LONG}</p></div>{part}") == LONG.strip()
+    assert html.main_text(f"<div id=comments><main><p>{LONG}</p></main></div>") == LONG.strip()
+
+
+def test_short_blocks_around_a_stretch_are_taken_back():
+    short = "<h1>Head</h1><p>One.</p><p>Two.</p><p>Three.</p><p>Four.</p><p>Five.</p>"
+    back = ["Head", "One.", "Two.", "Three.", "Four.", "Five.", LONG.strip()]
+    for body in (f"<div>{short}<p>{LONG}</p></div>", f"<div id=a>Site of ours</div>{short}<p>{LONG}</p>"):
+        assert html.main_text(PAGE % body).split("\n\n") == back
+    body = f"<div><p>{LONG}</p>{short}<p>{LONG}</p></div>"
+    assert html.main_text(PAGE % body).split("\n\n") == [LONG.strip(), *back]
+
+
+def test_controls_do_not_split_a_block():
+    page = "<ul><li>Take one <button>Buy</button> of <label>size <input></label>these<svg><text>x</text></svg>.<li>Two</ul>"
+    assert html.main_text(page) == "Take one of these.\n\nTwo"
+    assert html.main_text("<p>One <span hidden>no</span>two <span class=ad>no</span>three") == "One two three"
+
+
+def test_a_teaser_inside_the_article_goes():
+    inner = f"<article class='related'><p>{LONG}</p></article>"
+    assert html.main_text(PAGE % f"<article><p>{LONG}</p>{inner}<p>End.</p></article>") == f"{LONG.strip()}\n\nEnd."
+
+
+def test_hostile_nesting_takes_time_in_proportion():
+    n = 40_000
+    start = time.monotonic()
+    assert html.main_text("<div>" * n + "</x>" * n) == ""
+    assert len(html.lines_of("<div class=ad>a" * n)) == n
+    assert len(html.lines_of("<li>" + "<div>" * n + "a" + "<p>" * n)) == 1
+    assert time.monotonic() - start < 10
+
+
+def test_stretches_against_their_definition():
+    r = random.Random(4)
+    for _ in range(300):
+        weights = [r.choice([0, 0, 5, 20, 40, 90]) for _ in range(r.randrange(25))]
+        sums = [sum(weights[k : k + 3]) for k in range(len(weights))]
+        found, inside = [], None
+        for k, s in enumerate(sums):
+            if inside is not None and s < 25:
+                found, inside = [*found, (inside, k)], None
+            if inside is None and s >= 80 and weights[k]:
+                inside = k
+        found += [(inside, len(weights))] if inside is not None else []
+        assert html._stretches(weights, 3, 80, 25) == found
+
+
 @pytest.mark.parametrize(
     "source, text",
     [(None, ""), ("", ""), ("plain", "plain"), ("a < b", "a < b"), ("<p>cut <b", "cut"), ("<script>x", ""),
