@@ -6,10 +6,11 @@ gain at most, and exactly so, which makes them a heuristic for A*: complete
 segmentations come off the queue in order of their scores, and nothing is
 expanded that is not needed for the N best.
 
-No piece has a space inside, so the lattice of a text hangs together at single
-places, one before each word. Words are searched one by one, each distinct one
-once per worker, and the N best of the whole text are merged from those of its
-words, again best first.
+No piece has a space after another character, which is checked, so the lattice of
+a text hangs together at single places, one before each word. The forward scores
+of all new words of a batch are found at once, over one array of their characters,
+and kept by word. The best path is read off these scores, as A* would; the N best
+of the whole text are merged from those of its words, again best first.
 """
 
 from __future__ import annotations
@@ -17,14 +18,15 @@ from __future__ import annotations
 import heapq
 import math
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -35,6 +37,13 @@ CACHED_WORDS = 700_000
 # Below any piece of the model, so that bytes are used only where no piece fits.
 BYTE_PENALTY = 10.0
 
+# Room for any character beside the number of a state.
+CODE_BITS = 21
+
+# Words searched at once, and the longest of them; longer ones are searched by themselves.
+AT_ONCE = 20_000
+LONG_WORD = 64
+
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]*", re.S)
 
 
@@ -58,7 +67,16 @@ class Vocabulary:
         # Every beginning of a piece; -1 if it is no piece itself.
         self.begun = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         self.worst = min((self.scores[i] for i in self.ids.values()), default=0.0) - BYTE_PENALTY
-
+        inside = [p for p in self.ids if re.search(f"[^{SPACE}]{SPACE}", p)]
+        if inside:
+            raise ValueError(f"pieces that go beyond a word: {inside[:3]}")
+        # The same beginnings as numbered states, 0 before the first character.
+        states = {p: k for k, p in enumerate(self.begun, 1)} | {"": 0}
+        steps = sorted((states[p[:-1]] << CODE_BITS | ord(p[-1]), k) for p, k in states.items() if p)
+        self.steps = np.array([s for s, _ in steps], np.int64)
+        self.reached = np.array([k for _, k in steps], np.int64)
+        self.piece_of = np.array([-1, *self.begun.values()], np.int64)
+        self.score_of = np.array(self.scores)
 
     def uncovered(self, character: str) -> tuple[tuple[int, ...], float]:
         """Ids and score of a character that is no piece."""
@@ -199,6 +217,109 @@ def best_and_loss(text: str, vocab: Vocabulary) -> tuple[float, tuple[int, ...],
     return forward[n], tuple(i for part in reversed(parts) for i in part), max(0.0, forward[n] - other)
 
 
+def _first_best(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs of equal ``ends``: where the first greatest value of each is, and where each begins."""
+    begins = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]])
+    greatest = np.maximum.reduceat(values, begins)
+    sizes = np.diff(np.r_[begins, len(ends)])
+    at = np.flatnonzero(values == np.repeat(greatest, sizes))
+    return at[np.searchsorted(at, begins)], begins
+
+
+def best_of_words(
+    words: Sequence[str], vocab: Vocabulary
+) -> list[tuple[float, tuple[int, ...], float]]:
+    """:func:`best_and_loss` of many words at once.
+
+    The places of all words are numbered through, so a step of the search is one
+    operation on the arrays of all words.
+    """
+    sizes = np.array([len(w) for w in words], np.int64)
+    if not sizes.all() or not len(vocab.steps):
+        return [best_and_loss(w, vocab) for w in words]
+    if not len(words):
+        return []
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    word = np.repeat(np.arange(len(words)), sizes)
+    firsts = np.cumsum(sizes) - sizes
+    local = np.arange(len(codes)) - firsts[word]
+    room = sizes[word] - local
+    # Edges: from each place, all pieces that begin there.
+    at, state, length, found = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0, []
+    while len(at):
+        wanted = state << CODE_BITS | codes[at + length]
+        place = np.minimum(np.searchsorted(vocab.steps, wanted), len(vocab.steps) - 1)
+        known = vocab.steps[place] == wanted
+        at, state, length = at[known], vocab.reached[place[known]], length + 1
+        ids = vocab.piece_of[state]
+        whole = ids >= 0
+        found.append((at[whole], np.full(whole.sum(), length), ids[whole]))
+        more = room[at] > length
+        at, state = at[more], state[more]
+    start, span, ids = (np.concatenate(x) for x in zip(*found))
+    # A character that is no piece is an edge with a number below zero.
+    covered = np.zeros(len(codes), bool)
+    covered[found[0][0]] = True
+    bare = np.flatnonzero(~covered)
+    code = codes[bare]
+    units = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF) if vocab.bytes else np.ones(len(bare))
+    scores = np.r_[vocab.score_of[ids], vocab.worst * units]
+    start, span = np.r_[start, bare], np.r_[span, np.ones(len(bare), np.int64)]
+    ids, of = np.r_[ids, -1 - code], word[start]
+    # Nodes: the places of a word and its end.
+    tail, node = local[start], start + of
+    head = node + span
+    n_nodes = len(codes) + len(words)
+    forward = np.full(n_nodes, -math.inf)
+    forward[(firsts + np.arange(len(words)))] = 0.0
+    back = np.zeros(n_nodes, np.int64)
+    order = np.lexsort((node, head, tail + span))
+    for edge in np.split(order, np.flatnonzero(np.diff((tail + span)[order])) + 1):
+        if len(edge):
+            gained = forward[node[edge]] + scores[edge]
+            best, begins = _first_best(gained, head[edge])
+            forward[head[edge[begins]]], back[head[edge[begins]]] = gained[best], edge[best]
+    rest = np.full(n_nodes, -math.inf)
+    last = firsts + np.arange(len(words)) + sizes
+    rest[last] = 0.0
+    order = np.lexsort((head, node, -tail))
+    for edge in np.split(order, np.flatnonzero(np.diff(tail[order])) + 1):
+        if len(edge):
+            left = scores[edge] + rest[head[edge]]
+            begins = np.flatnonzero(np.r_[True, np.diff(node[edge]) != 0])
+            rest[node[edge[begins]]] = np.maximum.reduceat(left, begins)
+    taken = np.zeros(len(start), bool)
+    here = last
+    while len(here):
+        edge = back[here]
+        taken[edge] = True
+        here = node[edge][tail[edge] > 0]
+    other = np.full(len(words), -math.inf)
+    np.maximum.at(other, of[~taken], (forward[node] + scores + rest[head])[~taken])
+    path = np.flatnonzero(taken)
+    path = path[np.argsort(node[path])]
+    pieces, bounds = ids[path].tolist(), np.searchsorted(of[path], np.arange(len(words) + 1)).tolist()
+    score = forward[last]
+    with np.errstate(invalid="ignore"):
+        loss = np.maximum(0.0, score - other).tolist()
+    out = []
+    for k, (s, x) in enumerate(zip(score.tolist(), loss)):
+        own = tuple(pieces[bounds[k] : bounds[k + 1]])
+        if own and min(own) < 0:
+            own = tuple(chain.from_iterable((i,) if i >= 0 else vocab.uncovered(chr(-1 - i))[0] for i in own))
+        out.append((s, own, x))
+    return out
+
+
+class Change(NamedTuple):
+    """In the best segmentation, ``removed`` ids from ``start`` on give way to ``ids`` of the same word."""
+
+    start: int
+    removed: int
+    ids: tuple[int, ...]
+    unit: str
+
+
 class Encoder:
     """N best segmentations of texts; keeps what it knows of words, up to a bound."""
 
@@ -213,15 +334,27 @@ class Encoder:
         found = UNIT.findall(SPACE + text.replace(" ", SPACE)) if text else []
         return found if found and found[-1] else found[:-1]
 
+    def learn(self, units: Iterable[str]) -> None:
+        """Search the words that are not known yet, many at once."""
+        best, older = self.best, self.older
+        new = [u for u in dict.fromkeys(units) if u not in best and u not in older and len(u) <= LONG_WORD]
+        for k in range(0, len(new), AT_ONCE):
+            part = new[k : k + AT_ONCE]
+            for unit, found in zip(part, best_of_words(part, self.vocab)):
+                self.keep(unit, found)
+
+    def keep(self, unit: str, found: tuple[float, tuple[int, ...], float]) -> None:
+        if len(self.best) >= CACHED_WORDS // 2:
+            self.best, self.older = {}, self.best
+        self.best[unit] = found
+
     def word(self, unit: str) -> tuple[float, tuple[int, ...], float]:
         found = self.best.get(unit)
         if found is None:
             # What is met again survives when the older half is forgotten.
             found = self.older.get(unit) or best_and_loss(unit, self.vocab)
-            if len(unit) <= 64:
-                if len(self.best) >= CACHED_WORDS // 2:
-                    self.best, self.older = {}, self.best
-                self.best[unit] = found
+            if len(unit) <= LONG_WORD:
+                self.keep(unit, found)
         return found
 
     def word_paths(self, unit: str) -> list[tuple[float, tuple[int, ...]]]:
@@ -232,22 +365,21 @@ class Encoder:
             score, ids, _ = self.word(unit)
             others = [x for x in found if x[1] != ids]
             found = [(score, ids), *others][: self.count]
-            if len(unit) <= 64:
+            if len(unit) <= LONG_WORD:
                 if len(self.several) >= CACHED_WORDS // 10:
                     self.several.clear()
                 self.several[unit] = found
         return found
 
-    def text(self, text: str) -> list[tuple[float, list[int], dict[int, int]]]:
-        """Score, ids of the best segmentation (first entry only), and other choices by word.
+    def text(self, units: Sequence[str]) -> list[tuple[float, list[int], list[Change]]]:
+        """Score, ids of the best segmentation (first entry only), and changes of it.
 
         Only the words that lose least by their next choice can differ among
         the N best, so only these are searched for more and merged.
         """
-        units = self.units(text)
         get, word = self.best.get, self.word
         words = [get(u) or word(u) for u in units]
-        ids = list(chain.from_iterable([w[1] for w in words]))
+        ids: list[int] = list(chain.from_iterable([w[1] for w in words]))
         score = math.fsum([w[0] for w in words])
         losses = [w[2] for w in words]
         places: list[int] = []
@@ -258,7 +390,8 @@ class Encoder:
             places.append(losses.index(least))
             losses[places[-1]] = math.inf
         paths = [self.word_paths(units[k]) for k in places]
-        out = [(score, ids, {})]
+        before = [sum([len(w[1]) for w in words[:k]]) for k in places]
+        out: list[tuple[float, list[int], list[Change]]] = [(score, ids, [])]
         queue: list[tuple[float, int, tuple[int, ...]]] = []
         start = (0,) * len(places)
         seen, made = {start}, 0
@@ -276,24 +409,26 @@ class Encoder:
         push(start)
         while queue and len(out) < self.count:
             loss, _, choice = heapq.heappop(queue)
-            out.append((score - loss, [], {p: x for p, x in zip(places, choice) if x}))
+            changes = [
+                Change(before[k], len(paths[k][0][1]), paths[k][x][1], units[places[k]])
+                for k, x in enumerate(choice)
+                if x
+            ]
+            out.append((score - loss, [], sorted(changes)))
             push(choice)
         return out
 
-    def ids_of(self, text: str, choice: dict[int, int]) -> list[int]:
-        """Ids of a segmentation given by the choices in which it differs from the best."""
-        return [
-            i
-            for k, unit in enumerate(self.units(text))
-            for i in (self.word_paths(unit)[choice[k]][1] if k in choice else self.word(unit)[1])
-        ]
-
 
 def decode(ids: Sequence[int], vocab: Vocabulary) -> str:
     """The text of a segmentation; a lossless one for any text with byte pieces."""
+    text = _joined(ids, vocab)
+    return text[1:] if text.startswith(" ") else text
+
+
+def _joined(ids: Sequence[int], vocab: Vocabulary) -> str:
+    """What the pieces say, spaces included."""
     if vocab.parts_of_characters.isdisjoint(ids):
-        text = "".join(map(vocab.texts.__getitem__, ids)).replace(SPACE, " ")
-        return text[1:] if text.startswith(" ") else text
+        return "".join(map(vocab.texts.__getitem__, ids)).replace(SPACE, " ")
     parts, held = [], bytearray()
     for i in ids:
         byte = vocab.byte_of.get(i)
@@ -306,62 +441,98 @@ def decode(ids: Sequence[int], vocab: Vocabulary) -> str:
         parts.append(vocab.pieces[i])
     if held:
         parts.append(held.decode("utf-8", "replace"))
-    text = "".join(parts).replace(SPACE, " ")
-    return text[1:] if text.startswith(" ") else text
+    return "".join(parts).replace(SPACE, " ")
 
 
 SCHEMA = (
     "ids array<int>, n_pieces array<bigint>, scores array<double>,"
-    " choices array<map<int,int>>, round_trip boolean"
+    " changes array<array<struct<start:int,removed:int,ids:array<int>>>>, round_trip boolean"
 )
-NAMES = ("ids", "n_pieces", "scores", "choices", "round_trip")
+NAMES = ("ids", "n_pieces", "scores", "changes", "round_trip")
+CHANGE = pa.struct([("start", pa.int32()), ("removed", pa.int32()), ("ids", pa.list_(pa.int32()))])
 KINDS = (
     pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.float64()),
-    pa.list_(pa.map_(pa.int32(), pa.int32())), pa.bool_(),
+    pa.list_(pa.list_(CHANGE)), pa.bool_(),
 )
 BATCH_ROWS = 256
 
 
-def _row(encoder: Encoder, vocab: Vocabulary, text: str) -> tuple:
-    """The columns of SCHEMA for a text."""
-    found = encoder.text(text)
+def _row(encoder: Encoder, vocab: Vocabulary, text: str, units: Sequence[str]) -> tuple:
+    """The columns of SCHEMA for a text.
+
+    The best segmentation is decoded as a whole. Another one differs from it by
+    whole words, so decoding it gives the text if the changed words come back.
+    """
+    found = encoder.text(units)
     best = found[0][1]
-    units = encoder.units(text) if any(c for _, _, c in found) else []
-    lengths = []
-    for _, _, choice in found:
-        paths = [(encoder.word_paths(units[k]), x) for k, x in choice.items()]
-        lengths.append(len(best) + sum(len(p[x][1]) - len(p[0][1]) for p, x in paths))
     return (
         np.array(best, np.int32),
-        lengths,
+        [len(best) + sum(len(c.ids) - c.removed for c in changes) for _, _, changes in found],
         [s for s, _, _ in found],
-        [list(c.items()) for _, _, c in found],
-        decode(best, vocab) == text,
+        [
+            [{"start": c.start, "removed": c.removed, "ids": c.ids} for c in changes]
+            for _, _, changes in found
+        ],
+        decode(best, vocab) == text
+        and all(
+            _joined(c.ids, vocab) == c.unit.replace(SPACE, " ") for _, _, changes in found for c in changes
+        ),
     )
 
 
+def segmentations(ids: Column, changes: Column) -> Column:
+    """Ids of all segmentations of a row of :func:`encode`, best first, from its columns alone."""
+
+    def changed(so_far: Column, change: Column) -> Column:
+        after = change["start"] + change["removed"] + 1
+        return F.concat(
+            F.slice(so_far, F.lit(1), change["start"]),
+            change["ids"],
+            F.slice(so_far, after, F.greatest(F.size(so_far) - after + 1, F.lit(0))),
+        )
+
+    # The last change first, so that the places of the others still hold.
+    return F.transform(changes, lambda c: F.aggregate(F.reverse(c), ids, changed))
+
+
 def encode(
     docs: DataFrame, text: str = "text", count: int = BEST, model: str = MODEL
 ) -> DataFrame:
     """``docs`` without its text, with the ``count`` best segmentations of each.
 
-    ``ids`` are those of the best. ``n_pieces`` and ``scores`` have an entry per
-    segmentation, best first, and ``choices`` the words (from 0) at which one
-    differs from the best, with the rank of the piece sequence it takes there.
-    ``round_trip`` tells whether decoding gives the text back: it does unless
-    the text itself has the mark that stands for a space. NULL is an empty
-    text, which has one segmentation without pieces. Equal texts give equal
-    rows; columns of ``docs`` named like one of these are not allowed.
+    ``ids`` are those of the best. ``n_pieces``, ``scores`` and ``changes`` have an
+    entry per segmentation, best first. ``changes`` are the runs of ``ids`` another
+    one replaces, with the ids it has there; :func:`segmentations` applies them.
+    ``round_trip`` tells whether decoding every segmentation gives the text back: it
+    does unless the text itself has the mark that stands for a space. NULL is an
+    empty text, which has one segmentation without pieces. Equal texts give equal
+    rows. A column of ``docs`` named like one of these is kept with ``_`` before
+    its name, as many as it takes.
     """
-    others = [c for c in docs.columns if c != text]
-    kinds = ", ".join(f"`{n}` {t}" for n, t in docs.select(*[f"`{c}`" for c in others]).dtypes)
+    given = [c for c in docs.columns if c != text]
+    others: list[str] = []
+    for c in given:
+        while c.lower() in NAMES or c in others or c != given[len(others)] and c in given:
+            c = f"_{c}"
+        others.append(c)
+    source_text = "_text"
+    while source_text in others:
+        source_text = f"_{source_text}"
+    source = docs.select(
+        *[F.col(f"`{c}`").alias(o) for c, o in zip(given, others)],
+        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(source_text),
+    )
+    kinds = ", ".join(f"`{n}` {t}" for n, t in source.drop(source_text).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, encoder = vocabulary(model), _encoder(model, count)
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(start, BATCH_ROWS)
-                rows = [_row(encoder, vocab, t) for t in batch["_text"].to_pylist()]
+                texts = batch[source_text].to_pylist()
+                units = [encoder.units(t) for t in texts]
+                encoder.learn(chain.from_iterable(units))
+                rows = [_row(encoder, vocab, t, u) for t, u in zip(texts, units)]
                 made = [pa.array(c, k) for c, k in zip(zip(*rows), KINDS)] or [
                     pa.array([], k) for k in KINDS
                 ]
@@ -369,9 +540,6 @@ def encode(
                     [*(batch[c] for c in others), *made], [*others, *NAMES]
                 )
 
-    source = docs.select(
-        *[f"`{c}`" for c in others], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text")
-    )
     return source.mapInArrow(run, f"{kinds}, {SCHEMA}" if kinds else SCHEMA)
 
 

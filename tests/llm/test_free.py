@@ -49,13 +49,51 @@ def test_n_best_against_all_segmentations():
     for _ in range(150):
         text = "".join(r.choice("ab ") for _ in range(r.randrange(1, 10)))
         encoder = pieces.Encoder(vocab, 5)
-        found = encoder.text(text)
+        found = encoder.text(encoder.units(text))
         best = sorted((s for s, _ in all_segmentations("▁" + text.replace(" ", "▁"), vocab)), reverse=True)
         assert [round(s, 9) for s, _, _ in found] == [round(s, 9) for s in best[:5]]
-        ids = [tuple(encoder.ids_of(text, choice)) for _, _, choice in found]
+        ids = []
+        for _, _, changes in found:
+            ids.append(list(found[0][1]))
+            for c in reversed(changes):
+                ids[-1][c.start : c.start + c.removed] = c.ids
+        ids = [tuple(x) for x in ids]
         assert len(set(ids)) == len(ids) and {pieces.decode(i, vocab) for i in ids} == {text}
 
 
+def test_many_words_at_once_are_searched_like_each_alone():
+    r = random.Random(6)
+    for vocab in (small_vocabulary(r), pieces.vocabulary(pieces.MODEL)):
+        letters = "abc" if len(vocab.ids) < 100 else "aeinrst\u00fc\u65e5\U0001f642\u0378x9"
+        words = ["\u2581" * r.randrange(3) + "".join(r.choice(letters) for _ in range(r.randrange(1, 30))) for _ in range(800)]
+        assert pieces.best_of_words(words, vocab) == [pieces.best_and_loss(w, vocab) for w in words]
+    assert pieces.best_of_words([], vocab) == []
+
+
+def test_a_model_with_pieces_beyond_a_word_is_refused():
+    with pytest.raises(ValueError, match="beyond a word"):
+        pieces.Vocabulary({"a\u2581b": 0}, [-1.0], ["a\u2581b"])
+
+
+def test_all_segmentations_come_back_from_the_table(spark):
+    vocab = pieces.vocabulary(pieces.MODEL)
+    docs = awkward(spark, "ids", "_ids", "round_trip").where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    rows = pieces.encode(docs).withColumn("all", pieces.segmentations(F.col("ids"), F.col("changes"))).collect()
+    texts = {i: t or "" for i, t, *_ in awkward_rows()}
+    assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in docs.collect()}
+    for r in rows:
+        text, found = texts[r["doc_id"]], [list(x) for x in r["all"]]
+        assert found[0] == r["ids"] and [len(x) for x in found] == r["n_pieces"]
+        assert {pieces.decode(x, vocab) for x in found} == {text} and len({*map(tuple, found)}) == len(found)
+        if len(text) >= 300:
+            assert len(found) == 3
+        else:
+            whole = text.replace(" ", "\u2581")
+            best = pieces.best_paths("\u2581" + whole, vocab, 3) if text else [(0.0, ())]
+            assert r["scores"] == pytest.approx([s for s, _ in best])  # as many as there are
+        assert r["__ids"] == "mine" and r["_ids"] == "mine" and r["_round_trip"] == "mine"
+
+
 def test_encoding_is_undone_by_decoding_and_by_the_model_itself(spark):
     import sentencepiece
 
