@@ -282,6 +282,51 @@ def _load_times() -> str:
     )
 
 
+def _respelt(column: str, by: str) -> str:
+    return (
+        f"CASE ({by}) % 3 WHEN 0 THEN lower({column}) WHEN 1 THEN {column} || '  ' ELSE {column} END"
+    )
+
+
+def _same(a: str, b: str) -> str:
+    return f"lower(rtrim({a})) = lower(rtrim({b}))"
+
+
+# Keys and names spelt in several ways, and joins that do not mind.
+COLLATED_REVENUE = f"""
+        SELECT lower(rtrim(country)) AS country, lower(rtrim(category)) AS category,
+               count(*) AS n_lines, sum(sls_sales)::BIGINT AS revenue,
+               count(DISTINCT lower(rtrim(product_number))) AS n_products
+        FROM (SELECT * REPLACE ({_respelt('sls_prd_key', 'sls_quantity')} AS sls_prd_key)
+              FROM silver_crm_sales_details) AS s
+        LEFT JOIN (
+            SELECT p.prd_key AS product_number, c.cat AS category
+            FROM (SELECT * REPLACE ({_respelt('cat_id', 'prd_id')} AS cat_id)
+                  FROM silver_crm_prd_info) AS p
+            LEFT JOIN (SELECT {_respelt('id', 'ascii(right(id, 1))')} AS id,
+                          {_respelt('cat', 'length(subcat)')} AS cat
+                       FROM silver_erp_px_cat_g1v2) AS c ON {_same('p.cat_id', 'c.id')}
+            WHERE p.prd_end_dt IS NULL
+        ) AS products ON {_same('s.sls_prd_key', 'product_number')}
+        LEFT JOIN (
+            SELECT c.cst_id AS customer_id, l.cntry AS country
+            FROM silver_crm_cust_info AS c
+            LEFT JOIN (SELECT cid FROM silver_erp_cust_az12) AS e
+                ON {_same('c.cst_key', 'e.cid')}
+            LEFT JOIN (SELECT {_respelt('cid', 'ascii(right(cid, 1))')} AS cid,
+                          {_respelt('cntry', 'ascii(right(cid, 1)) + 1')} AS cntry
+                       FROM silver_erp_loc_a101) AS l ON {_same('c.cst_key', 'l.cid')}
+        ) AS customers ON s.sls_cust_id = customer_id
+        GROUP BY 1, 2"""
+
+COLLATED_VERSIONS = f"""
+        SELECT prd_id, lower(rtrim(substr(spelt, 7))) AS prd_key, prd_start_dt::DATE AS prd_start_dt,
+               (lead(prd_start_dt) OVER (PARTITION BY lower(rtrim(spelt))
+                   ORDER BY prd_start_dt NULLS FIRST, prd_id) - INTERVAL 1 DAY)::DATE AS prd_end_dt
+        FROM (SELECT prd_id, prd_start_dt, {_respelt('prd_key', 'prd_id')} AS spelt
+              FROM bronze_crm_prd_info)"""
+
+
 def oracle_queries() -> dict[str, str]:
     """SQL for every registered query, by its name."""
     result = {name: with_layers(f"SELECT * FROM {name}") for name in LAYERS}
@@ -295,6 +340,8 @@ def oracle_queries() -> dict[str, str]:
             result[f"loaded_{layer}_{table}"] = with_layers(f"SELECT * FROM {layer}_{table}")
     result["full_load"] = with_layers(_table_profile(audit_columns=1))
     result["silver_load_times"] = with_layers(_load_times())
+    result["collated_revenue"] = with_layers(COLLATED_REVENUE)
+    result["collated_product_versions"] = with_layers(COLLATED_VERSIONS)
     result["table_profile"] = with_layers(_table_profile())
     result["column_profile"] = with_layers(_column_profile())
     result.update({name: with_layers(sql) for name, sql in QUESTIONS.items()})

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import SERVER_COLLATION, collated
 from ..operators import column_profile, surrogate_key, table_profile
 from ..schemas import AUDIT_COLUMN, BRONZE, GOLD, SILVER
 from ..session import store, workspace
@@ -22,7 +23,7 @@ from ..sources.bronze import (
 )
 from ..sources.sample_data import SAMPLE_TABLES, write_raw_csv
 from ..sources.tables import delete, exists, state
-from . import customers, performance, products, sales, trends
+from . import collation, customers, performance, products, sales, trends
 from .gold import load_gold, read_gold
 from .silver import load_silver, read_silver
 from .warehouse import TABLE_NAMES, Warehouse, open_warehouse
@@ -199,6 +200,32 @@ def product_version_keys(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_respelt: dict[Warehouse, Warehouse] = {}
+
+
+def _respelt_warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    """The warehouse whose keys and names are spelt in several ways, under the server's collation."""
+    exact = _warehouse(spark, folder)
+    if exact not in _respelt:
+        cleaned = {t: collation.respelt(exact.table(f"silver.{t}"), t) for t in SILVER}
+        _respelt[exact] = Warehouse({}, AS_OF, SERVER_COLLATION, cleaned)
+    return _respelt[exact]
+
+
+def collated_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue by country and category where both, and the keys, are spelt in several ways."""
+    warehouse = _respelt_warehouse(spark, folder)
+    return collation.revenue_by_country_and_category(
+        *[warehouse.table(t) for t in (SALES, PRODUCTS, CUSTOMERS)]
+    )
+
+
+def collated_product_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions of products whose keys are spelt in several ways, each until the next starts."""
+    raw = collation.respelt(_warehouse(spark, folder).table("bronze.crm_prd_info"), "crm_prd_info")
+    return collation.product_versions(collated(raw, SERVER_COLLATION))
+
+
 def _profile(
     function: Callable[..., DataFrame], form: Callable[[Warehouse, str], DataFrame]
 ) -> Query:
@@ -221,6 +248,8 @@ def all_queries() -> dict[str, Query]:
     for layer, tables in (("silver", SILVER), ("gold", GOLD)):
         named.update({f"loaded_{layer}_{t}": _loaded_table(layer, t) for t in tables})
     named["surrogate_key"] = product_version_keys
+    named["collated_revenue"] = collated_revenue
+    named["collated_product_versions"] = collated_product_versions
     named["table_profile"] = _profile(table_profile, Warehouse.footers)
     named["column_profile"] = _profile(column_profile, Warehouse.stored)
     named.update({f.__name__: _report(f, tables) for f, tables in REPORTS.items()})

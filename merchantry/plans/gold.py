@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import UNKNOWN
+from ..functions import EXACT, collated
 from ..operators import left_lookup, surrogate_key
 from ..schemas import GOLD
 from ..session import scratch, workspace
@@ -126,32 +127,43 @@ def store_fact(sales: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.table(name), path
 
 
-def load_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> None:
+def load_gold(
+    spark: SparkSession, silver_dir: str, gold_dir: str, collation: str | None = None
+) -> None:
     """Store the dimensions side by side, then the fact on top of them, and release the three at once.
 
     Keys are numbered anew by every load, so the fact is built against the
     dimensions of the same release, and readers never see one without the other.
+    Keys are compared under ``collation`` (default: by exact characters); the stored
+    columns are plain strings.
     """
 
     def silver(table: str) -> DataFrame:
-        return read_silver(spark, silver_dir, table)
+        return collated(read_silver(spark, silver_dir, table), collation)
+
+    def plain(df: DataFrame) -> DataFrame:
+        return collated(df, collation and EXACT)
 
     with Release(spark, gold_dir) as release, scratch(spark):
         release.write_all(
             {
-                "customers": lambda: gold_customers(
-                    silver("crm_cust_info"), silver("erp_cust_az12"), silver("erp_loc_a101")
+                "customers": lambda: plain(
+                    gold_customers(
+                        silver("crm_cust_info"), silver("erp_cust_az12"), silver("erp_loc_a101")
+                    )
                 ),
-                "products": lambda: gold_products(
-                    silver("crm_prd_info"), silver("erp_px_cat_g1v2")
+                "products": lambda: plain(
+                    gold_products(silver("crm_prd_info"), silver("erp_px_cat_g1v2"))
                 ),
             }
         )
         release.write(
-            gold_sales(
-                silver("crm_sales_details"),
-                release.read("products", GOLD["products"]),
-                release.read("customers", GOLD["customers"]),
+            plain(
+                gold_sales(
+                    silver("crm_sales_details"),
+                    collated(release.read("products", GOLD["products"]), collation),
+                    release.read("customers", GOLD["customers"]),
+                )
             ),
             "sales",
         )

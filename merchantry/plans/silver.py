@@ -17,7 +17,7 @@ from ..fixed_values import (
     PRODUCT_LINE,
     UNKNOWN,
 )
-from ..functions import code_label, decode_yyyymmdd, int_div, is_undecodable, text_length
+from ..functions import EXACT, code_label, collated, decode_yyyymmdd, int_div, is_undecodable, text_length
 from ..operators import following_value, latest_per_key
 from ..schemas import AUDIT_COLUMN, SILVER
 from ..sources.bronze import read_bronze
@@ -144,16 +144,20 @@ def load_silver(
     silver_dir: str,
     as_of: date | datetime | None = None,
     load_ts: datetime | None = None,
+    collation: str | None = None,
 ) -> dict[str, int]:
     """Full refresh of the six cleaned tables, written side by side and released at once.
 
+    Strings are compared under ``collation`` (default: by exact characters); the
+    stored columns are plain strings.
+
     An error is raised and ends the load; the six tables are the old ones then.
     Returns the number of values that looked like dates and were none, by sales
     column, and under ``sls_sales`` that of repaired amounts beyond its range.
     """
 
     def bronze(table: str) -> DataFrame:
-        return read_bronze(spark, bronze_dir, table)
+        return collated(read_bronze(spark, bronze_dir, table), collation)
 
     rejected = Observation()
     dates = ["sls_order_dt", "sls_ship_dt", "sls_due_dt"]
@@ -176,7 +180,8 @@ def load_silver(
     }
 
     def stamped(table: str) -> DataFrame:
-        return with_audit(cleaned[table](), load_ts).select(*SILVER[table].fieldNames())
+        df = collated(cleaned[table](), collation and EXACT)
+        return with_audit(df, load_ts).select(*SILVER[table].fieldNames())
 
     with Release(spark, silver_dir) as release, scratch(spark):
         release.write_all({table: partial(stamped, table) for table in cleaned})

@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import collated
 from ..schemas import BRONZE, GOLD
 from ..session import scratch, store, workspace
 from ..sources.sample_data import SAMPLE_TABLES, raw_tables
@@ -20,11 +21,21 @@ class Warehouse:
 
     The dimensions and the fact are stored once in the shared folder, so all
     questions see one set of surrogate keys and scan only the columns they
-    need. Cleaned tables feed them without being stored in between.
+    need. Cleaned tables feed them without being stored in between; those given as
+    ``cleaned`` are taken as they are. Under a ``collation`` the star schema has its
+    strings under it, order numbers excepted, which lay out the fact.
     """
 
-    def __init__(self, raw: Mapping[str, DataFrame], as_of: date | None = None):
+    def __init__(
+        self,
+        raw: Mapping[str, DataFrame],
+        as_of: date | None = None,
+        collation: str | None = None,
+        cleaned: Mapping[str, DataFrame] | None = None,
+    ):
         self._tables: dict[str, DataFrame] = {f"bronze.{t}": df for t, df in raw.items()}
+        self._tables.update({f"silver.{t}": df for t, df in (cleaned or {}).items()})
+        self._collation = collation
         self._stored: dict[str, DataFrame] = {}
         self._fact: DataFrame | None = None
         self._fact_path = ""
@@ -87,17 +98,18 @@ class Warehouse:
             case "silver.erp_px_cat_g1v2":
                 return silver.silver_categories(t("bronze.erp_px_cat_g1v2"))
             case "gold.customers":
-                parts = [t(f"silver.{n}") for n in ("crm_cust_info", "erp_cust_az12", "erp_loc_a101")]
+                names = ("crm_cust_info", "erp_cust_az12", "erp_loc_a101")
+                parts = [collated(t(f"silver.{n}"), self._collation) for n in names]
                 return self._kept(gold.gold_customers, parts, "gold-customers")
             case "gold.products":
-                parts = [t("silver.crm_prd_info"), t("silver.erp_px_cat_g1v2")]
+                names = ("crm_prd_info", "erp_px_cat_g1v2")
+                parts = [collated(t(f"silver.{n}"), self._collation) for n in names]
                 return self._kept(gold.gold_products, parts, "gold-products")
             case "gold.sales":
                 with ThreadPoolExecutor() as pool:  # neither dimension needs the other
                     list(pool.map(t, ("gold.products", "gold.customers")))
-                sales = gold.gold_sales(
-                    t("silver.crm_sales_details"), t("gold.products"), t("gold.customers")
-                )
+                lines = collated(t("silver.crm_sales_details"), self._collation, "sls_prd_key")
+                sales = gold.gold_sales(lines, t("gold.products"), t("gold.customers"))
                 self._fact, self._fact_path = gold.store_fact(sales, "gold_sales")
                 return self._fact.drop(gold.YEAR)
         raise KeyError(name)
