@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
@@ -179,12 +179,8 @@ def bucket_links(
     return links.union(verify(rest))
 
 
-def crossing_pairs(mixed: DataFrame, near: Callable[[str, str], Column] | None = None) -> DataFrame:
-    """Pairs (a, b) of one key and different components; all, or those ``near`` lets pass.
-
-    ``near`` is a condition on columns of both sides, named by prefixes; it is
-    part of the join, so that no other pairs are made.
-    """
+def crossing_pairs(mixed: DataFrame) -> DataFrame:
+    """All pairs (a, b) of one key and different components."""
     parts = store(mixed.select("key", "component").distinct(), "bucket-groups")
     crossing = parts.select("key", F.col("component").alias("x")).join(
         parts.select("key", F.col("component").alias("y")), "key"
@@ -194,6 +190,6 @@ def crossing_pairs(mixed: DataFrame, near: Callable[[str, str], Column] | None =
     here = (F.col("key") == F.col("b_key")) & (F.col("y") == F.col("b_component"))
     return (
         crossing.join(left, (F.col("key") == F.col("a_key")) & (F.col("x") == F.col("a_component")))
-        .join(right, here if near is None else here & near("a_", "b_"))
+        .join(right, here)
         .select(F.greatest("a_id", "b_id").alias("a"), F.least("a_id", "b_id").alias("b"))
     )

@@ -7,8 +7,10 @@ than the edits its length allows, so whatever words are replaced, two lines that
 are alike share a block, mostly two; two blocks more lie around the word of the
 least hash, for lines in which words were put in or left out. Lines too short for that share what is left
 of their words without one. Lines are joined on all of these, and whoever shares
-one is verified by edit similarity of words. Of every connected group one
-occurrence is kept, the first by document and line.
+one is verified by edit similarity of words. Before a pair of lines is made, its
+lengths and 128 parities of word hashes must allow that few words differ, which
+rules out unlike lines only: a word that is replaced turns two parities at most.
+Of every connected group one occurrence is kept, the first by document and line.
 
 All of it is built-in functions.
 """
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
-from .clusters import bucket_links, components, crossing_pairs, parted
+from .clusters import bucket_links, components, parted
 from .common import spare
 
 # Words to an edit: lines are alike if at most a tenth of the words of the longer one, rounded,
@@ -110,6 +112,59 @@ def line_keys(hashes: Column, n: Column) -> Column:
     )
 
 
+def parities(hashes: Column) -> list[Column]:
+    """128 parities of a line as two numbers, ``lo`` and ``hi``; each word turns one of them."""
+
+    def turned(some: Column) -> Column:
+        return F.aggregate(
+            some,
+            F.lit(0).cast("long"),
+            lambda bits, x: bits.bitwiseXOR(
+                F.call_function(
+                    "shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int")
+                )
+            ),
+        )
+
+    return [
+        turned(F.filter(hashes, lambda x: x >= 0)).alias("lo"),
+        turned(F.filter(hashes, lambda x: x < 0)).alias("hi"),
+    ]
+
+
+def near(a: str, b: str) -> Column:
+    """Whether lengths and parities do not rule out that two lines are alike.
+
+    A word that is replaced turns two parities at most, one that is put in or left
+    out turns one, and there are at least as many of these as the lengths differ.
+    """
+    most = edits(F.greatest(f"{a}n", f"{b}n"))
+    apart = F.abs(F.col(f"{a}n") - F.col(f"{b}n"))
+    turned = [F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in ("lo", "hi")]
+    return (apart <= most) & (turned[0] + turned[1] <= 2 * most - apart)
+
+
+def near_pairs(mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one key and different components that :func:`near` lets pass.
+
+    Lengths are put into bands in which each is 1.12 times the one before, five
+    added. Lines that are alike are in one band or in two that follow each other,
+    so a bucket is joined band by band, and no pair is a row before it has passed.
+    """
+    band = F.floor(F.log(F.col("n") + WORDS_PER_EDIT // 2) / F.log(F.lit(1.12))).cast("int")
+    rows = store(mixed.withColumn("band", band), "mixed-lines")
+    shorter = rows.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
+    left = shorter.select(*[F.col(c).alias(f"a_{c}") for c in rows.columns])
+    right = rows.select(*[F.col(c).alias(f"b_{c}") for c in rows.columns])
+    once = F.expr("a_n < b_n OR (a_n = b_n AND a_id < b_id)")
+    return left.join(
+        right,
+        F.expr("a_key = b_key AND a_band = b_band AND a_component <> b_component")
+        & once
+        & near("a_", "b_"),
+    ).select(F.greatest("a_id", "b_id").alias("a"), F.least("a_id", "b_id").alias("b"))
+
+
 def _as_characters(line: Column) -> Column:
     """A line with each word as one of 20,000 characters."""
     codes = F.transform(
@@ -164,6 +219,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             F.monotonically_increasing_id().alias("at"),
             F.xxhash64(F.lit("line"), "line").alias("node"),
             "n",
+            *parities(F.col("hashes")),
             line_keys(F.col("hashes"), F.col("n")).alias("keys"),
             "line",
         ),
@@ -174,22 +230,17 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         occurrences.groupBy("node")
         .agg(
             F.min(F.struct(*PLACE, "at")).alias("first"),
-            F.max("n").alias("n"),
+            *[F.max(c).alias(c) for c in ("n", "lo", "hi")],
             F.count(F.lit(1)).alias("rows"),
         )
-        .select(F.col("node").alias("id"), "first.*", "n", "rows"),
+        .select(F.col("node").alias("id"), "first.*", "n", "lo", "hi", "rows"),
         "line-nodes",
     )
     keys = occurrences.select(F.explode("keys").alias("key"), F.col("node").alias("id"))
-    sizes = nodes.select("id", "n", "at")
-
-    def near(a: str, b: str) -> Column:
-        """Whether lengths alone do not rule out that two lines are alike."""
-        most = edits(F.greatest(f"{a}n", f"{b}n"))
-        return F.abs(F.col(f"{a}n") - F.col(f"{b}n")) <= most
+    sizes = nodes.select("id", "n", "lo", "hi", "at")
 
     def pairs_of(mixed: DataFrame) -> DataFrame:
-        return crossing_pairs(store(mixed.join(sizes.drop("at"), "id"), "mixed-sizes"), near)
+        return near_pairs(mixed.join(sizes.drop("at"), "id"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         x, y = (

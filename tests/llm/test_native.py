@@ -245,6 +245,33 @@ def test_simhash_blocks(spark):
         assert found % (1 << 64) == bits
 
 
+def test_lengths_and_parities_rule_out_unlike_lines_only(spark):
+    """All lines of one bucket: pairs made are few, and every pair that is alike is among them."""
+    made = pairs_of_lines([("replaced", 1), ("put in", 2), ("left out", 3), ("put in", 9)], (6, 12, 30, 90), 8)
+    text = [t for _, a, b in made for t in (a, b)]
+    hashes = F.transform(F.split("line", " "), lambda w: F.xxhash64(w))
+    rows = (
+        spark.createDataFrame(list(enumerate(text)), "id bigint, line string")
+        .withColumn("hashes", hashes)
+        .select("id", F.lit(1).alias("key"), F.col("id").alias("component"), F.size("hashes").alias("n"),
+                "hashes", *lines.parities(F.col("hashes")))
+    )
+    for row in rows.collect():
+        turned = [0, 0]
+        for h in row["hashes"]:
+            turned[h < 0] ^= 1 << (h & 63)
+        assert [row["lo"] % (1 << 64), row["hi"] % (1 << 64)] == turned
+    found = [(r["a"], r["b"]) for r in lines.near_pairs(rows.drop("hashes")).collect()]
+    words = [t.split() for t in text]
+    wanted = {
+        (y, x) for y in range(len(words)) for x in range(y)
+        if abs(len(words[x]) - len(words[y])) <= 10
+        and word_distance(words[x], words[y]) <= (max(len(words[x]), len(words[y])) + 5) // 10
+    }
+    assert len(found) == len(set(found)) and wanted <= set(found)
+    assert len(wanted) > 60 and len(found) < 2 * len(wanted)
+
+
 def pairs_of_lines(kinds, sizes, each, seed=4):
     """Lines and edited copies: n words replaced, put in or left out, or characters replaced."""
     import random
