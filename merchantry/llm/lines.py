@@ -165,7 +165,7 @@ def near_pairs(mixed: DataFrame) -> DataFrame:
     ).select(F.greatest("a_id", "b_id").alias("a"), F.least("a_id", "b_id").alias("b"))
 
 
-def _as_characters(line: Column) -> Column:
+def as_characters(line: Column) -> Column:
     """A line with each word as one of 20,000 characters."""
     codes = F.transform(
         F.split(line, " "), lambda w: F.hex(F.pmod(F.xxhash64(w), F.lit(20_000)) + 0x4E00)
@@ -173,15 +173,16 @@ def _as_characters(line: Column) -> Column:
     return F.decode(F.unhex(F.array_join(codes, "")), "UTF-16BE")
 
 
-def alike(a: Column, b: Column) -> Column:
-    """Whether normalised lines differ by at most as many words as the longer one allows."""
+def close(x: Column, y: Column) -> Column:
+    """:func:`alike` of lines that are characters already."""
+    most = edits(F.greatest(F.length(x), F.length(y)))
+    within = F.abs(F.length(x) - F.length(y)) <= most
+    return F.when(within, F.call_function("levenshtein", x, y, most) >= 0).otherwise(False)
 
-    def near(x: Column, y: Column) -> Column:
-        most = edits(F.greatest(F.length(x), F.length(y)))
-        close = F.abs(F.length(x) - F.length(y)) <= most
-        return F.when(close, F.call_function("levenshtein", x, y, most) >= 0).otherwise(False)
 
-    return near(_as_characters(a), _as_characters(b))
+def alike(a: Column, b: Column) -> Column:
+    """Whether normalised lines differ by at most as many words as the longer one allows."""
+    return close(as_characters(a), as_characters(b))
 
 
 PLACE = ("doc_id", "text_hash", "line_no")
@@ -250,13 +251,19 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         likely = store(both.where(near("a_", "b_")).select("a", "b", "a_at", "b_at"), "likely")
         wanted = likely.select(F.col("a_at").alias("of")).union(likely.select("b_at")).distinct()
         asked, _ = parted(occurrences.select("at", "line"), "at", store(wanted, "wanted"), "of")
-        found = store(asked.join(wanted, F.col("at") == F.col("of"), "left_semi"), "wanted-lines")
+        # A line is turned into characters once, however many pairs it is in.
+        found = store(
+            asked.join(wanted, F.col("at") == F.col("of"), "left_semi").select(
+                "at", as_characters(F.col("line")).alias("line")
+            ),
+            "wanted-lines",
+        )
         left = found.select(F.col("at").alias("a_at"), F.col("line").alias("line_a"))
         right = found.select(F.col("at").alias("b_at"), F.col("line").alias("line_b"))
         return (
             likely.join(left, "a_at")
             .join(right, "b_at")
-            .where(alike(F.col("line_a"), F.col("line_b")))
+            .where(close(F.col("line_a"), F.col("line_b")))
             .select("a", "b")
         )
 
