@@ -176,6 +176,55 @@ def test_the_mixed_model_is_better_on_held_out_texts(spark):
     assert score > 0.5 * base
 
 
+def test_scores_equal_a_model_in_plain_python(spark):
+    r = random.Random(8)
+    docs = [(i, " ".join(f"w{min(r.randrange(40), r.randrange(40))}" for _ in range(r.randrange(60)))) for i in range(80)]
+    found = {x["doc_id"]: x["score"] for x in lm.score_documents(
+        spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)).collect()}
+    fold = {i: zlib.crc32(str(i).encode()) % 7 for i, _ in docs}
+    tokens = {i: [0, *t.split(), 1] for i, t in docs}  # beginning and end
+
+    def counts(left_out):
+        words, pairs = Counter(), Counter()
+        for i, t in tokens.items():
+            if fold[i] not in left_out:
+                words.update(t)
+                pairs.update(zip(t, t[1:]))
+        return words, pairs, sum(words.values()) - words[0]
+
+    def bucket(n):
+        return math.floor(math.log2(n)) + 1 if n else 0
+
+    words, pairs, total = counts({2})
+    even = 1 / (len(words) - 1 + 1)
+    kept, kept_pairs, kept_total = counts({2, 6})
+    cases = {}
+    for i, t in tokens.items():
+        if fold[i] == 6:
+            for a, b in zip(t, t[1:]):
+                share = kept_pairs[a, b] / kept[a] if kept[a] else 0
+                cases.setdefault(bucket(kept[a]), []).append((share, kept[b] / kept_total, even))
+    weights = {}
+    for k, own in cases.items():
+        mix = list(lm.START_WEIGHTS)
+        for _ in range(lm.ROUNDS):
+            sums = [0.0] * 3
+            for case in own:
+                part = [m * x for m, x in zip(mix, case)]
+                sums = [s + x / sum(part) for s, x in zip(sums, part)]
+            mix = [max(s / sum(sums), least) for s, least in zip(sums, (0, 0, lm.LEAST_EVEN))]
+            mix = [m / sum(mix) for m in mix]
+        weights[k] = mix
+    assert len(cases) > 3
+    for i, t in tokens.items():
+        score = 0.0
+        for a, b in zip(t, t[1:]):
+            mix = weights[max([k for k in weights if k <= bucket(words[a])], default=min(weights))]
+            shares = (pairs[a, b] / words[a] if words[a] else 0, words[b] / total, even)
+            score += math.log10(sum(m * x for m, x in zip(mix, shares)))
+        assert found[i] == pytest.approx(score, rel=1e-9)
+
+
 def test_weights_learned_by_expectation_maximisation(spark):
     cases = [(8, 10, 20, 50), (0, 10, 30, 5), (0, 0, 10, 7), (3, 40, 5, 2)]
     df = spark.createDataFrame(cases, "pair bigint, context bigint, word bigint, n bigint")
