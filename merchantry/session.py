@@ -15,6 +15,9 @@ from .sources.tables import delete
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Files a task keeps open at once; rows for more are sorted by file before they are written.
+OPEN_FILES = "32"
+
 _scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
@@ -69,6 +72,30 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
+@contextmanager
+def unsorted_rows(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside look rows up and write them without sorting them, so that none are spilled.
+
+    A shuffled lookup builds a hash table where each partition of the smaller side is
+    within the size that the session aims at for a partition, and a task that
+    writes to few files keeps them open. Beyond that they sort as ever. What the
+    session has set itself stays.
+    """
+    aimed_at = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    settings = {
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": aimed_at,
+        "spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES,
+    }
+    changed = [name for name in settings if spark.conf.get(name) in ("0", "0b")]
+    for name in changed:
+        spark.conf.set(name, settings[name])
+    try:
+        yield
+    finally:
+        for name in changed:
+            spark.conf.unset(name)
+
+
 def store(
     df: DataFrame, label: str, keep: bool = False, codec: str | None = None
 ) -> DataFrame:

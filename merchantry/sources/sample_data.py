@@ -93,7 +93,11 @@ def raw_products(read: Callable[[str], DataFrame]) -> DataFrame:
 
 
 def raw_sales(read: Callable[[str], DataFrame]) -> DataFrame:
-    """Order lines with missing, zero, negative and inconsistent amounts and dates."""
+    """Order lines with missing, zero, negative and inconsistent amounts and dates.
+
+    Merged, the lines of an order come together, as they are delivered, and compress
+    well wherever they are shuffled or written next.
+    """
     lines = read("lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
@@ -101,7 +105,7 @@ def raw_sales(read: Callable[[str], DataFrame]) -> DataFrame:
     key = F.col("l_orderkey")
     unit = F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("int")
     quantity = F.floor("l_quantity").cast("int")
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    rows = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat(F.lit("SO"), key.cast("string")).alias("sls_ord_num"),
         F.when(key % 307 == 9, "ZZZZZZ")
         .otherwise(_padded(F.col("l_partkey"), 6))

@@ -24,6 +24,9 @@ RELEASE, VERSION, WRITER = "_release-", "_v-", "_writer-"
 # Releases whose rows stay: the current one, and the one that readers may still have open.
 RETAINED = 2
 
+# Codec of the files of stored layers.
+CODEC = "zstd"
+
 # A load that has not shown itself for so long is taken for dead.
 STALE_SECONDS = 24 * 3600
 
@@ -193,7 +196,7 @@ class Release:
             delete(self.spark, other)
 
     def write(self, df: DataFrame, table: str) -> None:
-        df.write.parquet(f"{self.folder}/{self.version}/{table}")
+        df.write.parquet(f"{self.folder}/{self.version}/{table}", compression=CODEC)
         self.tables[table] = f"{self.version}/{table}"
         self._show()
 

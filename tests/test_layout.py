@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from merchantry.operators import distinct_counts
 from merchantry.plans.catalog import AS_OF, all_queries
-from merchantry.plans.gold import YEAR, store_fact
+from merchantry.plans import gold
+from merchantry.plans.gold import YEAR, gold_sales, store_fact
 from merchantry.plans.performance import running_total_revenue
 from merchantry.plans.sales import average_order_value, key_sales_metrics, order_period
 from merchantry.plans.trends import dated_lines, yearly_orders, yearly_revenue
 from merchantry.plans.warehouse import Warehouse, open_warehouse
+from merchantry.session import unsorted_rows
 from merchantry.sources.tables import footer_scan
 
 FOLDER = "/root/testdata/sf0.001"
@@ -125,3 +127,39 @@ def test_the_warehouse_keeps_nine_columns(spark):
     warehouse = open_warehouse(spark, FOLDER, AS_OF)
     assert YEAR not in warehouse.table("gold.sales").columns and YEAR in warehouse.fact().columns
     assert YEAR not in warehouse.footers("gold.sales").columns
+
+
+SORTS = ["spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "spark.sql.maxConcurrentOutputFileWriters"]
+
+
+def test_the_fact_is_built_without_sorts(spark, monkeypatch):
+    lines = spark.createDataFrame(
+        [(f"SO{k // 3}", f"P{k % 5}", k // 3 % 7, None, None, None, k, 1, k) for k in range(60)],
+        "sls_ord_num string, sls_prd_key string, sls_cust_id long, sls_order_dt date, sls_ship_dt date,"
+        " sls_due_dt date, sls_sales int, sls_quantity int, sls_price int",
+    )
+    products = gold_rows(spark, "products", *[{"product_key": k, "product_number": f"P{k}"} for k in range(4)])
+    customers = gold_rows(spark, "customers", *[{"customer_key": k + 10, "customer_id": k} for k in (0, 1, 2, 3, 3)])
+    broadcasts = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {name: spark.conf.get(name) for name in SORTS}
+    for name in broadcasts:
+        spark.conf.set(name, "-1")
+    seen = []
+    try:
+        with unsorted_rows(spark):
+            plan = final_plan_of(gold_sales(lines, products, customers)).partition("== Initial Plan ==")[0]
+            assert all(spark.conf.get(name) != before[name] for name in SORTS)
+        monkeypatch.setattr(gold, "unsorted_rows", lambda s: seen.append(s) or unsorted_rows(s))
+        fact, _ = store_fact(gold_sales(lines, products, customers), "unsorted")
+        found = rows_of(fact.select("order_number", "product_key", "customer_key", "sales_amount"))
+    finally:
+        for name in broadcasts:
+            spark.conf.unset(name)
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert seen and {name: spark.conf.get(name) for name in SORTS} == before
+    expected = [
+        (f"SO{k // 3}", k % 5 if k % 5 < 4 else None, c, k)
+        for k in range(60)
+        for c in {0: [10], 1: [11], 2: [12], 3: [13, 13]}.get(k // 3 % 7, [None])
+    ]
+    assert sorted(found, key=str) == sorted(expected, key=str)
