@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import collated
 from ..schemas import BRONZE, GOLD
-from ..session import scratch, store, workspace
+from ..session import scratch, store, unsorted_rows, workspace
 from ..sources.sample_data import SAMPLE_TABLES, raw_tables
-from ..sources.tables import exists, footer_scan, state
+from ..sources.tables import CODEC, exists, footer_scan, state
 from . import gold, silver
 
 
@@ -70,11 +70,16 @@ class Warehouse:
         return scan.where(scan[gold.YEAR].isNotNull())
 
     def stored(self, name: str) -> DataFrame:
-        """The table as a stored one, for whoever scans it many times."""
+        """The table as a stored one, for whoever scans it many times.
+
+        What is built after that reads it there and does not derive it again.
+        """
         if name.startswith("gold."):
             return self.table(name)
         if name not in self._stored:
-            self._stored[name] = store(self.table(name), name.replace(".", "-"))
+            with unsorted_rows(self.table(name).sparkSession):
+                self._stored[name] = store(self.table(name), name.replace(".", "-"), codec=CODEC)
+            self._tables[name] = self._stored[name]
         return self._stored[name]
 
     def _kept(self, build: Callable[..., DataFrame], parts: list[DataFrame], label: str) -> DataFrame:
