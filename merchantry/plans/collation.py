@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import EXACT
 from ..operators import left_lookup
+from ..session import store
 from .silver import silver_products
 
 # Columns that are spelt in several ways, and what decides on the spelling of a row.
@@ -38,21 +40,48 @@ def _label(name: str):
     return F.lower(F.rtrim(F.collate(F.col(name), EXACT))).alias(name)
 
 
+def _with_labels(dimension: DataFrame, *columns: str) -> DataFrame:
+    """``dimension`` with one exact label for all that is alike under the collation of a column.
+
+    Spellings are grouped exactly first, so only distinct ones are compared under
+    the collation, and whoever groups by the labels compares bytes.
+    """
+    for column in columns:
+        collation = dimension.schema[column].dataType.collation
+        spellings = dimension.select(F.collate(F.col(column), EXACT).alias("_spelling")).distinct()
+        alike = W.partitionBy(F.collate(F.col("_spelling"), collation))
+        label = F.min(F.lower(F.rtrim("_spelling"))).over(alike).alias("_label")
+        dimension = (
+            dimension.withColumn(column, F.collate(F.col(column), EXACT))
+            .join(spellings.select("_spelling", label), F.col(column) == F.col("_spelling"), "left")
+            .withColumn(column, F.col("_label"))
+            .drop("_spelling", "_label")
+        )
+    return dimension
+
+
 def revenue_by_country_and_category(
     sales: DataFrame, products: DataFrame, customers: DataFrame
 ) -> DataFrame:
-    """Lines, revenue and products by country and category, compared under their collation."""
+    """Lines, revenue and products by country and category, compared under their collation.
+
+    The dimensions, not the lines, are compared under it.
+    """
     per_key = sales.groupBy("product_key", "customer_key").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("sales_amount").alias("revenue")
     )
+    product_names = products.select(
+        F.col("product_key").alias("_product"), "product_number", "category"
+    )
+    customer_names = customers.select(F.col("customer_key").alias("_customer"), "country")
     named = left_lookup(
         left_lookup(
             per_key,
-            products.select(F.col("product_key").alias("_product"), "product_number", "category"),
+            store(_with_labels(product_names, "product_number", "category"), "product-labels"),
             "product_key",
             "_product",
         ),
-        customers.select(F.col("customer_key").alias("_customer"), "country"),
+        store(_with_labels(customer_names, "country"), "customer-labels"),
         "customer_key",
         "_customer",
     )
@@ -61,7 +90,7 @@ def revenue_by_country_and_category(
         F.sum("revenue").alias("revenue"),
         F.count_distinct("product_number").alias("n_products"),
     )
-    return found.select(_label("country"), _label("category"), "n_lines", "revenue", "n_products")
+    return found.select("country", "category", "n_lines", "revenue", "n_products")
 
 
 def product_versions(raw: DataFrame) -> DataFrame:

@@ -77,3 +77,24 @@ def test_no_cross_joins(spark):
     parts = [exact.table(t) for t in ("gold.sales", "gold.products", "gold.customers")]
     plan = plan_of(collation.revenue_by_country_and_category(*parts))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_lines_are_grouped_by_labels_and_not_under_the_collation(spark):
+    products = [(1, "P1", "Toys"), (2, "p1  ", "TOYS "), (3, "ΟΔΟΣ", "toys"), (4, "οδος", "toys"), (5, "P5", None), (6, None, "Bikes")]
+    customers = [(1, "de"), (2, "DE "), (3, None), (4, " de")]
+    lines = [(p, c, 1) for p in (1, 2, 3, 4, 5, 6, None) for c in (1, 2, 3, 4, None)] * 2
+    found = collation.revenue_by_country_and_category(
+        spark.createDataFrame(lines, "product_key long, customer_key long, sales_amount long"),
+        collated(spark.createDataFrame(products, "product_key long, product_number string, category string"), SERVER_COLLATION),
+        collated(spark.createDataFrame(customers, "customer_key long, country string"), SERVER_COLLATION),
+    )
+    assert "SortAggregate" not in plan_of(found)  # strings under a collation are sorted to be grouped
+    per_category = [("bikes", 1, 0), ("toys", 4, 2), (None, 2, 1)]
+    assert rows(found) == sorted(
+        (
+            (country, category, 2 * n * k, 2 * n * k, numbers)
+            for country, n in (("de", 2), (" de", 1), (None, 2))
+            for category, k, numbers in per_category
+        ),
+        key=repr,
+    )
