@@ -19,6 +19,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,9 @@ CACHED_WORDS = 400_000
 BLANK = re.compile(r"[\t-\r ]+")
 
 # How the vocabulary cuts lower-cased ASCII text before merging.
-PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
+# The same over words that stand on lines of their own.
+PARTS = re.compile(rf"{PRE_TOKEN}|\n")
 PLAIN = re.compile(r"[!-~]+")
 SPECIAL = "<|"
 
@@ -73,29 +76,34 @@ class WordTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, list[int]] = {"\n": []}
         self.places: dict[str, int] = {}
         self.ids = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 16, np.int64)  # by place of a word, one more than there are
         self.count = 0
 
-    def word_ids(self, word: str) -> list[int]:
-        """Ids of a word without blanks. Plain ones are cut and merged part by part."""
-        if not PLAIN.fullmatch(word) or SPECIAL in word:
-            return self.whole.encode(word, add_special_tokens=False).ids
-        out: list[int] = []
-        for part in PRE_TOKEN.findall(word.lower()):
-            found = self.parts.get(part)
-            if found is None:
-                found = self.parts[part] = [t.id for t in self.whole.model.tokenize(part)]
-            out += found
-        return out
+    def plain_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words one after the other, and how many each has. Cut at once, merged part by part."""
+        found = PARTS.findall("\n".join(words).lower())
+        for part in set(found).difference(self.parts):
+            self.parts[part] = [t.id for t in self.whole.model.tokenize(part)]
+        ids = [self.parts[part] for part in found]
+        word = np.cumsum(np.fromiter((part == "\n" for part in found), np.int64, len(found)))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        counts = np.bincount(word, sizes, minlength=len(words)).astype(np.int64)
+        return np.fromiter(chain.from_iterable(ids), np.uint32), counts[: len(words)]
 
     def learn(self, words: list[str]) -> None:
-        """Take up words that are not known yet."""
-        made = [self.word_ids(w) for w in words]
-        flat = np.fromiter((i for ids in made for i in ids), np.uint32)
-        ends = self.starts[self.count] + np.cumsum([len(ids) for ids in made])
+        """Take up words without blanks that are not known yet."""
+        plain, others = [], []
+        for word in words:
+            (plain if PLAIN.fullmatch(word) and SPECIAL not in word else others).append(word)
+        words = plain + others
+        flat, counts = self.plain_ids(plain)
+        whole = [e.ids for e in self.whole.encode_batch_fast(others, add_special_tokens=False)]
+        flat = np.concatenate([flat, np.fromiter(chain.from_iterable(whole), np.uint32)])
+        counts = np.concatenate([counts, np.fromiter(map(len, whole), np.int64, len(whole))])
+        ends = self.starts[self.count] + np.cumsum(counts)
         while ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while self.count + len(words) >= len(self.starts):

@@ -208,6 +208,24 @@ def test_ids_are_those_of_the_tokenizer(spark, monkeypatch):
             assert [*ids.tolist(), packing.END_ID] == expected, text
 
 
+def test_new_words_of_a_batch_are_cut_at_once(monkeypatch):
+    class Counted:
+        calls = 0
+
+        def findall(self, text):
+            Counted.calls += 1
+            return parts.findall(text)
+
+    parts = packing.PARTS
+    known = packing.WordTokenizer(packing.tokenizer_path())
+    monkeypatch.setattr(packing, "PARTS", Counted())
+    for texts in ([" ".join(f"word{k}'s" for k in range(500))], ["é 日本", "", " "], ["é", "a,b é"]):
+        before = Counted.calls
+        found = list(packing._ids_by_row(packing.pa.array(texts), known))
+        assert Counted.calls - before <= 1
+        assert [[*ids.tolist(), packing.END_ID] for ids in found] == whole_ids(texts)
+
+
 def test_packing_of_awkward_rows(spark):
     docs = awkward(spark, "length", "sequence_id", "block")
     rows = packing.pack_documents(docs).collect()
