@@ -108,20 +108,8 @@ def components(links: DataFrame) -> DataFrame:
     return store(found.union(roots), "components")
 
 
-def bucket_links(
-    keys: DataFrame,
-    verify: Callable[[DataFrame], DataFrame],
-    pairs_of: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
-    """Links (a, b) that ``verify`` leaves of the pairs sharing a bucket, enough for all groups.
-
-    ``keys`` has a row (key, id) per bucket an id is in; repeats do no harm.
-    ``verify`` takes pairs (a, b) and returns those that are links. Pairs whose
-    ids are in one group already are not looked at again. What is left in
-    buckets of several groups goes to ``pairs_of`` as rows (key, id, component);
-    it returns the pairs of different components worth verifying, and
-    :func:`crossing_pairs` returns them all.
-    """
+def shared_buckets(keys: DataFrame) -> DataFrame:
+    """Rows (key, id, leader) of all buckets of several ids, the least of which leads, but its own."""
     buckets = store(
         keys.groupBy("key")
         .agg(F.min("id").alias("leader"), F.max("id").alias("last"))
@@ -131,7 +119,24 @@ def bucket_links(
     )
     # Most keys are of one id alone; these are not shuffled again.
     likely, _ = parted(keys, "key", buckets, "key")
-    members = store(likely.join(buckets, "key").where("id <> leader").distinct(), "members")
+    return store(likely.join(buckets, "key").where("id <> leader").distinct(), "members")
+
+
+def bucket_links(
+    keys: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    links_of: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Links (a, b) that ``verify`` leaves of the pairs sharing a bucket, enough for all groups.
+
+    ``keys`` has a row (key, id) per bucket an id is in; repeats do no harm. It may
+    be what :func:`shared_buckets` made of them. ``verify`` takes pairs (a, b) and
+    returns those that are links. Pairs whose ids are in one group already are not
+    looked at again. What is left in buckets of several groups goes to ``links_of``
+    as rows (key, id, component); it returns the links between different
+    components, by default those that ``verify`` leaves of :func:`crossing_pairs`.
+    """
+    members = keys if "leader" in keys.columns else shared_buckets(keys)
     # First each id is compared with the least leader of all its buckets, whatever their number.
     least = members.groupBy(F.col("id").alias("a")).agg(F.min("leader").alias("b"))
     links = store(verify(store(least, "pairs")), "links")
@@ -175,8 +180,9 @@ def bucket_links(
     mixed = store(found.drop("leader").join(several, "key"), "mixed-members")
     if mixed.isEmpty():
         return links
-    rest = store((pairs_of or crossing_pairs)(mixed).distinct(), "pairs")
-    return links.union(verify(rest))
+    if links_of:
+        return links.union(links_of(mixed))
+    return links.union(verify(store(crossing_pairs(mixed).distinct(), "pairs")))
 
 
 def crossing_pairs(mixed: DataFrame) -> DataFrame:

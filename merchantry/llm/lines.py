@@ -19,9 +19,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..session import store
-from .clusters import bucket_links, components, parted
+from .clusters import bucket_links, components, parted, shared_buckets
 from .common import spare
 
 # Words to an edit: lines are alike if at most a tenth of the words of the longer one, rounded,
@@ -34,6 +35,12 @@ STRETCH = 5
 # Shorter lines have no blocks that are apart, longer ones no keys of all words but one.
 LEAST_BLOCKED, MOST_RESTED = 13, 14
 
+# Keys of a line that are carried beside it, so that a pair is looked at in one bucket alone.
+KEYS_HELD = 256
+
+# Lines of a bucket that a task compares with all others of it.
+CHUNK = 512
+
 
 def normalised(line: Column) -> Column:
     """Lower case, digits as 0, anything else than letters and digits as one space."""
@@ -144,35 +151,72 @@ def near(a: str, b: str) -> Column:
     return (apart <= most) & (turned[0] + turned[1] <= 2 * most - apart)
 
 
+def distinct_buckets(mixed: DataFrame) -> DataFrame:
+    """The rows (key, id, ...) of ``mixed`` without buckets whose ids are those of another one.
+
+    Adds how many ``ids`` the bucket has.
+    """
+    sets = mixed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("ids"),
+        F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
+    )
+    first = sets.groupBy("ids", "x", "y").agg(F.min("key").alias("key"))
+    return mixed.join(store(first.select("key", "ids"), "distinct-buckets"), "key")
+
+
 def near_pairs(mixed: DataFrame) -> DataFrame:
     """Pairs (a, b) of one key and different components that :func:`near` lets pass.
 
     Lengths are put into bands in which each is 1.12 times the one before, five
     added. Lines that are alike are in one band or in two that follow each other,
     so a bucket is joined band by band, and no pair is a row before it has passed.
+    A pair is made in the least key that both lines have; those of more than
+    KEYS_HELD keys are made in each. Where ``mixed`` has ``line``, the lines as
+    characters, a pair passes if they are alike. Where it has ``ids``, the size of
+    the bucket, those of large ones are compared by several tasks.
     """
     band = F.floor(F.log(F.col("n") + WORDS_PER_EDIT // 2) / F.log(F.lit(1.12))).cast("int")
-    rows = store(mixed.withColumn("band", band), "mixed-lines")
-    shorter = rows.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
+    own = F.collect_set("key").over(W.partitionBy("id"))
+    held = F.when(F.size("keys") <= KEYS_HELD, F.col("keys")).otherwise(F.array().cast("array<bigint>"))
+    chunks = F.ceil(F.col("ids") / CHUNK).cast("int") if "ids" in mixed.columns else F.lit(1)
+    rows = store(
+        mixed.withColumn("key", F.col("key").cast("long"))
+        .withColumns({"band": band, "keys": own, "chunks": chunks})
+        .withColumn("keys", held),
+        "mixed-lines",
+        codec="zstd",
+    )
+    shorter = rows.withColumn("band", F.explode(F.array("band", F.col("band") + 1))).withColumn(
+        "chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    )
+    rows = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     left = shorter.select(*[F.col(c).alias(f"a_{c}") for c in rows.columns])
     right = rows.select(*[F.col(c).alias(f"b_{c}") for c in rows.columns])
     once = F.expr("a_n < b_n OR (a_n = b_n AND a_id < b_id)")
+    here = F.expr(
+        "size(a_keys) = 0 OR size(b_keys) = 0 OR array_min(array_intersect(a_keys, b_keys)) = a_key"
+    )
+    passed = once & near("a_", "b_") & here
+    if "line" in mixed.columns:
+        passed = passed & close(F.col("a_line"), F.col("b_line"))
     return left.join(
         right,
-        F.expr("a_key = b_key AND a_band = b_band AND a_component <> b_component")
-        & once
-        & near("a_", "b_"),
+        F.expr("a_key = b_key AND a_band = b_band AND a_chunk = b_chunk AND a_component <> b_component")
+        & passed,
     ).select(F.greatest("a_id", "b_id").alias("a"), F.least("a_id", "b_id").alias("b"))
 
 
-def as_characters(line: Column) -> Column:
-    """A line with each word as one of 20,000 characters."""
-    codes = F.transform(
-        F.split(line, " "), lambda w: F.hex(F.pmod(F.xxhash64(w), F.lit(20_000)) + 0x4E00)
-    )
+def characters(hashes: Column) -> Column:
+    """A line, given as hashes of its words, with each word as one of 20,000 characters."""
+    codes = F.transform(hashes, lambda x: F.hex(F.pmod(x, F.lit(20_000)) + 0x4E00))
     return F.decode(F.unhex(F.array_join(codes, "")), "UTF-16BE")
 
 
+def word_hashes(line: Column) -> Column:
+    return F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
+
+
 def close(x: Column, y: Column) -> Column:
     """:func:`alike` of lines that are characters already."""
     most = edits(F.greatest(F.length(x), F.length(y)))
@@ -182,7 +226,7 @@ def close(x: Column, y: Column) -> Column:
 
 def alike(a: Column, b: Column) -> Column:
     """Whether normalised lines differ by at most as many words as the longer one allows."""
-    return close(as_characters(a), as_characters(b))
+    return close(characters(word_hashes(a)), characters(word_hashes(b)))
 
 
 PLACE = ("doc_id", "text_hash", "line_no")
@@ -210,18 +254,14 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     cut = rows.select(
         "doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     ).where(F.length("line") > 0)
-    words = F.split("line", " ")
     occurrences = store(
         cut.select(*PLACE, normalised(F.col("line")).alias("line"))
-        .withColumn("hashes", F.transform(words, lambda w: F.xxhash64(w)))
-        .withColumn("n", F.size("hashes"))
+        .withColumn("hashes", word_hashes(F.col("line")))
         .select(
             *PLACE,
             F.monotonically_increasing_id().alias("at"),
             F.xxhash64(F.lit("line"), "line").alias("node"),
-            "n",
-            *parities(F.col("hashes")),
-            line_keys(F.col("hashes"), F.col("n")).alias("keys"),
+            line_keys(F.col("hashes"), F.size("hashes")).alias("keys"),
             "line",
         ),
         "lines",
@@ -229,46 +269,55 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     ).where("line <> ''")
     nodes = store(
         occurrences.groupBy("node")
-        .agg(
-            F.min(F.struct(*PLACE, "at")).alias("first"),
-            *[F.max(c).alias(c) for c in ("n", "lo", "hi")],
-            F.count(F.lit(1)).alias("rows"),
-        )
-        .select(F.col("node").alias("id"), "first.*", "n", "lo", "hi", "rows"),
+        .agg(F.min(F.struct(*PLACE, "at")).alias("first"), F.count(F.lit(1)).alias("rows"))
+        .select(F.col("node").alias("id"), "first.*", "rows"),
         "line-nodes",
     )
-    keys = occurrences.select(F.explode("keys").alias("key"), F.col("node").alias("id"))
-    sizes = nodes.select("id", "n", "lo", "hi", "at")
+    members = shared_buckets(
+        occurrences.select(F.explode("keys").alias("key"), F.col("node").alias("id"))
+    )
+    # What is compared of lines that share a bucket: once for each, however many pairs it is in.
+    sharing = store(members.select("id").union(members.select("leader")).distinct(), "sharing")
+    place = F.xxhash64("at").alias("place")
+    known, _ = parted(nodes.select("id", "at", place), "id", sharing, "id")
+    wanted = store(known.join(sharing, "id", "left_semi"), "wanted")
+    asked, _ = parted(occurrences.select("at", "line", place), "place", wanted, "place")
+    forms = store(
+        asked.drop("place")
+        .join(wanted.select("id", "at"), "at")
+        .select("id", word_hashes(F.col("line")).alias("hashes"))
+        .select(
+            "id",
+            F.size("hashes").alias("n"),
+            *parities(F.col("hashes")),
+            characters(F.col("hashes")).alias("line"),
+        ),
+        "line-forms",
+        codec="zstd",
+    )
 
-    def pairs_of(mixed: DataFrame) -> DataFrame:
-        return near_pairs(mixed.join(sizes.drop("at"), "id"))
+    def links_of(mixed: DataFrame) -> DataFrame:
+        rows = distinct_buckets(mixed).join(forms, "id")
+        return store(near_pairs(rows).distinct(), "links")
 
     def verify(pairs: DataFrame) -> DataFrame:
         x, y = (
-            sizes.select(*[F.col(c).alias(f"{p}{c}") for c in sizes.columns]) for p in ("a_", "b_")
+            forms.select(*[F.col(c).alias(f"{p}{c}") for c in forms.columns]) for p in ("a_", "b_")
         )
-        both = pairs.join(x, F.col("a") == F.col("a_id")).join(y, F.col("b") == F.col("b_id"))
-        likely = store(both.where(near("a_", "b_")).select("a", "b", "a_at", "b_at"), "likely")
-        wanted = likely.select(F.col("a_at").alias("of")).union(likely.select("b_at")).distinct()
-        asked, _ = parted(occurrences.select("at", "line"), "at", store(wanted, "wanted"), "of")
-        # A line is turned into characters once, however many pairs it is in.
-        found = store(
-            asked.join(wanted, F.col("at") == F.col("of"), "left_semi").select(
-                "at", as_characters(F.col("line")).alias("line")
-            ),
-            "wanted-lines",
-        )
-        left = found.select(F.col("at").alias("a_at"), F.col("line").alias("line_a"))
-        right = found.select(F.col("at").alias("b_at"), F.col("line").alias("line_b"))
         return (
-            likely.join(left, "a_at")
-            .join(right, "b_at")
-            .where(close(F.col("line_a"), F.col("line_b")))
+            pairs.join(x, F.col("a") == F.col("a_id"))
+            .join(y, F.col("b") == F.col("b_id"))
+            .where(near("a_", "b_") & close(F.col("a_line"), F.col("b_line")))
             .select("a", "b")
         )
 
-    groups = components(bucket_links(keys, verify, pairs_of))
-    joined = nodes.join(groups, "id", "left").where("rows > 1 OR component IS NOT NULL")
+    groups = components(bucket_links(members, verify, links_of))
+    linked, alone = parted(nodes, "id", groups, "id")
+    joined = (
+        linked.union(alone.where("rows > 1"))
+        .join(groups, "id", "left")
+        .where("rows > 1 OR component IS NOT NULL")
+    )
     labelled = joined.select(
         F.col("id").alias("node"),
         F.coalesce("component", "id").alias("group"),
@@ -277,7 +326,8 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     firsts = labelled.groupBy("group").agg(F.min("first").alias("kept"))
     # Stored, so that a line very many documents hold can be split in the join.
     several = store(labelled.join(firsts, "group").select("node", "kept"), "line-groups")
-    return occurrences.select(*PLACE, "node").join(several, "node").where(
+    likely, _ = parted(occurrences.select(*PLACE, "node"), "node", several, "node")
+    return likely.join(several, "node").where(
         ~F.struct(*PLACE).eqNullSafe(F.col("kept"))
     ).select(*PLACE)
 

@@ -282,7 +282,7 @@ def near_duplicates(
         leaders = found.where("a = b").select("b", F.col("text").alias("text_b"))
         return members.join(leaders, "b").mapInPandas(_exact, "a bigint, b bigint").distinct()
 
-    def pairs_of(mixed: DataFrame) -> DataFrame:
+    def links_of(mixed: DataFrame) -> DataFrame:
         # Pairs are compared where they are made, and only survivors are rows. A large
         # bucket is cut into chunks, and each pair of chunks is a group by itself.
         hashes = sides.select(
@@ -302,7 +302,7 @@ def near_duplicates(
         )
         few = max(1, mixed.count() // CHUNK)
         small = F.pmod(F.xxhash64("key"), F.lit(few))
-        return (
+        pairs = (
             placed.join(hashes, "id")
             .select(
                 "key", "id", "component", "chunk", "first", "second", "hashes",
@@ -311,11 +311,12 @@ def near_duplicates(
             .groupBy("part", F.col("first").alias("_f"), F.col("second").alias("_s"))
             .applyInPandas(_chunk_pairs, "a bigint, b bigint")
         )
+        return verify(store(pairs.distinct(), "pairs"))
 
     bands = signed.where(F.col("class").isNotNull()).select(
         F.explode("bands").alias("key"), F.col("class").alias("id")
     )
-    groups = components(bucket_links(bands, verify, pairs_of)).withColumnRenamed("id", "class")
+    groups = components(bucket_links(bands, verify, links_of)).withColumnRenamed("id", "class")
     named = classes.select("class", "least").join(groups, "class", "left").select(
         "class", "least", F.coalesce("component", "class").alias("component")
     )

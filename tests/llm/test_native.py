@@ -272,6 +272,31 @@ def test_lengths_and_parities_rule_out_unlike_lines_only(spark):
     assert len(wanted) > 60 and len(found) < 2 * len(wanted)
 
 
+@pytest.mark.parametrize("chunk", [3, 512])
+def test_a_pair_is_a_row_once_and_only_if_alike(spark, monkeypatch, chunk):
+    """Lines that share several buckets, most of them a little unlike."""
+    monkeypatch.setattr(lines, "CHUNK", chunk)
+    base = [f"w{k}" for k in range(40)]
+    text = [" ".join(f"x{k}" if p in (3 * k % 40, 5 * k % 40, 7 * k % 40, 9 * k % 40) else w for p, w in enumerate(base)) for k in range(30)]
+    text += [text[k] + " more" for k in range(0, 30, 5)]
+    keys = [(key, i) for i in range(len(text)) for key in (1, 2, 3) if key < 3 or i % 2]
+    mixed = spark.createDataFrame(keys, "key bigint, id bigint").withColumn("component", F.col("id"))
+    rows = (
+        spark.createDataFrame(list(enumerate(text)), "id bigint, line string")
+        .withColumn("hashes", lines.word_hashes(F.col("line")))
+        .select("id", F.size("hashes").alias("n"), *lines.parities(F.col("hashes")), lines.characters(F.col("hashes")).alias("line"))
+    )
+    several = lines.distinct_buckets(mixed)
+    assert {(r["key"], r["ids"]) for r in several.collect()} == {(1, len(text)), (3, len(text) // 2)}
+    found = [(r["a"], r["b"]) for r in lines.near_pairs(several.join(rows, "id")).collect()]
+    words = [t.split() for t in text]
+    alike = {
+        (x, y) for x in range(len(text)) for y in range(x)
+        if word_distance(words[x], words[y]) <= (max(len(words[x]), len(words[y])) + 5) // 10
+    }
+    assert len(found) == len(alike) and set(found) == alike and 5 < len(alike) < 300
+
+
 def pairs_of_lines(kinds, sizes, each, seed=4):
     """Lines and edited copies: n words replaced, put in or left out, or characters replaced."""
     import random
