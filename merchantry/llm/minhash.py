@@ -37,6 +37,9 @@ MISS = 1e-6
 CHUNK = 1024
 CHUNK_HASHES = 128
 
+# Shingles of a set that goes there whole, so that only pairs that are similar enough come back.
+SET_HELD = 4096
+
 CACHED_WORDS = 500_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -160,10 +163,12 @@ def _prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _chunk_pairs(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components in the buckets of a frame that survive the first batches.
+    """Pairs of different components in the buckets of a frame that may be similar enough.
 
     A frame holds whole small buckets, or two chunks of a large one, of which
-    only pairs between the two are compared (one chunk: inside it).
+    only pairs between the two are compared (one chunk: inside it). Pairs that
+    survive the first batches are compared on the halved hashes of their sets, which
+    can find too much in common, never too little; a set that is not there passes.
     """
     bounds = [(n, least_matches(n)) for n in range(BATCH, CHUNK_HASHES + 1, BATCH)]
     frame = frame.sort_values(["key", "chunk"], kind="stable")
@@ -171,6 +176,12 @@ def _chunk_pairs(frame: pd.DataFrame) -> pd.DataFrame:
     ids, groups, chunks = (frame[c].to_numpy() for c in ("id", "component", "chunk"))
     first, second = frame["first"].to_numpy(), frame["second"].to_numpy()
     cuts = np.flatnonzero(np.diff(frame["key"].to_numpy())) + 1
+    # Hashes of sets as numbers from 0, so that those of a set are marked in an array.
+    held = [np.frombuffer(x or b"", np.uint32) for x in frame["members"]]
+    lengths = np.array([len(x) for x in held])
+    distinct, numbers = np.unique(np.concatenate(held), return_inverse=True)
+    sets = np.split(numbers, np.cumsum(lengths)[:-1])
+    mine = np.zeros(len(distinct), bool)
     a, b = [], []
     for rows in np.split(np.arange(len(frame)), cuts):
         cross = len(rows) and first[rows[0]] != second[rows[0]]
@@ -187,11 +198,30 @@ def _chunk_pairs(frame: pd.DataFrame) -> pd.DataFrame:
                 matches += (hashes[others, here] == hashes[row, here]).sum(axis=1)
                 near = matches >= least
                 others, matches = others[near], matches[near]
+            compared = others[lengths[others] > 0]
+            if lengths[row] and len(compared):
+                mine[sets[row]] = True
+                found = mine[np.concatenate([sets[x] for x in compared])]
+                mine[sets[row]] = False
+                common = np.add.reduceat(found, np.r_[0, np.cumsum(lengths[compared])[:-1]], dtype=np.int64)
+                union = lengths[row] + lengths[compared] - common
+                unlike = compared[100 * common < PERCENT * union]
+                others = others[~np.isin(others, unlike)]
             a.extend(np.maximum(ids[others], ids[row]))
             b.extend(np.minimum(ids[others], ids[row]))
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
+def _held_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (id, text) to the halves of the hashes of their sets; none of a very large one."""
+    known = _Words()
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            sets = [shingles(text, known) for text in batch["text"]]
+            halves = [(x >> np.uint64(32)).astype(np.uint32).tobytes() if len(x) <= SET_HELD else None for x in sets]
+            yield pd.DataFrame({"id": batch["id"], "members": pd.Series(halves, index=batch.index, dtype=object)})
+
+
 def _exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs with both texts to those whose full sets are similar enough."""
     known = _Words()
@@ -285,8 +315,24 @@ def near_duplicates(
     def links_of(mixed: DataFrame) -> DataFrame:
         # Pairs are compared where they are made, and only survivors are rows. A large
         # bucket is cut into chunks, and each pair of chunks is a group by itself.
-        hashes = sides.select(
-            F.col("class").alias("id"), F.substring("hashes", 1, 2 * CHUNK_HASHES).alias("hashes")
+        asking = store(
+            mixed.select("id").distinct().join(stands, F.col("id") == F.col("of")).select(
+                "id", F.col("doc_id").alias("at"), F.col("text_hash").alias("hash")
+            ),
+            "wanted",
+        )
+        asked, _ = parted(rows, "text_hash", asking, "hash")
+        here = (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("at"))
+        sets = (
+            asked.join(asking, here)
+            .select("id", "text")
+            .mapInPandas(_held_sets, "id bigint, members binary")
+        )
+        hashes = store(
+            sides.select(
+                F.col("class").alias("id"), F.substring("hashes", 1, 2 * CHUNK_HASHES).alias("hashes")
+            ).join(sets.dropDuplicates(["id"]), "id"),
+            "held-sets",
         )
         sizes = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
         chunks = F.ceil(F.col("n") / CHUNK).cast("int")
@@ -305,7 +351,7 @@ def near_duplicates(
         pairs = (
             placed.join(hashes, "id")
             .select(
-                "key", "id", "component", "chunk", "first", "second", "hashes",
+                "key", "id", "component", "chunk", "first", "second", "hashes", "members",
                 F.coalesce("part", small).alias("part"),
             )
             .groupBy("part", F.col("first").alias("_f"), F.col("second").alias("_s"))

@@ -9,6 +9,8 @@ import zlib
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
+import pandas as pd
 import pytest
 from fixtures import awkward, awkward_rows, edited, empty, near_groups, prose, shingle_set
 from pyspark.sql import functions as F
@@ -292,6 +294,27 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, chunk):
     assert all(r["n_shingles"] == len(shingle_set(dict(rows)[r["doc_id"]])) for r in found)
 
 
+def test_near_misses_of_a_bucket_are_no_pairs():
+    """Copies edited so much that most are a little unlike: pairs are those of the full sets, bar held back sets."""
+    texts = [edited(prose(5, 150), every, suffix) for suffix in "xyz" for every in range(18, 42, 3)]
+    a, b = minhash._permutations(minhash.BANDS * minhash.BAND_ROWS)
+    with np.errstate(over="ignore"):
+        sets = [minhash.shingles(t, minhash._Words()) for t in texts]
+        hashes = [minhash.signature(x, a, b)[: minhash.CHUNK_HASHES].astype(np.uint16).tobytes() for x in sets]
+    frame = pd.DataFrame({"key": 1, "id": range(len(texts)), "component": range(len(texts)), "chunk": 0, "first": 0, "second": 0})
+    frame["hashes"] = hashes
+    frame["members"] = [(x >> np.uint64(32)).astype(np.uint32).tobytes() for x in sets]
+    alike = {
+        (x, y) for x in range(len(texts)) for y in range(x)
+        if 4 * len({*sets[x]} & {*sets[y]}) >= 3 * len({*sets[x]} | {*sets[y]})
+    }
+    found = minhash._chunk_pairs(frame)
+    assert len(found) == len(alike) > 10 and {*zip(found["a"], found["b"])} == alike
+    frame.loc[3, "members"] = None
+    unsure = {*zip(*minhash._chunk_pairs(frame)[["a", "b"]].to_numpy().T)}
+    assert unsure > alike and all(3 in pair for pair in unsure - alike)
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     docs = awkward(spark, "class", "key", "component_id")
     found = minhash.near_duplicates(docs).collect()
