@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from ..schemas import BRONZE
 
 
+# Lines of a delivered file at most.
+LINES_PER_FILE = 1_000_000
+
+
 def _padded(number: Column, width: int) -> Column:
     """Digits of a number, zeros in front up to ``width``, never cut."""
     digits = number.cast("string")
@@ -204,9 +208,15 @@ def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
-    """Write a table the way the source systems deliver it: plain, unquoted CSV."""
+    """Write a table the way the source systems deliver it: unquoted CSV, in compressed files.
+
+    A compressed file is read by one task, so none has more than LINES_PER_FILE lines.
+    """
     (
         df.write.option("header", True)
+        .option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")
+        .option("maxRecordsPerFile", LINES_PER_FILE)
         .option("quote", "")
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)

@@ -20,8 +20,8 @@ from merchantry.sources.bronze import (
     read_bronze,
     read_rejects,
 )
+from merchantry.sources import sample_data, tables
 from merchantry.sources.sample_data import raw_tables, write_raw_csv
-from merchantry.sources import tables
 from merchantry.sources.tables import (
     LayerBusy,
     Release,
@@ -222,6 +222,18 @@ def test_the_whole_way_from_files_to_the_star_schema(spark, folder):
     assert counted(spark.table("gold.sales")) == first
 
 
+def test_delivered_files_are_compressed_and_bounded(spark, folder, monkeypatch):
+    monkeypatch.setattr(sample_data, "LINES_PER_FILE", 40)
+    schema = BRONZE["erp_loc_a101"]
+    rows = [(f" AW-{k:08d}", None if k % 7 == 0 else f" place {k % 3} ") for k in range(100)]
+    write_raw_csv(spark.createDataFrame(rows, schema).coalesce(1), f"{folder}/loc_a101.csv")
+    files = list((folder / "loc_a101.csv").glob("part-*"))
+    assert len(files) == 3 and all(f.name.endswith(".csv.gz") for f in files)
+    read = load_raw_table(spark, f"{folder}/loc_a101.csv", f"{folder}/erp_loc_a101", schema)
+    assert read == LoadCount(100, 0)
+    assert sorted(map(tuple, read_bronze(spark, str(folder), "erp_loc_a101").collect())) == sorted(rows)
+
+
 def test_an_error_ends_the_silver_load_and_keeps_old_tables(spark, folder):
     deliver(spark, folder)
     root = str(folder)
