@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import store
+from ..session import discard, store
 
 # Bits of the filter that rows are passed through before a shuffle: always four megabytes.
 FILTER_BITS = 1 << 25
@@ -61,7 +61,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes: every id hands its larger
     neighbours to the least one, then its smaller ones. Each step reads and
-    writes a stored table, so lost executors cost a step at most. An id with
+    writes a stored table, so lost executors cost a step at most; tables of the step
+    before go. An id with
     very many links is a hot key only in a join with a stored table, which
     Spark splits.
     """
@@ -90,6 +91,8 @@ def components(links: DataFrame) -> DataFrame:
             .distinct(),
             "links",
         )
+        discard(edges)
+        discard(least)
         # Each id now has smaller neighbours only.
         least = store(large.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")), "least")
         edges = store(
@@ -100,6 +103,8 @@ def components(links: DataFrame) -> DataFrame:
             .distinct(),
             "links",
         )
+        discard(large)
+        discard(least)
         previous, state = state, mark(edges)
         if state == previous:
             break

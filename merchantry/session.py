@@ -15,6 +15,8 @@ from .sources.tables import delete
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Files a task keeps open at once; rows for more are sorted by file before they are written.
 OPEN_FILES = "32"
 
@@ -96,6 +98,23 @@ def unsorted_rows(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(name)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes inside remove the files of their own shuffles once they have ended.
+
+    Nothing reads these again, but Spark keeps them until the driver happens to collect
+    garbage: over many small steps they outgrow the data. A value the session has set stays.
+    """
+    changed = spark.conf.get(SHUFFLE_CLEANUP, "false") != "true"
+    if changed:
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if changed:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+
+
 def store(
     df: DataFrame, label: str, keep: bool = False, codec: str | None = None
 ) -> DataFrame:
@@ -110,7 +129,8 @@ def store(
     path = f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
     if not keep and _scratch.get() is not None:
         _scratch.get().append(path)
-    df.write.parquet(path, compression=codec)
+    with freed_shuffles(spark):
+        df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,6 +7,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
@@ -16,6 +17,7 @@ from fixtures import awkward, awkward_rows, edited, empty, near_groups, prose, s
 from pyspark.sql import functions as F
 
 from merchantry.llm import clusters, html, lm, minhash, mixing, pieces, warc
+from merchantry.session import workspace
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -335,6 +337,17 @@ def test_the_bound_of_a_batch_is_that_of_the_posterior():
         assert tail[0] < minhash.MISS <= tail[1]
 
 
+def test_components_leave_only_the_tables_that_are_read(spark):
+    def stored():
+        root = Path(workspace(spark).removeprefix("file://"))
+        return {p.name for p in root.glob("*-*") if p.name.startswith(("links-", "least-"))}
+
+    before = stored()
+    chain = spark.createDataFrame([(k, k + 1) for k in range(40)], "a bigint, b bigint")
+    assert clusters.components(chain).where("component = 0").count() == 41
+    assert len(stored() - before) == 1
+
+
 def test_components_of_chains_stars_and_rings(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 201), (201, 202), (202, 200)]
     found = dict(clusters.components(spark.createDataFrame(links, "a bigint, b bigint")).collect())

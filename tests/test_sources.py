@@ -1,4 +1,6 @@
+import time
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from helpers import bronze_rows, counted, rows_of
@@ -9,7 +11,7 @@ from merchantry.plans.gold import load_gold, read_gold
 from merchantry.plans.sales import revenue_by_country
 from merchantry.plans.silver import load_silver, publish_silver, read_silver
 from merchantry.schemas import AUDIT_COLUMN, BRONZE, GOLD, SILVER
-from merchantry.session import scratch, store, workspace
+from merchantry.session import SHUFFLE_CLEANUP, scratch, store, workspace
 from merchantry.sources.bronze import (
     SOURCE_FILES,
     LoadCount,
@@ -168,6 +170,22 @@ def test_scratch_removes_what_is_not_kept(spark):
     assert [exists(spark, p) for p in paths] == [False, True]
 
 
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = [Path(d) for d in env.blockManager().diskBlockManager().localDirsString()]
+
+    def files():
+        return {f for d in folders for f in d.rglob("shuffle_*")}
+
+    before = files()
+    store(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "counted")
+    until = time.time() + 10  # they are removed beside the job
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
 def test_intermediate_tables_lie_in_the_shared_folder(spark):
     assert workspace(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     stored = store(spark.range(5), "five")
