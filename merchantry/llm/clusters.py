@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import discard, store
@@ -19,6 +19,18 @@ from ..session import discard, store
 # Bits of the filter that rows are passed through before a shuffle: always four megabytes.
 FILTER_BITS = 1 << 25
 
+# Bits of one bitmap that Spark makes.
+BITMAP_BITS = 1 << 15
+
+
+def bitmap_words(bits: Column) -> Column:
+    """A bitmap that Spark made as whole numbers of eight bytes each."""
+    numbers = F.sequence(F.lit(0), F.lit(BITMAP_BITS // 64 - 1))
+    return F.transform(
+        numbers,
+        lambda k: F.conv(F.hex(F.substring(bits, k * 8 + 1, F.lit(8))), 16, -10).cast("long"),
+    )
+
 
 def parted(
     rows: DataFrame, column: str, wanted: DataFrame, wanted_column: str
@@ -28,7 +40,8 @@ def parted(
     The hashes wanted become a bitmap of fixed size, built in the map tasks and
     broadcast; it lets pass all rows that are wanted and others by chance, more
     of them the more are wanted. So texts that nobody asks for are not shuffled
-    in a join.
+    in a join. The bits are looked up in arrays of whole numbers, of which a row
+    reads one; of a binary column each row would copy all bytes.
     """
     place = F.pmod(F.col(wanted_column), F.lit(FILTER_BITS))
     bitmap = store(
@@ -36,19 +49,23 @@ def parted(
             F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_at")
         )
         .groupBy("_bucket")
-        .agg(F.bitmap_construct_agg("_at").alias("_bits")),
+        .agg(F.bitmap_construct_agg("_at").alias("_bits"))
+        .select("_bucket", bitmap_words(F.col("_bits")).alias("_words")),
         "filter",
     )
     here = F.pmod(F.col(column), F.lit(FILTER_BITS))
-    byte = F.conv(
-        F.hex(F.substring("_bits", (F.floor(F.col("_position") / 8) + 1).cast("int"), F.lit(1))), 16, 10
-    ).cast("int")
     marked = rows.withColumns(
-        {"_part": F.bitmap_bucket_number(here), "_position": F.bitmap_bit_position(here)}
+        {
+            "_part": F.bitmap_bucket_number(here),
+            "_position": F.bitmap_bit_position(here).cast("int"),
+        }
     )
-    bit = F.call_function("shiftleft", F.lit(1), (F.col("_position") % 8).cast("int"))
+    word = F.get("_words", F.call_function("shiftright", F.col("_position"), F.lit(6)))
+    # Of a word, bytes come from the highest on, and bits of a byte from the lowest on.
+    bit = F.col("_position").bitwiseAND(F.lit(63)).bitwiseXOR(F.lit(56))
     found = marked.join(F.broadcast(bitmap), F.col("_part") == F.col("_bucket"), "left").withColumn(
-        "_wanted", F.coalesce(byte.bitwiseAND(bit) != 0, F.lit(False))
+        "_wanted",
+        F.coalesce(F.call_function("shiftright", word, bit).bitwiseAND(F.lit(1)) != 0, F.lit(False)),
     )
     return (
         found.where("_wanted").select(*rows.columns),

@@ -62,10 +62,15 @@ def simhash(five: Column) -> Column:
     return a.bitwiseAND(b).bitwiseOR(c.bitwiseAND(a.bitwiseXOR(b)))
 
 
-def block_keys(hashes: Column, n: Column) -> Column:
+def least_word(hashes: Column) -> Column:
+    """Place, from 1, of the word of the least hash."""
+    return F.array_position(hashes, F.array_min(hashes)).cast("int")
+
+
+def block_keys(hashes: Column, n: Column, at: Column) -> Column:
     """Keys of the SimHash blocks of a line: which one from which end, and its bits.
 
-    Give columns, as they are read several times.
+    ``at`` is :func:`least_word`. Give columns, as they are read several times.
     """
 
     def blocks(count: Column, start) -> Column:
@@ -82,7 +87,6 @@ def block_keys(hashes: Column, n: Column) -> Column:
     right = blocks(F.floor(count / 2).cast("int"), lambda k: n - STRETCH * (k + 1) + 1)
     # Words put in or left out near both ends move all of these; two more stretches go by the
     # word of the least hash, wherever it is, one from it on and one up to it.
-    at = F.array_position(hashes, F.array_min(hashes)).cast("int")
     around = F.array(
         F.slice(hashes, at, F.lit(STRETCH)),
         F.slice(hashes, F.greatest(at - STRETCH + 1, F.lit(1)), F.least(at, F.lit(STRETCH))),
@@ -110,11 +114,11 @@ def rest_keys(hashes: Column) -> Column:
     return F.flatten(F.flatten(F.transform(F.array(rest), keys)))
 
 
-def line_keys(hashes: Column, n: Column) -> Column:
+def line_keys(hashes: Column, n: Column, at: Column) -> Column:
     """Keys of which lines that are alike share one; a line of one to three words has none."""
     none = F.array().cast("array<bigint>")
     return F.concat(
-        F.when(n >= LEAST_BLOCKED, block_keys(hashes, n)).otherwise(none),
+        F.when(n >= LEAST_BLOCKED, block_keys(hashes, n, at)).otherwise(none),
         F.when((n >= STRETCH - 1) & (n <= MOST_RESTED), rest_keys(hashes)).otherwise(none),
     )
 
@@ -257,20 +261,21 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     occurrences = store(
         cut.select(*PLACE, normalised(F.col("line")).alias("line"))
         .withColumn("hashes", word_hashes(F.col("line")))
+        .withColumn("least", least_word(F.col("hashes")))
         .select(
             *PLACE,
             F.monotonically_increasing_id().alias("at"),
             F.xxhash64(F.lit("line"), "line").alias("node"),
-            line_keys(F.col("hashes"), F.size("hashes")).alias("keys"),
+            line_keys(F.col("hashes"), F.size("hashes"), F.col("least")).alias("keys"),
             "line",
         ),
         "lines",
         codec="zstd",  # the largest table that is stored
     ).where("line <> ''")
     nodes = store(
-        occurrences.groupBy("node")
-        .agg(F.min(F.struct(*PLACE, "at")).alias("first"), F.count(F.lit(1)).alias("rows"))
-        .select(F.col("node").alias("id"), "first.*", "rows"),
+        occurrences.groupBy(F.col("node").alias("id")).agg(
+            F.min("at").alias("at"), F.count(F.lit(1)).alias("rows")
+        ),
         "line-nodes",
     )
     members = shared_buckets(
@@ -318,16 +323,17 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .join(groups, "id", "left")
         .where("rows > 1 OR component IS NOT NULL")
     )
-    labelled = joined.select(
-        F.col("id").alias("node"),
-        F.coalesce("component", "id").alias("group"),
-        F.struct(*PLACE).alias("first"),
+    # Stored, so that a line very many documents hold can be split in the joins.
+    several = store(
+        joined.select(F.col("id").alias("node"), F.coalesce("component", "id").alias("group")),
+        "line-groups",
     )
-    firsts = labelled.groupBy("group").agg(F.min("first").alias("kept"))
-    # Stored, so that a line very many documents hold can be split in the join.
-    several = store(labelled.join(firsts, "group").select("node", "kept"), "line-groups")
     likely, _ = parted(occurrences.select(*PLACE, "node"), "node", several, "node")
-    return likely.join(several, "node").where(
+    placed = store(likely.join(several, "node").select("group", *PLACE), "grouped-lines")
+    firsts = store(
+        placed.groupBy("group").agg(F.min(F.struct(*PLACE)).alias("kept")), "first-lines"
+    )
+    return placed.join(firsts, "group").where(
         ~F.struct(*PLACE).eqNullSafe(F.col("kept"))
     ).select(*PLACE)
 

@@ -11,7 +11,7 @@ from fixtures import awkward, awkward_rows, edited, empty, prose, words_of
 from helpers import plan_of
 from pyspark.sql import functions as F
 
-from merchantry.llm import lines, queries, ring, rules, syncmers
+from merchantry.llm import clusters, lines, queries, ring, rules, syncmers
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -342,3 +342,17 @@ def test_recall_of_fuzzy_lines_against_all_pairs(spark):
     recall = {cell: sum(x) / len(x) for cell, x in cells.items()}
     assert sum(map(len, cells.values())) > 400
     assert min(recall.values()) >= 0.9, sorted(recall.items(), key=lambda x: x[1])[:6]
+
+
+def test_filter_lets_pass_all_that_is_wanted_and_copies_no_bitmaps(spark):
+    """Hashes at both ends of a word of the filter, of a bitmap and of the filter itself."""
+    places = [0, 1, 7, 8, 55, 56, 63, 64, 32767, 32768, clusters.FILTER_BITS - 1, -1, -64]
+    wanted = spark.createDataFrame([(x,) for x in places], "h long")
+    rows = spark.createDataFrame([(x,) for x in {*places, *(x + 2 for x in places), *(x - 9 for x in places)}] + [(None,)], "h long")
+    likely, rest = clusters.parted(rows, "h", wanted, "h")
+    bits = {x % clusters.FILTER_BITS for x in places}
+    found = {r["h"] for r in rows.collect() if r["h"] is not None and r["h"] % clusters.FILTER_BITS in bits}
+    assert {r["h"] for r in likely.collect()} == found
+    assert {r["h"] for r in rest.collect()} == {r["h"] for r in rows.collect()} - found
+    plan = likely._jdf.queryExecution().optimizedPlan().toString()
+    assert "conv(" not in plan and "substring(" not in plan
